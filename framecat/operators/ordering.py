@@ -1,0 +1,54 @@
+"""Positions inside a key, also when one key holds much of the data."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+HOT_ROWS = 100_000
+
+
+def position_in_key(
+    df: DataFrame,
+    key: Sequence[str],
+    order: Sequence[str],
+    bucket: dict[str, Column],
+    name: str,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Add the 0-based position of each row inside its key, by ``order``.
+
+    Keys of up to ``hot_rows`` rows take one window. The rows of larger keys are
+    numbered per (key, bucket), with the sizes of earlier buckets added, so no
+    task sees a whole hot key. The buckets must be coarse forms of the leading
+    order columns, in the same order. The list of hot keys holds at most
+    rows / hot_rows entries; adaptive execution broadcasts it if it is small.
+    """
+    key, order = list(key), list(order)
+    hot = df.groupBy(*key).count().filter(F.col("count") > hot_rows).select(*key)
+
+    window = W.partitionBy(*key).orderBy(*order)
+    cold_rows = df.join(hot, key, "left_anti").withColumn(
+        name, (F.row_number().over(window) - 1).cast("bigint")
+    )
+
+    slots = [f"_slot{i}" for i in range(len(bucket))]
+    slotted = df.join(hot, key, "left_semi").select(
+        "*", *[c.alias(s) for s, c in zip(slots, bucket.values())]
+    )
+    earlier = W.partitionBy(*key).orderBy(*slots).rowsBetween(W.unboundedPreceding, -1)
+    offsets = (
+        slotted.groupBy(*key, *slots)
+        .agg(F.count("*").alias("_rows"))
+        .select(*key, *slots, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    )
+    inside = W.partitionBy(*key, *slots).orderBy(*order)
+    hot_rows_numbered = (
+        slotted.withColumn("_inside", F.row_number().over(inside) - 1)
+        .join(offsets, [*key, *slots])
+        .select(*df.columns, (F.col("_before") + F.col("_inside")).cast("bigint").alias(name))
+    )
+    return cold_rows.select(*df.columns, name).unionByName(hot_rows_numbered)
