@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -116,24 +117,25 @@ def files_rows(prepared: DataFrame, inspected_at: Column | None = None, dim: int
     )
 
 
-def parts_rows(prepared: DataFrame) -> DataFrame:
-    """One row per part; files without parts give none."""
-    return prepared.select("file_id", "file_path", F.inline("parts"))
+def parts_rows(prepared: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """One row per part; files without parts give none. ``carry`` names columns to keep along."""
+    return prepared.select("file_id", "file_path", *carry, F.inline("parts"))
 
 
-def channels_rows(prepared: DataFrame, dim: int = FINGERPRINT_DIM) -> DataFrame:
+def channels_rows(prepared: DataFrame, dim: int = FINGERPRINT_DIM, carry: Sequence[str] = ()) -> DataFrame:
     """One row per channel; the fingerprint stands on a payload's first row, zeros elsewhere."""
     zeros = F.array_repeat(F.lit(0.0).cast("float"), dim)
     marked = prepared.select(
         "file_id",
         "file_path",
+        *carry,
         "channels",
         vectors.channel_fingerprint(F.col("channels"), dim).cast("array<float>").alias("fingerprint"),
     )
-    rows = marked.select("file_id", "file_path", "fingerprint", F.posexplode("channels").alias("pos", "c"))
+    kept = ["file_id", "file_path", *carry]
+    rows = marked.select(*kept, "fingerprint", F.posexplode("channels").alias("pos", "c"))
     return rows.select(
-        "file_id",
-        "file_path",
+        *kept,
         F.col("c.part_index").alias("part_index"),
         F.col("c.name").alias("channel_name"),
         F.col("c.layer_name").alias("layer_name"),
@@ -145,16 +147,16 @@ def channels_rows(prepared: DataFrame, dim: int = FINGERPRINT_DIM) -> DataFrame:
     )
 
 
-def attributes_rows(prepared: DataFrame) -> DataFrame:
+def attributes_rows(prepared: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """One row per attribute; the outer position is the part, entries that are no list are skipped."""
     lists = F.try_variant_get(F.col("attributes"), "$.parts", "array<variant>")
+    kept = ["file_id", "file_path", *carry]
     outer = prepared.select(
-        "file_id", "file_path", "first_part", F.posexplode(lists).alias("pos", "of_part")
+        *kept, F.col("first_part").alias("base"), F.posexplode(lists).alias("pos", "of_part")
     )
     inner = outer.select(
-        "file_id",
-        "file_path",
-        (F.col("pos") + F.col("first_part")).alias("part_index"),
+        *kept,
+        (F.col("pos") + F.col("base")).alias("part_index"),
         F.explode(F.try_variant_get(F.col("of_part"), "$", "array<variant>")).alias("a"),
     )
 
@@ -162,8 +164,7 @@ def attributes_rows(prepared: DataFrame) -> DataFrame:
         return F.coalesce(F.try_variant_get(F.col("a"), f"$.{field}", "string"), F.lit(""))
 
     typed = inner.select(
-        "file_id",
-        "file_path",
+        *kept,
         "part_index",
         text("name").alias("attr_name"),
         text("type").alias("attr_type"),

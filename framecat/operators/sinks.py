@@ -121,28 +121,17 @@ def append_batch(
     bad = all_rows.filter(F.col("error").isNotNull())
     bad.select("event_id", "seen_at", "raw_output", "error").write.mode("overwrite").parquet(f"{root}/log/errors/{at}")
 
-    docs = upsert.collapse(
-        all_rows.filter(F.col("error").isNull()).drop("error"), ("file_id", "first_part"), "seen_at"
-    ).withColumnRenamed("deliveries", "_n")
+    good = all_rows.filter(F.col("error").isNull()).drop("error")
     docs_path = f"{root}/log/documents/{at}"
-    docs.withColumnRenamed("_n", "deliveries").write.mode("overwrite").parquet(docs_path)
+    upsert.collapse(good, ("file_id", "first_part"), "seen_at").write.mode("overwrite").parquet(docs_path)
     docs = spark.read.parquet(docs_path)
 
-    files = ingest.files_rows(docs, inspected_at=F.col("first_at"))
     audit = docs.filter("first_part = 0").select("file_id", "deliveries", "first_at", "last_at", "event_id")
-    files = conform(files, "files").join(audit, "file_id")
-    files.write.mode("overwrite").parquet(f"{root}/log/files/{at}")
+    files = conform(ingest.files_rows(docs, inspected_at=F.col("first_at")), "files")
+    files.join(audit, "file_id").write.mode("overwrite").parquet(f"{root}/log/files/{at}")
     for name in CHILDREN:
-        rows = ingest.FAN_OUT[name](docs.withColumn("file_path", F.struct("file_path", "first_part")))
-        marked = rows.select(
-            *[F.col("file_path.file_path").alias(c) if c == "file_path" else F.col(c) for c in rows.columns],
-            F.col("file_path.first_part").alias("first_part"),
-        )
-        own = conform(marked, name).columns
-        kinds = table_schema(name)
-        marked.select(*[F.col(c).cast(kinds[c].dataType) for c in own], "first_part").write.mode(
-            "overwrite"
-        ).parquet(f"{root}/log/{name}/{at}")
+        rows = ingest.FAN_OUT[name](docs, carry=["first_part"])
+        conform(rows, name, "first_part").write.mode("overwrite").parquet(f"{root}/log/{name}/{at}")
 
 
 def _read(spark: SparkSession, path: str, ddl: str) -> DataFrame:

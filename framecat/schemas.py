@@ -82,12 +82,12 @@ def table_schema(name: str) -> T.StructType:
     return T.StructType.fromDDL(TABLES[name])
 
 
-def conform(df: DataFrame, name: str) -> DataFrame:
-    """Cast to the declared table, absent columns as NULL, others left out."""
+def conform(df: DataFrame, name: str, *extra: str) -> DataFrame:
+    """Cast to the declared table, absent columns as NULL, others but ``extra`` left out."""
     have = set(df.columns)
 
     def column(field: T.StructField) -> Column:
         source = F.col(field.name) if field.name in have else F.lit(None)
         return source.cast(field.dataType).alias(field.name)
 
-    return df.select(*[column(f) for f in table_schema(name)])
+    return df.select(*[column(f) for f in table_schema(name)], *extra)
