@@ -184,19 +184,26 @@ def table_structure(parts: DataFrame, channels: DataFrame, key: str, files: Data
 
     Two mergeable aggregations; the joins reuse their partitioning on the key.
     """
-    p = parts.groupBy(key).agg(
+    hashed_parts = parts.select(
+        key, "is_deep", "is_tiled", "multi_view",
+        F.when(F.length("compression") > 0, F.lower("compression")).alias("codec"),
+        part_hash(F.col).alias("hash"),
+        part_shape_hash(F.col).alias("shape"),
+    )
+    p = hashed_parts.groupBy(key).agg(
         F.count("*").alias("part_count"),
         F.bool_or("is_deep").alias("is_deep"),
         F.bool_or("is_tiled").alias("is_tiled"),
         F.bool_or("multi_view").alias("has_multiview"),
-        F.min(F.when(F.length("compression") > 0, F.lower("compression"))).alias("codec"),
-        set_digest_agg(part_hash(F.col)).alias("header_digest"),
-        set_digest_agg(part_shape_hash(F.col)).alias("part_shape"),
+        F.min("codec").alias("codec"),
+        set_digest_agg(F.col("hash")).alias("header_digest"),
+        set_digest_agg(F.col("shape")).alias("part_shape"),
     )
     names = {"name": "channel_name", "type": "channel_type"}
-    c = channels.groupBy(key).agg(
+    shape = channel_shape_hash(lambda n: F.col(names.get(n, n)))
+    c = channels.select(key, shape.alias("shape")).groupBy(key).agg(
         F.count("*").alias("channel_count"),
-        set_digest_agg(channel_shape_hash(lambda n: F.col(names.get(n, n)))).alias("channel_shape"),
+        set_digest_agg(F.col("shape")).alias("channel_shape"),
     )
     empty = digest_of_sums(F.lit(0), [F.lit(0)] * LANES)
     no = F.lit(False)

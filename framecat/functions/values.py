@@ -34,8 +34,13 @@ def kind(value: Column) -> Column:
 
 
 def json_text(value: Column) -> Column:
-    """Canonical JSON text of a VARIANT; an absent value is the text null."""
-    return F.coalesce(F.to_json(value), F.lit("null"))
+    """Canonical JSON text of a VARIANT; an absent value is the text null.
+
+    A float without fraction keeps its point, so that reading it again gives a float.
+    """
+    text = F.coalesce(F.to_json(value), F.lit("null"))
+    whole = (kind(value) == "float") & text.rlike(r"^-?\d+$")
+    return F.when(whole, F.concat(text, F.lit(".0"))).otherwise(text)
 
 
 def attribute_values(value: Column) -> dict[str, Column]:
@@ -100,7 +105,9 @@ def display_dims(data: Column, display: Column, width: Column, height: Column) -
 
 def binary_json(value: Column) -> Column:
     """JSON object carrying binary data as base64."""
-    body = F.struct(F.lit("base64").alias("encoding"), F.base64(value).alias("data"))
+    # Some sessions cut base64 text into lines.
+    text = F.translate(F.base64(value), "\r\n", "")
+    body = F.struct(F.lit("base64").alias("encoding"), text.alias("data"))
     return F.when(value.isNotNull(), F.to_json(body))
 
 

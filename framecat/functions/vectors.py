@@ -159,8 +159,8 @@ def l2_distance(a: Column, b: Column) -> Column:
 def cosine_distance(a: Column, b: Column) -> Column:
     """1 - cosine, between 0 and 2; NULL when either vector is zero."""
     lengths = norm(a) * norm(b)
-    cosine = inner_product(a, b) / F.nullif(lengths, F.lit(ZERO))
-    return 1 - F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine))
+    cosine = inner_product(a, b) / lengths
+    return F.when(lengths != 0, 1 - F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine)))
 
 
 def literal(vector: Sequence[float]) -> Column:

@@ -234,19 +234,32 @@ def build_payload(
         return F.when(F.col(tag).isNotNull(), hashed)
 
     codec = F.lower(p("compression"))
-    extent = tags.groupBy(key).agg(
+    hashed = tags.select(
+        key,
+        "document",
+        F.col("part").isNotNull().alias("is_part"),
+        F.col("channel").isNotNull().alias("is_channel"),
+        p("is_deep").alias("is_deep"),
+        p("is_tiled").alias("is_tiled"),
+        p("multi_view").alias("multi_view"),
+        F.when(F.length(codec) > 0, codec).alias("codec"),
+        only("part", structure.part_hash(p)).alias("part_hash"),
+        only("part", structure.part_shape_hash(p)).alias("part_shape"),
+        only("channel", structure.channel_shape_hash(c)).alias("channel_shape"),
+    )
+    extent = hashed.groupBy(key).agg(
         F.max("document").alias("last_document"),
-        F.count("part").alias("part_count"),
-        F.count("channel").alias("channel_count"),
-        F.coalesce(F.bool_or(p("is_deep")), F.lit(False)).alias("is_deep"),
-        F.coalesce(F.bool_or(p("is_tiled")), F.lit(False)).alias("is_tiled"),
-        F.coalesce(F.bool_or(p("multi_view")), F.lit(False)).alias("has_multiview"),
-        F.coalesce(F.min(F.when(F.length(codec) > 0, codec)), F.lit("none")).alias("codec"),
-        structure.set_digest_agg(only("part", structure.part_hash(p))).alias("header_digest"),
+        F.count_if("is_part").alias("part_count"),
+        F.count_if("is_channel").alias("channel_count"),
+        F.coalesce(F.bool_or("is_deep"), F.lit(False)).alias("is_deep"),
+        F.coalesce(F.bool_or("is_tiled"), F.lit(False)).alias("is_tiled"),
+        F.coalesce(F.bool_or("multi_view"), F.lit(False)).alias("has_multiview"),
+        F.coalesce(F.min("codec"), F.lit("none")).alias("codec"),
+        structure.set_digest_agg(F.col("part_hash")).alias("header_digest"),
         F.concat_ws(
             ";",
-            structure.set_digest_agg(only("part", structure.part_shape_hash(p))),
-            structure.set_digest_agg(only("channel", structure.channel_shape_hash(c))),
+            structure.set_digest_agg(F.col("part_shape")),
+            structure.set_digest_agg(F.col("channel_shape")),
         ).alias("structure_digest"),
     )
     summary = F.struct(
@@ -302,30 +315,39 @@ def build_payload(
         first + F.size("parts") - 1,
         F.coalesce(F.array_max(F.transform("attrs", lambda a: a["part_index"])), F.lit(-1)),
     )
-    lists = F.when(
-        upto >= first,
-        F.transform(
-            F.sequence(first, upto),
-            lambda i: F.transform(
-                F.filter("attrs", lambda a: a["part_index"] == i),
-                lambda a: F.struct(
-                    a["name"].alias("name"), a["type"].alias("type"),
-                    F.parse_json(a["value_json"]).alias("value"),
-                ),
-            ),
-        ),
-    ).otherwise(F.array())
+
+    def attribute_text(a: Column) -> Column:
+        """JSON of one attribute, its value's text taken over as it is."""
+        named = F.to_json(F.struct(a["name"].alias("name"), a["type"].alias("type")))
+        opened = F.substr(named, F.lit(1), F.length(named) - 1)
+        return F.concat(opened, F.lit(',"value":'), a["value_json"], F.lit("}"))
+
+    def list_text(i: Column) -> Column:
+        of_part = F.filter("attrs", lambda a: a["part_index"] == i)
+        return F.concat(
+            F.lit("["), F.array_join(F.transform(of_part, attribute_text), ","), F.lit("]")
+        )
+
+    lists = F.when(upto >= first, F.transform(F.sequence(first, upto), list_text)).otherwise(
+        F.array().cast("array<string>")
+    )
     body = F.struct(
         F.lit(1).alias("schema_version"),
         F.col("header").alias("file"),
         F.transform("parts", payload_part).alias("parts"),
         "channels",
-        F.struct(lists.alias("parts")).alias("attributes"),
         F.array().cast("array<string>").alias("errors"),
         nonzero(first).alias("first_part"),
         "structure",
     )
-    return grouped.select(key, F.to_json(body).alias("value"))
+    head = F.to_json(body)
+    value = F.concat(
+        F.substr(head, F.lit(1), F.length(head) - 1),
+        F.lit(',"attributes":{"parts":['),
+        F.array_join(lists, ","),
+        F.lit("]}}"),
+    )
+    return grouped.select(key, value.alias("value"))
 
 
 def backfill(df: DataFrame, path: str, data_type: str, name: str, raw: str = RAW) -> DataFrame:

@@ -70,7 +70,7 @@ def _damaged(spark: SparkSession, sf: str) -> DataFrame:
         F.when(turn == 0, F.substr(v, F.lit(1), F.length(v) - 5))
         .when(turn == 1, F.regexp_replace(v, '"s3_bucket":"[^"]*",', ""))
         .when(turn == 2, F.regexp_replace(v, '"path":"[^"]*",', ""))
-        .when(turn == 3, F.regexp_replace(v, r'"channels":\[.*\],"attributes"', '"channels":null,"attributes"'))
+        .when(turn == 3, F.regexp_replace(v, r'"channels":\[.*\],"errors"', '"channels":null,"errors"'))
         .otherwise(v)
     )
     return lines.select("file_key", damaged.alias("value"))
@@ -255,15 +255,15 @@ _FA = views.sql_views("files", "attributes")
 _ALL = views.sql_views("files", "parts", "channels", "attributes")
 _MTIME = "strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN microsecond(ts) % 1000000 = 0 THEN '' ELSE strftime(ts, '.%f') END || '+00:00'"
 _INSPECTIONS = f"""WITH e AS (
-  SELECT cast(user_id AS varchar) AS file_id, event_type AS header_hash, value, {_MTIME} AS at, event_id, props,
+  SELECT cast(user_id AS varchar) AS file_id, event_type AS header_hash, value, {_MTIME} AS seen, event_id, props,
          ts < timestamp '{SPLIT_TIME}' AS early FROM events),
 known AS (
-  SELECT file_id, arg_min(header_hash, (at, event_id)) AS header_hash, arg_min(value, (at, event_id)) AS value,
-         min(at) AS first_at, count(*) AS n, max(at) AS last_at
+  SELECT file_id, arg_min(header_hash, (seen, event_id)) AS header_hash, arg_min(value, (seen, event_id)) AS value,
+         min(seen) AS first_at, count(*) AS n, max(seen) AS last_at
   FROM e WHERE early GROUP BY file_id HAVING cast(file_id AS bigint) % 3 <> 0),
 late AS (
-  SELECT file_id, arg_min(header_hash, (at, event_id)) AS header_hash, arg_min(value, (at, event_id)) AS value,
-         min(at) AS first_at, count(*) AS n, max(at) AS last_at
+  SELECT file_id, arg_min(header_hash, (seen, event_id)) AS header_hash, arg_min(value, (seen, event_id)) AS value,
+         min(seen) AS first_at, count(*) AS n, max(seen) AS last_at
   FROM e WHERE NOT early GROUP BY file_id)"""
 
 ORACLES = {
