@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framecat.functions import keys, structure, values, vectors
+from framecat.functions import arrow_vectors, keys, structure, values, vectors
 from framecat.schemas import CORRUPT, FINGERPRINT_DIM, METADATA_DIM
 from framecat.sources.payloads import RAW
 
@@ -92,7 +92,8 @@ def files_rows(prepared: DataFrame, inspected_at: Column | None = None, dim: int
     # The file's own flag is what the vector sees, as the parts' flags may be absent.
     flagged = F.col("structure").withField("is_deep", deep)
     hashed = structure.header_hash(count, deep, F.col("structure.header_digest"))
-    return first.withColumn("header_hash", hashed).select(
+    ready = first.withColumn("header_hash", hashed).withColumn("shape", arrow_vectors.settled(flagged))
+    return ready.select(
         "file_id",
         "file_path",
         keys.normalize_path(F.col("file_path")).alias("file_path_normalized"),
@@ -101,7 +102,7 @@ def files_rows(prepared: DataFrame, inspected_at: Column | None = None, dim: int
         "mtime",
         count.alias("multipart_count"),
         deep.alias("is_deep"),
-        vectors.metadata_embedding(flagged, dim, tail_weight).cast("array<float>").alias("metadata_embedding"),
+        arrow_vectors.metadata_embedding(F.col("shape"), dim, tail_weight).alias("metadata_embedding"),
         F.col("file.frame_number").alias("frame_number"),
         now.alias("inspection_timestamp"),
         F.lit(1).alias("inspection_count"),
