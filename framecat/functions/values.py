@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 BOX_FIELDS = ("min_x", "min_y", "max_x", "max_y")
 
-# The two spellings of a bounding box.
-_NESTED = ("$.min.x", "$.min.y", "$.max.x", "$.max.y")
-_FLAT = ("$.xMin", "$.yMin", "$.xMax", "$.yMax")
+# The two spellings of a bounding box, {min: {x, y}, max: {x, y}} and flat.
+_OUTER = "struct<min: variant, max: variant, xMin: variant, yMin: variant, xMax: variant, yMax: variant>"
+_INNER = "struct<x: variant, y: variant>"
+_CORNERS = (("min", "x", "xMin"), ("min", "y", "yMin"), ("max", "x", "xMax"), ("max", "y", "yMax"))
 
 
 def variant(text: Column) -> Column:
@@ -73,24 +74,17 @@ def window_ints(box: Column) -> Column:
     A missing corner counts as 0; a corner that is no number makes the box NULL.
     """
 
-    def corner(i: int) -> tuple[Column, Column]:
-        present = F.coalesce(
-            F.try_variant_get(box, _NESTED[i], "variant"), F.try_variant_get(box, _FLAT[i], "variant")
-        )
-        number = F.coalesce(
-            F.try_variant_get(box, _NESTED[i], "int"), F.try_variant_get(box, _FLAT[i], "int")
-        )
-        return present.isNotNull() & number.isNull(), F.coalesce(number, F.lit(0))
-
-    corners = [corner(i) for i in range(4)]
-    broken = [bad for bad, _ in corners]
-    broken += [
-        ~kind(F.try_variant_get(box, side, "variant")).isin("object", "null")
-        | F.coalesce(F.is_variant_null(F.try_variant_get(box, side, "variant")), F.lit(False))
-        for side in ("$.min", "$.max")
-    ]
-    found = F.struct(*[number.alias(n) for n, (_, number) in zip(BOX_FIELDS, corners)])
-    return F.when((kind(box) == "object") & ~reduce(or_, broken), found)
+    outer = F.try_variant_get(box, "$", _OUTER)  # NULL unless an object
+    sides = {n: F.try_variant_get(outer[n], "$", _INNER) for n in ("min", "max")}
+    broken = [outer[n].isNotNull() & side.isNull() for n, side in sides.items()]
+    numbers = []
+    for side, axis, flat in _CORNERS:
+        present = F.coalesce(sides[side][axis], outer[flat])
+        number = F.try_variant_get(present, "$", "int")
+        broken.append(present.isNotNull() & number.isNull())
+        numbers.append(F.coalesce(number, F.lit(0)))
+    found = F.struct(*[number.alias(n) for n, number in zip(BOX_FIELDS, numbers)])
+    return F.when(outer.isNotNull() & ~reduce(or_, broken), found)
 
 
 def display_dims(data: Column, display: Column, width: Column, height: Column) -> dict[str, Column]:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -118,22 +117,21 @@ def files_rows(prepared: DataFrame, inspected_at: Column | None = None, dim: int
     )
 
 
-def parts_rows(prepared: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
-    """One row per part; files without parts give none. ``carry`` names columns to keep along."""
-    return prepared.select("file_id", "file_path", *carry, F.inline("parts"))
+def parts_rows(prepared: DataFrame) -> DataFrame:
+    """One row per part; files without parts give none."""
+    return prepared.select("file_id", "file_path", F.inline("parts"))
 
 
-def channels_rows(prepared: DataFrame, dim: int = FINGERPRINT_DIM, carry: Sequence[str] = ()) -> DataFrame:
+def channels_rows(prepared: DataFrame, dim: int = FINGERPRINT_DIM) -> DataFrame:
     """One row per channel; the fingerprint stands on a payload's first row, zeros elsewhere."""
     zeros = F.array_repeat(F.lit(0.0).cast("float"), dim)
     marked = prepared.select(
         "file_id",
         "file_path",
-        *carry,
         "channels",
         vectors.channel_fingerprint(F.col("channels"), dim).cast("array<float>").alias("fingerprint"),
     )
-    kept = ["file_id", "file_path", *carry]
+    kept = ["file_id", "file_path"]
     rows = marked.select(*kept, "fingerprint", F.posexplode("channels").alias("pos", "c"))
     return rows.select(
         *kept,
@@ -148,10 +146,10 @@ def channels_rows(prepared: DataFrame, dim: int = FINGERPRINT_DIM, carry: Sequen
     )
 
 
-def attributes_rows(prepared: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+def attributes_rows(prepared: DataFrame) -> DataFrame:
     """One row per attribute; the outer position is the part, entries that are no list are skipped."""
     lists = F.try_variant_get(F.col("attributes"), "$.parts", "array<variant>")
-    kept = ["file_id", "file_path", *carry]
+    kept = ["file_id", "file_path"]
     outer = prepared.select(
         *kept, F.col("first_part").alias("base"), F.posexplode(lists).alias("pos", "of_part")
     )

@@ -2,19 +2,24 @@
 
 Layout below a catalogue root, all Parquet:
 
-    log/<table>/stream=S/batch=N     rows of one batch; writing a batch again replaces it
+    log/payloads/stream=S/batch=N    parsed payloads of one batch, good and bad
+    log/done/stream=S/batch=N        one row, written when the batch is whole
     base/files/version=V             the files table as of merge V
     base/<child>/version=V           the child rows merge V added
-    base/documents/version=V         the (file_id, first_part) those came from
+    base/documents/version=V         the payload documents those came from
     commits/version=V                what merge V covers, written last
 
-Batches only append. ``merge_log`` folds them into the next version; readers see
-a version once its commit row exists, so a merge that dies half-way leaves no trace.
+A batch is one map-only write of its own folder: it reads nothing that grows with
+the catalogue, and writing it again replaces it. A stream's batches must be done in
+the order of their numbers. ``merge_log`` folds batches into
+the next version. Readers see a version once its commit row exists, so a merge
+that dies half-way leaves no trace.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from operator import or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,7 +31,9 @@ from framecat.schemas import conform, table_schema
 from framecat.sources.payloads import parse_payloads
 
 CHILDREN = ("parts", "channels", "attributes")
-FIRST_LAST = "deliveries bigint, first_at string, last_at string, event_id string"
+DOCUMENT = ("file_id", "first_part")
+DELIVERY = ("stream", "batch", "delivery")
+_DOCUMENTS = "file_id string, first_part int, stream string, batch bigint, delivery bigint"
 COMMITS = "stream string, upto_batch bigint, version bigint"
 
 
@@ -86,6 +93,17 @@ def sample_copy(tables: dict[str, DataFrame], n: int = 100, key: str = "file_id"
 # The catalogue folder.
 
 
+def _logged(lines: DataFrame, text: str, event: Column | None, at: Column | None, located: bool) -> DataFrame:
+    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    delivered = lines.select(
+        F.col(text),
+        (F.xxhash64(text) if event is None else event).cast("string").alias("event_id"),
+        (now if at is None else at).alias("seen_at"),
+    )
+    told = ingest.with_errors(parse_payloads(delivered, text), located)
+    return ingest.prepare(told).withColumn("delivery", F.monotonically_increasing_id())
+
+
 def append_batch(
     lines: DataFrame,
     root: str,
@@ -96,46 +114,31 @@ def append_batch(
     inspected_at: Column | None = None,
     located: bool = True,
 ) -> None:
-    """Parse, route, fan out and log one batch. Writing the same batch again replaces it.
-
-    The payloads are parsed once: what they yield is written first and the tables
-    are derived from that.
-    """
-    spark = lines.sparkSession
+    """Parse a batch of payload text once and log it, bad payloads with their error."""
+    rows = _logged(lines, text, event, inspected_at, located)
     at = f"stream={stream}/batch={batch}"
-    told = ingest.with_errors(
-        parse_payloads(
-            lines.select(
-                F.col(text),
-                (F.xxhash64(text).cast("string") if event is None else event.cast("string")).alias("event_id"),
-                (F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
-                 if inspected_at is None else inspected_at).alias("seen_at"),
-            ),
-            text,
-        ),
-        located,
-    )
-    staged = f"{root}/log/payloads/{at}"
-    ingest.prepare(told).write.mode("overwrite").parquet(staged)
-    all_rows = spark.read.parquet(staged)
-    bad = all_rows.filter(F.col("error").isNotNull())
-    bad.select("event_id", "seen_at", "raw_output", "error").write.mode("overwrite").parquet(f"{root}/log/errors/{at}")
-
-    good = all_rows.filter(F.col("error").isNull()).drop("error")
-    docs_path = f"{root}/log/documents/{at}"
-    upsert.collapse(good, ("file_id", "first_part"), "seen_at").write.mode("overwrite").parquet(docs_path)
-    docs = spark.read.parquet(docs_path)
-
-    audit = docs.filter("first_part = 0").select("file_id", "deliveries", "first_at", "last_at", "event_id")
-    files = conform(ingest.files_rows(docs, inspected_at=F.col("first_at")), "files")
-    files.join(audit, "file_id").write.mode("overwrite").parquet(f"{root}/log/files/{at}")
-    for name in CHILDREN:
-        rows = ingest.FAN_OUT[name](docs, carry=["first_part"])
-        conform(rows, name, "first_part").write.mode("overwrite").parquet(f"{root}/log/{name}/{at}")
+    rows.write.mode("overwrite").parquet(f"{root}/log/payloads/{at}")
+    done = lines.sparkSession.range(1).select(F.lit(True).alias("whole"))
+    done.coalesce(1).write.mode("overwrite").parquet(f"{root}/log/done/{at}")
+
+
+def read_log(spark: SparkSession, root: str) -> DataFrame:
+    nothing = spark.createDataFrame([], "value string")
+    kinds = _logged(nothing, "value", None, None, True).schema
+    schema = T.StructType([*kinds, T.StructField("stream", T.StringType()), T.StructField("batch", T.LongType())])
+    return _read(spark, f"{root}/log/payloads", schema)
+
+
+def read_errors(spark: SparkSession, root: str) -> DataFrame:
+    """Logged payloads that were routed aside, with the reason."""
+    bad = read_log(spark, root).filter(F.col("error").isNotNull())
+    return bad.select("stream", "batch", "event_id", "seen_at", "error", ingest.RAW)
 
 
-def _read(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    schema = T.StructType.fromDDL(ddl)
+def _read(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """A table that may not exist yet."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as exc:
@@ -179,56 +182,58 @@ def merge_log(spark: SparkSession, root: str) -> int:
     for c in commits:
         covered[c["stream"]] = max(covered.get(c["stream"], -1), c["upto_batch"])
 
-    def log(name: str, ddl: str) -> DataFrame:
-        return _read(spark, f"{root}/log/{name}", f"{ddl}, stream string, batch bigint")
-
-    fresh = reduce(
-        lambda acc, kv: acc & ~((F.col("stream") == kv[0]) & (F.col("batch") <= kv[1])),
-        covered.items(),
-        F.lit(True),
-    )
-    audit = log("files", f"file_id string, {FIRST_LAST}").filter(fresh)
-    upto = audit.groupBy("stream").agg(F.max("batch").alias("upto_batch")).collect()
-    if not upto:
+    done = _read(spark, f"{root}/log/done", "whole boolean, stream string, batch bigint")
+    limits = {r[0]: r[1] for r in done.groupBy("stream").agg(F.max("batch")).collect()}
+    due = {s: b for s, b in limits.items() if b > covered.get(s, -1)}
+    if not due:
         return version
-    # A batch still being written is in neither the log's maximum nor this merge.
-    limits = {r["stream"]: r["upto_batch"] for r in upto}
-    fresh = fresh & reduce(
-        lambda acc, kv: acc | ((F.col("stream") == kv[0]) & (F.col("batch") <= kv[1])),
-        limits.items(),
-        F.lit(False),
+    # Partition columns: only the folders of due batches are read.
+    fresh = reduce(
+        or_,
+        [
+            (F.col("stream") == s) & (F.col("batch") > covered.get(s, -1)) & (F.col("batch") <= b)
+            for s, b in due.items()
+        ],
     )
+    log = read_log(spark, root).filter(fresh & F.col("error").isNull())
     version += 1
     before = read_catalogue(spark, root)
-    files_log = log("files", _ddl("files", f", {FIRST_LAST}")).filter(fresh)
-    batch = upsert.recollapse(files_log.drop("stream", "batch"))
-    conform(upsert.upsert_files(before["files"], batch), "files").write.mode("overwrite").parquet(
-        f"{root}/base/files/version={version}"
-    )
 
-    docs_ddl = "file_id string, first_part int"
-    known = _read(spark, f"{root}/base/documents", f"{docs_ddl}, version bigint").filter(
+    # Which deliveries bring a document not known yet: keys only, folded before the shuffle.
+    known = _read(spark, f"{root}/base/documents", f"{_DOCUMENTS}, version bigint").filter(
         F.col("version") < version
     )
-    key = ["file_id", "first_part"]
-    winners = (
-        log("documents", f"{docs_ddl}, first_at string, event_id string")
-        .filter(fresh)
-        .groupBy(*key)
-        .agg(F.min_by(F.struct("stream", "batch"), F.struct("first_at", "event_id", "stream", "batch")).alias("w"))
-        .select(*key, "w.stream", "w.batch")
+    order = F.struct("seen_at", "event_id", *DELIVERY)
+    winners = log.groupBy(*DOCUMENT).agg(F.min(order).alias("w")).select(*DOCUMENT, "w.*")
+    path = f"{root}/base/documents/version={version}"
+    upsert.insert_children(known, winners, DOCUMENT).select(*DOCUMENT, *DELIVERY).write.mode(
+        "overwrite"
+    ).parquet(path)
+    winners = _read(spark, path, _DOCUMENTS)
+    # Each fan-out takes only its own columns through this join.
+    fresh_documents = log.join(winners, [*DOCUMENT, *DELIVERY], "left_semi")
+
+    audit = (
+        log.filter("first_part = 0")
+        .groupBy("file_id")
+        .agg(
+            F.count("*").alias("deliveries"),
+            F.min("seen_at").alias("first_at"),
+            F.max("seen_at").alias("last_at"),
+        )
+    )
+    new_files = conform(ingest.files_rows(fresh_documents, inspected_at=F.col("seen_at")), "files")
+    batch = audit.join(new_files, "file_id", "left")
+    conform(upsert.upsert_files(before["files"], batch), "files").write.mode("overwrite").parquet(
+        f"{root}/base/files/version={version}"
     )
-    winners = upsert.insert_children(known, winners, key)
-    winners_path = f"{root}/base/documents/version={version}"
-    winners.write.mode("overwrite").parquet(winners_path)
-    winners = _read(spark, winners_path, f"{docs_ddl}, stream string, batch bigint")
     for name in CHILDREN:
-        rows = log(name, _ddl(name, ", first_part int")).filter(fresh)
-        added = rows.join(winners, [*key, "stream", "batch"], "left_semi")
-        conform(added, name).write.mode("overwrite").parquet(f"{root}/base/{name}/version={version}")
+        conform(ingest.FAN_OUT[name](fresh_documents), name).write.mode("overwrite").parquet(
+            f"{root}/base/{name}/version={version}"
+        )
 
-    done = [(s, int(b), version) for s, b in limits.items()]
-    spark.createDataFrame(done, COMMITS).coalesce(1).drop("version").write.mode("overwrite").parquet(
+    rows = [(s, int(b), version) for s, b in due.items()]
+    spark.createDataFrame(rows, COMMITS).coalesce(1).drop("version").write.mode("overwrite").parquet(
         f"{root}/commits/version={version}"
     )
     return version

@@ -37,21 +37,6 @@ def collapse(
     )
 
 
-def recollapse(log: DataFrame, key: Sequence[str] = ("file_id",), event: str = "event_id") -> DataFrame:
-    """Collapse rows that are collapsed already, adding up their deliveries."""
-    rest = [c for c in log.columns if c not in (*key, "deliveries", "first_at", "last_at")]
-    return (
-        log.groupBy(*key)
-        .agg(
-            F.min_by(F.struct(*rest), F.struct("first_at", event)).alias("_row"),
-            F.sum("deliveries").alias("deliveries"),
-            F.min("first_at").alias("first_at"),
-            F.max("last_at").alias("last_at"),
-        )
-        .select(*key, "_row.*", "deliveries", "first_at", "last_at")
-    )
-
-
 def upsert_files(existing: DataFrame, collapsed: DataFrame) -> DataFrame:
     """The next state of the files table.
 

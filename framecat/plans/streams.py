@@ -113,6 +113,8 @@ _ALL = views.sql_views("files", "parts", "channels", "attributes")
 _EXR = "lower(s3_key) LIKE '%.exr'"
 
 ORACLES = {
+    "flushes_r2": f"""SELECT {arrivals.FILES_PER_FLUSH}::bigint AS most_files, {LINE_FILES}::bigint AS files,
+          count(*) AS payloads FROM orders""",
     "new_objects_r1": views.sql_views("files") + f" SELECT s3_bucket, s3_key, mtime FROM fx_ids WHERE {_EXR}",
     "stream_ingest_r3": _ALL
     + f""", good AS (SELECT * FROM fx_ids WHERE {_EXR}),
