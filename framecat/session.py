@@ -24,20 +24,26 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "fra
     )
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: what the session calls spark.checkpoint.dir.
 
     A machine-local temporary folder is only good enough when the whole of Spark
     is one local process, so elsewhere a missing setting is an error.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+        "spark.checkpoint.dir"
+    )
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    named = tempfile.mkdtemp(prefix="framecat-")
-    spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="framecat-")
+    return _local_dirs[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

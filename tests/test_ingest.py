@@ -49,7 +49,7 @@ FULL = payload(
             [{"name": "n", "type": "INT", "value": 3}, {"name": "b", "type": "BOOL", "value": True}, {"name": "none"}],
         ]
     },
-    file={"multipart_count": 3, "is_deep": True, "size_bytes": 5, "mtime": AT},
+    file={"multipart_count": 3, "is_deep": True, "size_bytes": 5, "mtime": AT, "frame_number": 1},
 )
 
 

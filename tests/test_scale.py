@@ -220,10 +220,21 @@ def test_late_arrivals_are_left_out(spark):
     assert all(files <= 2 for _, files in got)
 
 
-def test_shared_folder_is_named_by_the_session(spark):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        spark.conf.set("spark.checkpoint.dir", "/tmp/framecat-named/")
-        assert scratch_path(spark, "x").startswith("/tmp/framecat-named/x-")
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before) if before else spark.conf.unset("spark.checkpoint.dir")
+def test_shared_folder_is_named_by_the_session():
+    class Context:
+        master, applicationId = "spark://somewhere", "app"
+
+        def __init__(self, **conf):
+            self.conf = conf
+
+        def getConf(self):
+            return self.conf
+
+    class Session:
+        def __init__(self, **conf):
+            self.conf, self.sparkContext = conf, Context(**conf)
+
+    named = Session(**{"spark.checkpoint.dir": "hdfs:///shared/"})
+    assert scratch_path(named, "x").startswith("hdfs:///shared/x-")
+    with pytest.raises(ValueError):
+        scratch_path(Session(), "x")
