@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framecat.functions import values
+from framecat.functions.values import bind
 
 LANES = 4
 LANE_DIGITS = 6  # hex digits: sums of 24-bit numbers fit a bigint for 2^39 rows
@@ -148,11 +149,6 @@ def set_digest_agg(hex_text: Column) -> Column:
     return digest_of_sums(F.count(hex_text), sums)
 
 
-def bind(value: Column, use: Callable[[Column], Column]) -> Column:
-    """Evaluate a column once and use it many times, also inside lambdas."""
-    return F.transform(F.array(value), use)[0]
-
-
 def header_hash(multipart_count: Column, is_deep: Column, header_digest: Column) -> Column:
     """Hash of part count, deep flag and every field of every part."""
     return F.sha2(F.concat_ws("|", multipart_count, is_deep.cast("string"), header_digest), 256)

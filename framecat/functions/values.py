@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
@@ -16,6 +17,11 @@ _INNER = "struct<x: variant, y: variant>"
 _CORNERS = (("min", "x", "xMin"), ("min", "y", "yMin"), ("max", "x", "xMax"), ("max", "y", "yMax"))
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Evaluate a column once and use it many times, also inside lambdas."""
+    return F.transform(F.array(value), use)[0]
+
+
 def variant(text: Column) -> Column:
     return F.try_parse_json(text)
 
@@ -74,17 +80,26 @@ def window_ints(box: Column) -> Column:
     A missing corner counts as 0; a corner that is no number makes the box NULL.
     """
 
-    outer = F.try_variant_get(box, "$", _OUTER)  # NULL unless an object
-    sides = {n: F.try_variant_get(outer[n], "$", _INNER) for n in ("min", "max")}
-    broken = [outer[n].isNotNull() & side.isNull() for n, side in sides.items()]
-    numbers = []
-    for side, axis, flat in _CORNERS:
-        present = F.coalesce(sides[side][axis], outer[flat])
-        number = F.try_variant_get(present, "$", "int")
-        broken.append(present.isNotNull() & number.isNull())
-        numbers.append(F.coalesce(number, F.lit(0)))
-    found = F.struct(*[number.alias(n) for n, number in zip(BOX_FIELDS, numbers)])
-    return F.when(outer.isNotNull() & ~reduce(or_, broken), found)
+    def from_outer(outer: Column) -> Column:
+        sides = [F.try_variant_get(outer[n], "$", _INNER).alias(n) for n in ("min", "max")]
+        return bind(F.struct(*sides), lambda inner: from_sides(outer, inner))
+
+    def from_sides(outer: Column, inner: Column) -> Column:
+        present = [F.coalesce(inner[side][axis], outer[flat]) for side, axis, flat in _CORNERS]
+        read = F.struct(
+            *[c.isNotNull().alias(f"has_{n}") for n, c in zip(BOX_FIELDS, present)],
+            *[F.try_variant_get(c, "$", "int").alias(n) for n, c in zip(BOX_FIELDS, present)],
+        )
+        no_side = [outer[n].isNotNull() & inner[n].isNull() for n in ("min", "max")]
+
+        def checked(r: Column) -> Column:
+            broken = no_side + [r[f"has_{n}"] & r[n].isNull() for n in BOX_FIELDS]
+            found = F.struct(*[F.coalesce(r[n], F.lit(0)).alias(n) for n in BOX_FIELDS])
+            return F.when(outer.isNotNull() & ~reduce(or_, broken), found)
+
+        return bind(read, checked)
+
+    return bind(F.try_variant_get(box, "$", _OUTER), from_outer)  # NULL unless an object
 
 
 def display_dims(data: Column, display: Column, width: Column, height: Column) -> dict[str, Column]:

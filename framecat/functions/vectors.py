@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from framecat.functions.channels import root_layer
 from framecat.functions.codecs import compression_score
-from framecat.functions.structure import bind
+from framecat.functions.values import bind
 from framecat.schemas import FINGERPRINT_DIM, METADATA_DIM
 
 # Feature scales, channel types in feature order, and the zero bound.

@@ -80,15 +80,17 @@ def catalogue_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hashed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files with their header hash."""
-    s = structures(spark, sf_dir)
-    f = views.identified(views.files(spark, sf_dir))
-    hashed = structure.header_hash(
-        F.col("structure.part_count"), F.col("structure.is_deep"), F.col("structure.header_digest")
-    )
-    return f.join(s, "file_key").select(
-        *[c for c in f.columns], hashed.alias("header_hash")
-    )
+    """Files with their header hash, stored as a catalogue has them."""
+
+    def make() -> DataFrame:
+        s = structures(spark, sf_dir)
+        f = views.identified(views.files(spark, sf_dir))
+        hashed = structure.header_hash(
+            F.col("structure.part_count"), F.col("structure.is_deep"), F.col("structure.header_digest")
+        )
+        return f.join(s, "file_key").select(*f.columns, hashed.alias("header_hash"))
+
+    return written_once(spark, sf_dir, "hashed-files", make)
 
 
 def rounded(value: Column, digits: int = 6) -> Column:

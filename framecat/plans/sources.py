@@ -117,7 +117,11 @@ def file_id(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def header_hash(spark: SparkSession, sf: str) -> DataFrame:
-    return base.hashed_files(spark, sf).select("file_key", "header_hash")
+    s = base.structures(spark, sf)
+    hashed = structure.header_hash(
+        F.col("structure.part_count"), F.col("structure.is_deep"), F.col("structure.header_digest")
+    )
+    return s.select("file_key", hashed.alias("header_hash"))
 
 
 def content_id(spark: SparkSession, sf: str) -> DataFrame:
