@@ -48,16 +48,13 @@ def read_tables(spark: SparkSession, root: str, names: tuple[str, ...] = ("files
 
 
 def write_partitioned(files: DataFrame, path: str, mtime: str = "mtime", mode: str = "overwrite") -> None:
-    """Files by month of modification. Rows meet per month and hash slice, so no month is one task."""
+    """Files by month of modification.
+
+    Rebalancing gathers small months into few files and splits large ones over tasks.
+    """
     month = F.substring(F.col(mtime).cast("string"), 1, 7)
-    slices = F.pmod(F.xxhash64("file_id"), F.lit(8))
-    (
-        files.withColumn("year_month", month)
-        .repartition("year_month", slices)
-        .write.mode(mode)
-        .partitionBy("year_month")
-        .parquet(path)
-    )
+    marked = files.withColumn("year_month", month).hint("rebalance", "year_month")
+    marked.write.mode(mode).partitionBy("year_month").parquet(path)
 
 
 def export_parquet(df: DataFrame, path: str) -> DataFrame:
@@ -73,13 +70,20 @@ def clone_tables(tables: dict[str, DataFrame], root: str) -> dict[str, DataFrame
 def same_counts(tables: dict[str, DataFrame], copies: dict[str, DataFrame]) -> DataFrame:
     """Row counts of each table and its copy."""
 
-    def counted(name: str) -> DataFrame:
-        one = tables[name].agg(F.count("*").alias("rows"))
-        two = copies[name].agg(F.count("*").alias("copied"))
-        # Both sides are one row by construction.
-        return one.join(F.broadcast(two)).select(F.lit(name).alias("table_name"), "rows", "copied")
+    def counted(name: str, df: DataFrame, copied: bool) -> DataFrame:
+        n = df.agg(F.count("*").alias("n"))
+        return n.select(F.lit(name).alias("table_name"), F.lit(copied).alias("copied"), "n")
 
-    return reduce(DataFrame.unionByName, [counted(n) for n in tables])
+    told = [counted(n, df, False) for n, df in tables.items()]
+    told += [counted(n, copies[n], True) for n in tables]
+    return (
+        reduce(DataFrame.unionByName, told)
+        .groupBy("table_name")
+        .agg(
+            F.sum(F.when(~F.col("copied"), F.col("n"))).alias("rows"),
+            F.sum(F.when(F.col("copied"), F.col("n"))).alias("copied"),
+        )
+    )
 
 
 def sample_copy(tables: dict[str, DataFrame], n: int = 100, key: str = "file_id") -> dict[str, DataFrame]:

@@ -12,18 +12,22 @@ def is_infinite(value: Column) -> Column:
     return F.abs(value) == F.lit(float("inf"))
 
 
-def channel_statistics(samples: DataFrame, key: str, value: str = "value") -> DataFrame:
-    """Minimum, maximum, mean and deviation of finite values; counts of NaN and infinite ones."""
+def _measures(value: str) -> list[Column]:
     v = F.col(value)
     finite = F.when(~F.isnan(v) & ~is_infinite(v), v)
-    return samples.groupBy(key).agg(
+    return [
         F.min(finite).alias("min_value"),
         F.max(finite).alias("max_value"),
         F.avg(finite).alias("mean_value"),
         F.stddev_pop(finite).alias("stddev_value"),
         F.count_if(F.isnan(v)).alias("nan_count"),
         F.count_if(is_infinite(v)).alias("inf_count"),
-    )
+    ]
+
+
+def channel_statistics(samples: DataFrame, key: str, value: str = "value") -> DataFrame:
+    """Minimum, maximum, mean and deviation of finite values; counts of NaN and infinite ones."""
+    return samples.groupBy(key).agg(*_measures(value))
 
 
 def strided(samples: DataFrame, stride: int, position: str = "pos") -> DataFrame:
@@ -33,11 +37,15 @@ def strided(samples: DataFrame, stride: int, position: str = "pos") -> DataFrame
 
 def strided_statistics(samples: DataFrame, key: str, stride: int, value: str = "value", position: str = "pos") -> DataFrame:
     """Channel statistics over every stride-th value, with how many were taken."""
-    kept = strided(samples, stride, position)
-    counts = kept.groupBy(key).agg(
-        F.first("sample_stride").alias("sample_stride"), F.count("*").alias("sampled_pixel_count")
+    return (
+        strided(samples, stride, position)
+        .groupBy(key)
+        .agg(
+            *_measures(value),
+            F.first("sample_stride").alias("sample_stride"),
+            F.count("*").alias("sampled_pixel_count"),
+        )
     )
-    return channel_statistics(kept, key, value).join(counts, key)
 
 
 def content_hash(samples: DataFrame, key: str, position: str, value: str) -> DataFrame:

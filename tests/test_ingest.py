@@ -206,6 +206,20 @@ def test_batches_stream_and_replay_agree(spark, sf_dir):
     docs.unpersist()
 
 
+def test_documents_of_one_header_may_come_apart(spark, tables):
+    path = scratch_path(spark, "apart")
+    ingest.build_payload(**tables, parts_per_document=2).write.parquet(path)
+    docs = spark.read.parquet(path)
+    once, apart = scratch_path(spark, "once"), scratch_path(spark, "two-batches")
+    sinks.append_batch(docs, once, 0)
+    sinks.merge_log(spark, once)
+    late = F.xxhash64("value") % 2 == 0
+    for batch, some in enumerate([docs.filter(late), docs.filter(~late)]):
+        sinks.append_batch(some, apart, batch)
+        sinks.merge_log(spark, apart)
+    assert catalogue_rows(spark, once) == catalogue_rows(spark, apart)
+
+
 def test_half_done_merge_leaves_no_trace(spark, sf_dir):
     root = scratch_path(spark, "half")
     sinks.append_batch(lines(spark, FULL), root, 0)
