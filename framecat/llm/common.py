@@ -32,6 +32,18 @@ def without_white(text: Column) -> Column:
     return text
 
 
+def spaced(text: Column) -> Column:
+    """The text with a blank for each white space character."""
+    for white in WHITE[1:]:
+        text = F.replace(text, F.lit(white), F.lit(" "))
+    return text
+
+
+def words_of(text: Column) -> Column:
+    """Its words; a split at one plain character needs no pattern."""
+    return F.array_remove(F.split(spaced(text), " "), "")
+
+
 def raw_hash(text: str = "text") -> Column:
     """Tells rows of one id apart by their texts."""
     return F.xxhash64(whole(text))
@@ -69,6 +81,20 @@ def keep(docs: DataFrame, decided: DataFrame, id: str = "doc_id", text: str = "t
     return docs.join(small_side(both), told, "left_anti").unionByName(once)
 
 
+def numbered(rows: DataFrame, order: list[Column], into: str) -> DataFrame:
+    """Numbers rows from zero in a total order without one task that sees them all; written, so numbers hold."""
+    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = materialise(
+        placed.withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()), "numbered"
+    )
+    parts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    # One row per partition of the shuffle, whatever the number of rows.
+    before = F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    starts = parts.select("_part", before.alias("_before"))
+    inside = F.col("_at").bitwiseAND((1 << 33) - 1)
+    return placed.join(F.broadcast(starts), "_part").withColumn(into, F.col("_before") + inside).drop("_part", "_at", "_before")
+
+
 def running_total(rows: DataFrame, key: str, chunk: str, order: list[str], amount: str, into: str) -> DataFrame:
     """Adds the sum of ``amount`` over the rows before this one within its key.
 

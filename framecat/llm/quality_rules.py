@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framecat.functions.arrow_vectors import settled
-from framecat.llm.common import WHITE, whole
+from framecat.llm.common import whole, words_of
 from framecat.session import materialise
 
 # Frequent words of each language, most frequent first.
@@ -55,16 +55,6 @@ def _shift(name: str, value: Column, bits: Column) -> Column:
     return F.call_function(name, value, bits)
 
 
-def _spaced(text: Column) -> Column:
-    for white in WHITE[1:]:
-        text = F.replace(text, F.lit(white), F.lit(" "))
-    return text
-
-
-def _words(text: Column) -> Column:
-    return F.array_remove(F.split(_spaced(text), " "), "")
-
-
 def _windows(words: Column) -> Column:
     """One hash for each three neighbouring words."""
     length = F.greatest(F.size(words) - 2, F.lit(0))
@@ -179,7 +169,7 @@ def _measures(text: Column, lang: Column, rules_too: bool) -> Column:
 
         return _bind(first, shaped)
 
-    return _bind(F.struct(text.alias("text"), _words(text).alias("words"), lang.alias("lang")), measured)
+    return _bind(F.struct(text.alias("text"), words_of(text).alias("words"), lang.alias("lang")), measured)
 
 
 def measure(docs: DataFrame, text: str = "text", lang: str = "lang", rules_too: bool = True, carried: Column | None = None) -> DataFrame:

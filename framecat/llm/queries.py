@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framecat.llm import exact_dedup, quality_rules, simhash
+from framecat.llm import exact_dedup, mixing, pieces, quality_rules, simhash
 from framecat.llm.common import documents
 
+#: Where the public tokenizers' files are; the driver reads the model, tasks get its tables.
+PIECE_MODEL = os.path.join(os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers"), "piece_bpe_32k.model")
+
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir)).drop("raw")
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(documents(spark, sf_dir))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = simhash.simhash_components(documents(spark, sf_dir))
     return told.select("doc_id", F.lower(F.hex("code")).alias("fingerprint"), "component_id")
@@ -23,7 +32,21 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rules(documents(spark, sf_dir)).select(*names.split())
 
 
-QUERIES = {"op1_exact_dedup": op1_exact_dedup, "op4_simhash": op4_simhash, "op6_quality_rules": op6_quality_rules}
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every text, and whether they decode to it."""
+    table = pieces.load(PIECE_MODEL)
+    rows = documents(spark, sf_dir).select("doc_id", F.xxhash64(pieces.decodable("text")).alias("expected"), "text")
+    told = pieces.decode(pieces.encode(rows, table), table)
+    return told.select("doc_id", "token_ids", F.size("token_ids").alias("n_tokens"), (F.xxhash64("text") == F.col("expected")).alias("decoded"))
+
+
+QUERIES = {
+    "op1_exact_dedup": op1_exact_dedup,
+    "op3_mixing": op3_mixing,
+    "op4_simhash": op4_simhash,
+    "op6_quality_rules": op6_quality_rules,
+    "op8_pieces": op8_pieces,
+}
 
 ORACLES = {
     "op1_exact_dedup": r"""
