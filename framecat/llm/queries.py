@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framecat.llm import exact_dedup, mixing, pieces, quality_rules, simhash
+from framecat.llm import exact_dedup, mixing, pieces, quality_rules, simhash, substrings, warc
 from framecat.llm.common import documents
 
 #: Where the public tokenizers' files are; the driver reads the model, tasks get its tables.
@@ -18,6 +18,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir)).drop("raw")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(documents(spark, sf_dir))
 
@@ -27,6 +31,18 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", F.lower(F.hex("code")).alias("fingerprint"), "component_id")
 
 
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = substrings.remove_repeats(documents(spark, sf_dir))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["begin"])
+    return told.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept class_distance word_distance"
     return quality_rules.rules(documents(spark, sf_dir)).select(*names.split())
@@ -42,8 +58,10 @@ def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_warc": op2_warc,
     "op3_mixing": op3_mixing,
     "op4_simhash": op4_simhash,
+    "op5_substrings": op5_substrings,
     "op6_quality_rules": op6_quality_rules,
     "op8_pieces": op8_pieces,
 }
@@ -56,4 +74,10 @@ with t as (select doc_id, length(coalesce(text, '')) as points,
                   first_value(doc_id) over (partition by text_sha256 order by points desc, doc_id nulls last) as keep_id,
                   count(*) over (partition by text_sha256) as group_size from t)
 select doc_id, keep_id, group_size, place = 1 as kept, text_sha256 from r""",
+    "op2_warc": """
+with p as (select page_id, strlen(coalesce(html, '')) as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages),
+     f as (select *, case when payload_bytes >= 100 then min(page_id) over (partition by payload_digest) end as first from p)
+select page_id, payload_bytes, payload_digest,
+       case when page_id is distinct from first and first is not null then 'revisit' else 'response' end as record_type,
+       case when page_id is distinct from first and first is not null then first end as refers_to from f""",
 }
