@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framecat.llm import exact_dedup, mixing, pieces, quality_rules, simhash, substrings, warc
+from framecat.llm import exact_dedup, mixing, pieces, quality_rules, simhash, substrings, suffix_tree, warc
 from framecat.llm.common import documents
 
 #: Where the public tokenizers' files are; the driver reads the model, tasks get its tables.
@@ -56,6 +56,10 @@ def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", "token_ids", F.size("token_ids").alias("n_tokens"), (F.xxhash64("text") == F.col("expected")).alias("decoded"))
 
 
+def op9_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score_texts(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_warc": op2_warc,
@@ -64,6 +68,7 @@ QUERIES = {
     "op5_substrings": op5_substrings,
     "op6_quality_rules": op6_quality_rules,
     "op8_pieces": op8_pieces,
+    "op9_suffix_tree": op9_suffix_tree,
 }
 
 ORACLES = {
