@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -81,6 +82,11 @@ def keep(docs: DataFrame, decided: DataFrame, id: str = "doc_id", text: str = "t
     return docs.join(small_side(both), told, "left_anti").unionByName(once)
 
 
+def sent(spark: SparkSession, value):
+    """A broadcast of a value of bounded size, with its class, so that workers need not have this package."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
 def numbered(rows: DataFrame, order: list[Column], into: str) -> DataFrame:
     """Numbers rows from zero in a total order without one task that sees them all; written, so numbers hold."""
     placed = rows.repartitionByRange(*order).sortWithinPartitions(*order)

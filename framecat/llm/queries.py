@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framecat.llm import exact_dedup, mixing, pieces, quality_rules, simhash, substrings, suffix_tree, warc
+from framecat.llm import exact_dedup, kneser_ney, mixing, pieces, quality_rules, severity, simhash, substrings, suffix_tree, warc
 from framecat.llm.common import documents
 
 #: Where the public tokenizers' files are; the driver reads the model, tasks get its tables.
@@ -48,6 +48,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rules(documents(spark, sf_dir)).select(*names.split())
 
 
+def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every text, and whether they decode to it."""
     table = pieces.load(PIECE_MODEL)
@@ -60,6 +64,12 @@ def op9_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score_texts(documents(spark, sf_dir))
 
 
+def op10_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = severity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return severity.severities(docs, model).drop("raw")
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_warc": op2_warc,
@@ -67,8 +77,10 @@ QUERIES = {
     "op4_simhash": op4_simhash,
     "op5_substrings": op5_substrings,
     "op6_quality_rules": op6_quality_rules,
+    "op7_kneser_ney": op7_kneser_ney,
     "op8_pieces": op8_pieces,
     "op9_suffix_tree": op9_suffix_tree,
+    "op10_severity": op10_severity,
 }
 
 ORACLES = {
