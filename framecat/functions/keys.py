@@ -57,10 +57,10 @@ def file_id(path: Column, mtime: Column) -> Column:
 
 
 def content_id(bucket: Column, key: Column, mtime: Column, header_hash: Column) -> Column:
-    """Identity that also changes with the bucket and the header."""
+    """Identity that also changes with the bucket and the header; a line end, which no field holds, parts them."""
     blank = F.lit("")
     return F.sha2(
-        F.concat(F.coalesce(bucket, blank), key, F.coalesce(mtime, blank), header_hash), 256
+        F.concat_ws("\n", F.coalesce(bucket, blank), key, F.coalesce(mtime, blank), header_hash), 256
     )
 
 

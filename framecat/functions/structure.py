@@ -102,7 +102,9 @@ def _type_of(name: str) -> str:
 
 
 def _row_text(field: Field, names: tuple[str, ...]) -> Column:
-    return F.concat_ws("|", *[F.coalesce(field(n).cast("string"), F.lit("")) for n in names])
+    """The fields' texts, each behind its length, so that no two rows share a text; NULL is an empty text."""
+    texts = [F.coalesce(field(n).cast("string"), F.lit("")) for n in names]
+    return F.concat(*[x for t in texts for x in (F.char_length(t), F.lit(":"), t)])
 
 
 def _shape_field(field: Field) -> Field:

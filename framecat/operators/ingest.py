@@ -11,8 +11,7 @@ from framecat.functions import arrow_vectors, keys, structure, values, vectors
 from framecat.schemas import CORRUPT, FINGERPRINT_DIM, METADATA_DIM
 from framecat.sources.payloads import RAW
 
-PARTS_PER_DOCUMENT = 64
-
+# Why a payload is routed aside.
 MALFORMED = "Malformed payload"
 NO_LOCATION = "Missing bucket/key"
 BAD_SUFFIX = "Unsupported file extension"
@@ -71,27 +70,23 @@ def prepare(good: DataFrame) -> DataFrame:
         array("parts", structure.filled_part).alias("parts"),
         array("channels", structure.filled_channel).alias("channels"),
         F.col("payload.attributes").alias("attributes"),
-        F.coalesce("payload.first_part", F.lit(0)).alias("first_part"),
-        F.col("payload.structure").alias("given_structure"),
     )
-    found = structure.payload_structure(F.col)
     return filled.select(
-        *[c for c in filled.columns if c != "given_structure"],
+        "*",
         keys.file_id(F.col("file_path"), F.col("mtime")).alias("file_id"),
-        F.coalesce(F.col("given_structure"), found).alias("structure"),
+        structure.payload_structure(F.col).alias("structure"),
     )
 
 
 def files_rows(prepared: DataFrame, inspected_at: Column | None = None, dim: int = METADATA_DIM, tail_weight: float = 1.0) -> DataFrame:
-    """One row per file. Later documents of one large header add no file row."""
+    """One row per payload, which holds the whole header of a file."""
     now = keys.iso_utc(F.current_timestamp()) if inspected_at is None else inspected_at
-    first = prepared.filter(F.col("first_part") == 0)
     count = F.coalesce("file.multipart_count", F.lit(0))
     deep = F.coalesce("file.is_deep", F.lit(False))
     # The file's own flag is what the vector sees, as the parts' flags may be absent.
     flagged = F.col("structure").withField("is_deep", deep)
     hashed = structure.header_hash(count, deep, F.col("structure.header_digest"))
-    ready = first.withColumn("header_hash", hashed).withColumn("shape", arrow_vectors.settled(flagged))
+    ready = prepared.withColumn("header_hash", hashed).withColumn("shape", arrow_vectors.settled(flagged))
     return ready.select(
         "file_id",
         "file_path",
@@ -150,12 +145,10 @@ def attributes_rows(prepared: DataFrame) -> DataFrame:
     """One row per attribute; the outer position is the part, entries that are no list are skipped."""
     lists = F.try_variant_get(F.col("attributes"), "$.parts", "array<variant>")
     kept = ["file_id", "file_path"]
-    outer = prepared.select(
-        *kept, F.col("first_part").alias("base"), F.posexplode(lists).alias("pos", "of_part")
-    )
+    outer = prepared.select(*kept, F.posexplode(lists).alias("pos", "of_part"))
     inner = outer.select(
         *kept,
-        (F.col("pos") + F.col("base")).alias("part_index"),
+        F.col("pos").alias("part_index"),
         F.explode(F.try_variant_get(F.col("of_part"), "$", "array<variant>")).alias("a"),
     )
 
@@ -189,15 +182,12 @@ def build_payload(
     channels: DataFrame,
     attributes: DataFrame,
     key: str = "file_key",
-    parts_per_document: int = PARTS_PER_DOCUMENT,
 ) -> DataFrame:
-    """Table rows back to payload text, as ``key`` and ``value``.
+    """Table rows back to payload text, as ``key`` and ``value``: one payload per file.
 
-    A header with more than ``parts_per_document`` parts becomes several
-    documents, so no row or task has to hold a header of any size. Child rows
-    are shuffled once, on (key, document).
+    A payload is one JSON text, so a header's rows meet in one row; a header is what
+    the first bytes of an image file hold, which bounds it. Rows are shuffled once.
     """
-    document = F.floor(F.col("part_index") / parts_per_document).cast("int")
     windows = ("data_window", "display_window")
     part = F.struct(*[F.col(c) for c in structure.PART_COLUMNS])
     channel = F.struct(
@@ -212,59 +202,6 @@ def build_payload(
     attribute = F.struct(
         "part_index", F.col("attr_name").alias("name"), F.col("attr_type").alias("type"), "value_json"
     )
-
-    def tagged(df: DataFrame, name: str, row: Column) -> DataFrame:
-        return df.select(key, document.alias("document"), row.alias(name))
-
-    children = [
-        tagged(parts, "part", part),
-        tagged(channels, "channel", channel),
-        tagged(attributes, "attribute", attribute),
-    ]
-    tags = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), children)
-
-    def p(name: str) -> Column:
-        return F.col("part")[name]
-
-    def c(name: str) -> Column:
-        return F.col("channel")[name]
-
-    def only(tag: str, hashed: Column) -> Column:
-        return F.when(F.col(tag).isNotNull(), hashed)
-
-    codec = F.lower(p("compression"))
-    hashed = tags.select(
-        key,
-        "document",
-        F.col("part").isNotNull().alias("is_part"),
-        F.col("channel").isNotNull().alias("is_channel"),
-        p("is_deep").alias("is_deep"),
-        p("is_tiled").alias("is_tiled"),
-        p("multi_view").alias("multi_view"),
-        F.when(F.length(codec) > 0, codec).alias("codec"),
-        only("part", structure.part_hash(p)).alias("part_hash"),
-        only("part", structure.part_shape_hash(p)).alias("part_shape"),
-        only("channel", structure.channel_shape_hash(c)).alias("channel_shape"),
-    )
-    extent = hashed.groupBy(key).agg(
-        F.max("document").alias("last_document"),
-        F.count_if("is_part").alias("part_count"),
-        F.count_if("is_channel").alias("channel_count"),
-        F.coalesce(F.bool_or("is_deep"), F.lit(False)).alias("is_deep"),
-        F.coalesce(F.bool_or("is_tiled"), F.lit(False)).alias("is_tiled"),
-        F.coalesce(F.bool_or("multi_view"), F.lit(False)).alias("has_multiview"),
-        F.coalesce(F.min("codec"), F.lit("none")).alias("codec"),
-        structure.set_digest_agg(F.col("part_hash")).alias("header_digest"),
-        F.concat_ws(
-            ";",
-            structure.set_digest_agg(F.col("part_shape")),
-            structure.set_digest_agg(F.col("channel_shape")),
-        ).alias("structure_digest"),
-    )
-    summary = F.struct(
-        "part_count", "channel_count", "is_deep", "is_tiled", "has_multiview", "codec",
-        "header_digest", "structure_digest",
-    )
     header = F.struct(
         F.col("s3_key").alias("path"),
         "s3_key",
@@ -272,25 +209,18 @@ def build_payload(
         "size_bytes",
         "mtime",
         keys.frame_number(F.col("s3_key")).alias("frame_number"),
-        F.coalesce("part_count", F.lit(0)).cast("int").alias("multipart_count"),
-        F.coalesce("is_deep", F.lit(False)).alias("is_deep"),
-    )
-    last = F.coalesce("last_document", F.lit(0))
-    headers = (
-        files.join(extent, key, "left")
-        .select(
-            key,
-            header.alias("header"),
-            F.when(last > 0, summary).alias("structure"),
-            F.explode(F.sequence(F.lit(0), last)).alias("document"),
-        )
     )
+    tagged = [
+        files.select(key, header.alias("header")),
+        parts.select(key, part.alias("part")),
+        channels.select(key, channel.alias("channel")),
+        attributes.select(key, attribute.alias("attribute")),
+    ]
     grouped = (
-        tags.unionByName(headers, allowMissingColumns=True)
-        .groupBy(key, "document")
+        reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+        .groupBy(key)
         .agg(
             F.any_value("header", True).alias("header"),
-            F.any_value("structure", True).alias("structure"),
             F.array_sort(F.collect_list("part")).alias("parts"),
             F.array_sort(F.collect_list("channel")).alias("channels"),
             F.array_sort(F.collect_list("attribute")).alias("attrs"),
@@ -309,11 +239,7 @@ def build_payload(
             shown[n] = nonzero(x[n])
         return F.struct(*[v.alias(n) for n, v in shown.items()])
 
-    first = (F.col("document") * parts_per_document).cast("int")
-    upto = F.greatest(
-        first + F.size("parts") - 1,
-        F.coalesce(F.array_max(F.transform("attrs", lambda a: a["part_index"])), F.lit(-1)),
-    )
+    upto = F.greatest(F.size("parts") - 1, F.coalesce(F.array_max(F.transform("attrs", lambda a: a["part_index"])), F.lit(-1)))
 
     def attribute_text(a: Column) -> Column:
         """JSON of one attribute, its value's text taken over as it is."""
@@ -327,17 +253,17 @@ def build_payload(
             F.lit("["), F.array_join(F.transform(of_part, attribute_text), ","), F.lit("]")
         )
 
-    lists = F.when(upto >= first, F.transform(F.sequence(first, upto), list_text)).otherwise(
+    lists = F.when(upto >= 0, F.transform(F.sequence(F.lit(0), upto), list_text)).otherwise(
         F.array().cast("array<string>")
     )
+    whole = F.col("header").withField("multipart_count", F.size("parts"))
+    whole = whole.withField("is_deep", F.exists("parts", lambda p: F.coalesce(p["is_deep"], F.lit(False))))
     body = F.struct(
         F.lit(1).alias("schema_version"),
-        F.col("header").alias("file"),
+        whole.alias("file"),
         F.transform("parts", payload_part).alias("parts"),
         "channels",
         F.array().cast("array<string>").alias("errors"),
-        nonzero(first).alias("first_part"),
-        "structure",
     )
     head = F.to_json(body)
     value = F.concat(

@@ -4,22 +4,22 @@ Layout below a catalogue root, all Parquet:
 
     log/payloads/stream=S/batch=N    parsed payloads of one batch, good and bad
     log/done/stream=S/batch=N        one row, written when the batch is whole
-    base/files/version=V             the files table as of merge V
-    base/<child>/version=V           the child rows merge V added
-    base/documents/version=V         the payload documents those came from
-    commits/version=V                what merge V covers, written last
+    base/files/version=V             files that merge V added
+    base/<child>/version=V           their child rows
+    base/known/version=V             their ids, and the deliveries they came from
+    base/audit/version=V             deliveries and times per file of merge V
+    commits/version=V                the batches merge V covers, written last
 
 A batch is one map-only write of its own folder: it reads nothing that grows with
-the catalogue, and writing it again replaces it. A stream's batches must be done in
-the order of their numbers. ``merge_log`` folds batches into
-the next version. Readers see a version once its commit row exists, so a merge
-that dies half-way leaves no trace.
+the catalogue, and writing it again replaces it. Batches may be done in any order.
+``merge_log`` folds the batches that are done and that no commit lists into the next
+version, and writes no more than they bring; counts and times are summed up on reading.
+Readers see a version once its commit exists, so a merge that dies half-way leaves no trace.
 """
 
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,13 +28,16 @@ from pyspark.sql import types as T
 
 from framecat.operators import ingest, upsert
 from framecat.schemas import conform, table_schema
+from framecat.session import materialise
 from framecat.sources.payloads import parse_payloads
 
 CHILDREN = ("parts", "channels", "attributes")
-DOCUMENT = ("file_id", "first_part")
 DELIVERY = ("stream", "batch", "delivery")
-_DOCUMENTS = "file_id string, first_part int, stream string, batch bigint, delivery bigint"
-COMMITS = "stream string, upto_batch bigint, version bigint"
+_KNOWN = "file_id string, stream string, batch bigint, delivery bigint"
+_AUDIT = "file_id string, deliveries bigint, first_at string, last_at string, version bigint"
+_BATCH = "stream string, batch bigint"
+#: So many batches go into one version; a merge goes on until none is due.
+MERGED_BATCHES = 10_000
 
 
 def write_tables(rows: dict[str, DataFrame], root: str, mode: str = "append") -> None:
@@ -156,88 +159,74 @@ def _ddl(name: str, extra: str = "") -> str:
     return f"{body}{extra}"
 
 
-def _commits(spark: SparkSession, root: str) -> list:
-    """One row per merge and stream: table metadata, not data."""
-    return _read(spark, f"{root}/commits", COMMITS).collect()
+def _commits(spark: SparkSession, root: str) -> DataFrame:
+    """The batches that each merge covers."""
+    return _read(spark, f"{root}/commits", f"{_BATCH}, version bigint")
+
+
+def _version(spark: SparkSession, root: str) -> int:
+    return _commits(spark, root).agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
 
 
 def read_catalogue(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The four tables as of the last committed merge."""
-    version = max((c["version"] for c in _commits(spark, root)), default=0)
-    found = {
-        "files": _read(spark, f"{root}/base/files", _ddl("files", ", version bigint"))
-        .filter(F.col("version") == version)
-        .drop("version")
-    }
-    for name in CHILDREN:
-        table = _read(spark, f"{root}/base/{name}", _ddl(name, ", version bigint"))
-        found[name] = table.filter(F.col("version") <= version).drop("version")
-    return found
+    version = _version(spark, root)
 
+    def table(name: str) -> DataFrame:
+        rows = _read(spark, f"{root}/base/{name}", _ddl(name, ", version bigint"))
+        return rows.filter(F.col("version") <= version).drop("version")
 
-def merge_log(spark: SparkSession, root: str) -> int:
-    """Fold logged batches no commit covers into the next version; returns the version.
+    audit = _read(spark, f"{root}/base/audit", _AUDIT).filter(F.col("version") <= version)
+    audit = audit.groupBy("file_id").agg(
+        F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"), F.sum("deliveries").alias("deliveries")
+    )
+    told = table("files").join(audit, "file_id").withColumns({
+        "inspection_timestamp": F.col("first_at"),
+        "inspection_count": F.col("deliveries").cast("int"),
+        "last_inspected": F.col("last_at"),
+    })
+    return {"files": told.select(*table_schema("files").names), **{name: table(name) for name in CHILDREN}}
 
-    Single writer. Streams are few; what is collected is one number per stream.
-    """
-    commits = _commits(spark, root)
-    version = max((c["version"] for c in commits), default=0)
-    covered: dict[str, int] = {}
-    for c in commits:
-        covered[c["stream"]] = max(covered.get(c["stream"], -1), c["upto_batch"])
-
-    done = _read(spark, f"{root}/log/done", "whole boolean, stream string, batch bigint")
-    limits = {r[0]: r[1] for r in done.groupBy("stream").agg(F.max("batch")).collect()}
-    due = {s: b for s, b in limits.items() if b > covered.get(s, -1)}
-    if not due:
-        return version
+
+def merge_log(spark: SparkSession, root: str) -> int:
+    """Fold done batches that no commit lists into next versions; returns the last version. Single writer."""
+    version = _version(spark, root)
+    while True:
+        done = _read(spark, f"{root}/log/done", f"whole boolean, {_BATCH}").select("stream", "batch")
+        due = done.join(_commits(spark, root), ["stream", "batch"], "left_anti").limit(MERGED_BATCHES)
+        batches = [(r.stream, r.batch) for r in due.collect()]
+        if not batches:
+            return version
+        version += 1
+        _merge(spark, root, batches, version)
+
+
+def _merge(spark: SparkSession, root: str, batches: list[tuple[str, int]], version: int) -> None:
+    numbers: dict[str, list[int]] = {}
+    for stream, batch in batches:
+        numbers.setdefault(stream, []).append(batch)
     # Partition columns: only the folders of due batches are read.
-    fresh = reduce(
-        or_,
-        [
-            (F.col("stream") == s) & (F.col("batch") > covered.get(s, -1)) & (F.col("batch") <= b)
-            for s, b in due.items()
-        ],
-    )
-    log = read_log(spark, root).filter(fresh & F.col("error").isNull())
-    version += 1
-    before = read_catalogue(spark, root)
+    due = F.lit(False)
+    for stream, own in numbers.items():
+        due = due | ((F.col("stream") == stream) & F.col("batch").isin(own))
+    log = read_log(spark, root).filter(due & F.col("error").isNull())
 
-    # Which deliveries bring a document not known yet: keys only, folded before the shuffle.
-    known = _read(spark, f"{root}/base/documents", f"{_DOCUMENTS}, version bigint").filter(
-        F.col("version") < version
-    )
+    def put(df: DataFrame, name: str) -> None:
+        df.write.mode("overwrite").parquet(f"{root}/base/{name}/version={version}")
+
+    # Which deliveries bring a file not known yet: keys only, folded before the shuffle.
+    known = _read(spark, f"{root}/base/known", f"{_KNOWN}, version bigint").filter(F.col("version") < version)
     order = F.struct("seen_at", "event_id", *DELIVERY)
-    winners = log.groupBy(*DOCUMENT).agg(F.min(order).alias("w")).select(*DOCUMENT, "w.*")
-    path = f"{root}/base/documents/version={version}"
-    upsert.insert_children(known, winners, DOCUMENT).select(*DOCUMENT, *DELIVERY).write.mode(
-        "overwrite"
-    ).parquet(path)
-    winners = _read(spark, path, _DOCUMENTS)
-    # Each fan-out takes only its own columns through this join.
-    fresh_documents = log.join(winners, [*DOCUMENT, *DELIVERY], "left_semi")
-
-    audit = (
-        log.filter("first_part = 0")
-        .groupBy("file_id")
-        .agg(
-            F.count("*").alias("deliveries"),
-            F.min("seen_at").alias("first_at"),
-            F.max("seen_at").alias("last_at"),
-        )
-    )
-    new_files = conform(ingest.files_rows(fresh_documents, inspected_at=F.col("seen_at")), "files")
-    batch = audit.join(new_files, "file_id", "left")
-    conform(upsert.upsert_files(before["files"], batch), "files").write.mode("overwrite").parquet(
-        f"{root}/base/files/version={version}"
-    )
+    winners = log.groupBy("file_id").agg(F.min(order).alias("w")).select("file_id", "w.*")
+    put(upsert.insert_children(known, winners).select("file_id", *DELIVERY), "known")
+    new = _read(spark, f"{root}/base/known/version={version}", _KNOWN)
+    # The winners' payloads, written once; every table takes its columns from there.
+    fresh = materialise(log.join(new, ["file_id", *DELIVERY], "left_semi"), "fresh")
+    put(conform(ingest.files_rows(fresh, inspected_at=F.col("seen_at")), "files"), "files")
     for name in CHILDREN:
-        conform(ingest.FAN_OUT[name](fresh_documents), name).write.mode("overwrite").parquet(
-            f"{root}/base/{name}/version={version}"
-        )
-
-    rows = [(s, int(b), version) for s, b in due.items()]
-    spark.createDataFrame(rows, COMMITS).coalesce(1).drop("version").write.mode("overwrite").parquet(
-        f"{root}/commits/version={version}"
+        put(conform(ingest.FAN_OUT[name](fresh), name), name)
+    audit = log.groupBy("file_id").agg(
+        F.count("*").alias("deliveries"), F.min("seen_at").alias("first_at"), F.max("seen_at").alias("last_at")
     )
-    return version
+    put(audit, "audit")
+    spark.createDataFrame(batches, _BATCH).coalesce(1).write.mode("overwrite").parquet(f"{root}/commits/version={version}")

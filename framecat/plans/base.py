@@ -126,8 +126,8 @@ EMPTY_DIGEST = "'" + ",".join(["0"] * (1 + structure.LANES)) + "'"
 
 
 def sql_row_hash(columns) -> str:
-    texts = ", ".join(f"coalesce(cast({c} AS varchar), '')" for c in columns)
-    return f"md5(concat_ws('|', {texts}))"
+    texts = [f"coalesce(cast({c} AS varchar), '')" for c in columns]
+    return "md5(concat(" + ", ".join(f"length({t}), ':', {t}" for t in texts) + "))"
 
 
 STRUCTURE_CTE = f""",

@@ -334,7 +334,7 @@ ORACLES = {
     "file_id_b5": _F + " SELECT file_key, file_id, mtime FROM fx_ids",
     "header_hash_b6": base.structure_views() + " SELECT file_key, header_hash FROM fx_hashed",
     "content_id_b7": base.structure_views()
-    + " SELECT file_key, sha256(s3_bucket || s3_key || mtime || header_hash) AS content_id FROM fx_hashed",
+    + " SELECT file_key, sha256(concat_ws(chr(10), s3_bucket, s3_key, mtime, header_hash)) AS content_id FROM fx_hashed",
     "window_ints_b8": _P
     + """ SELECT file_key, part_index, x0 AS data_min_x, x0 AS data_min_y, x0 + width - 1 AS data_max_x,
           x0 + height - 1 AS data_max_y,

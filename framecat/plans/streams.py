@@ -33,7 +33,7 @@ def new_objects(spark: SparkSession, sf: str) -> DataFrame:
 
 def flushes(spark: SparkSession, sf: str) -> DataFrame:
     """Micro-batches by size: how many took how many files' lines."""
-    lines = arrivals.payload_stream(spark, _arrived(spark, sf), "*.txt")
+    lines = arrivals.payload_stream(spark, _arrived(spark, sf), "*.txt", arrivals.FILES_PER_FLUSH)
     out, state = scratch_path(spark, "flushes"), scratch_path(spark, "state")
 
     def flush(batch: DataFrame, number: int) -> None:

@@ -270,7 +270,7 @@ ORACLES = {
     "files_rows_c1": base.structure_views()
     + f""" SELECT file_id, s3_key AS file_path, file_path_normalized, header_hash, size_bytes, mtime,
           cast(part_count AS int) AS multipart_count, is_deep, cast(frame_digits AS int) AS frame_number,
-          1 AS inspection_count, s3_bucket, sha256(s3_bucket || s3_key || mtime || header_hash) AS content_id
+          1 AS inspection_count, s3_bucket, sha256(concat_ws(chr(10), s3_bucket, s3_key, mtime, header_hash)) AS content_id
           FROM fx_hashed WHERE {_EXR}""",
     "parts_rows_c2": _FP
     + f""" SELECT file_id, s3_key AS file_path, p.* EXCLUDE (file_key)

@@ -47,9 +47,6 @@ TABLES = {
 }
 
 # The inspection payload. Every key but file.path may be absent.
-# first_part and structure are ours: a header with more parts than fit one
-# document arrives as several, each saying where its parts begin and carrying
-# the summary of the whole header.
 PART_FIELDS = """
     part_index: int, width: int, height: int, display_width: int,
     display_height: int, data_x_offset: int, data_y_offset: int,
@@ -61,10 +58,6 @@ PART_FIELDS = """
 CHANNEL_FIELDS = """
     part_index: int, name: string, layer_name: string, component_name: string,
     type: string, x_sampling: int, y_sampling: int"""
-STRUCTURE_FIELDS = """
-    part_count: bigint, channel_count: bigint, is_deep: boolean,
-    is_tiled: boolean, has_multiview: boolean, codec: string,
-    header_digest: string, structure_digest: string"""
 CORRUPT = "_corrupt"
 PAYLOAD = f"""
     schema_version int,
@@ -74,7 +67,6 @@ PAYLOAD = f"""
     parts array<struct<{PART_FIELDS}>>,
     channels array<struct<{CHANNEL_FIELDS}>>,
     attributes variant, stats variant, validation variant, errors array<string>,
-    first_part int, structure struct<{STRUCTURE_FIELDS}>,
     {CORRUPT} string"""
 
 

@@ -18,15 +18,13 @@ def payload_stream(
     spark: SparkSession,
     path: str,
     glob: str = "*",
-    files_per_flush: int = FILES_PER_FLUSH,
+    files_per_flush: int | None = None,
 ) -> DataFrame:
-    """Stream of payload lines as files arrive; each micro-batch takes so many files at most."""
-    return (
-        spark.readStream.schema("value string")
-        .option("pathGlobFilter", glob)
-        .option("maxFilesPerTrigger", files_per_flush)
-        .text(path)
-    )
+    """Stream of payload lines as files arrive; a micro-batch takes all of them, or so many files at most."""
+    reader = spark.readStream.schema("value string").option("pathGlobFilter", glob)
+    if files_per_flush:
+        reader = reader.option("maxFilesPerTrigger", files_per_flush)
+    return reader.text(path)
 
 
 def only_supported(events: DataFrame, key: str = "s3_key") -> DataFrame:
@@ -71,12 +69,15 @@ def start_ingest(
     """Log every micro-batch of payload lines; ``merge_log`` folds them in when wanted.
 
     A micro-batch appends under its own batch number and reads nothing that grows
-    with the catalogue. A replayed one replaces itself. Without an interval the
-    query takes what is there and ends.
+    with the catalogue. A replayed one replaces itself. The stream's name in the log
+    ends with the id that its checkpoint holds, so a restart with a new checkpoint,
+    which counts from zero again, is another stream. Without an interval the query
+    takes what is there and ends.
     """
 
     def flush(batch: DataFrame, number: int) -> None:
-        sinks.append_batch(batch, root, number, stream, located=located)
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        sinks.append_batch(batch, root, number, f"{stream}-{run}", located=located)
 
     writer = lines.writeStream.foreachBatch(flush).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}

@@ -200,3 +200,13 @@ def test_set_digest_forms_agree(spark):
     a = gathered.select("k", structure.set_digest(F.col("hs")).alias("d"))
     b = rows.groupBy("k").agg(structure.set_digest_agg(F.col("h")).alias("d"))
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_hashes_tell_rows_apart_whose_fields_join_to_one_text(spark):
+    from framecat.functions import keys, structure
+
+    pairs = spark.createDataFrame([("a", "b/c.exr", "x|y", ""), ("ab", "/c.exr", "x", "y|")], "bucket string, key string, p string, q string")
+    ids = pairs.select(keys.content_id(F.col("bucket"), F.col("key"), F.lit("t"), F.lit("h")).alias("id")).collect()
+    assert ids[0].id != ids[1].id
+    texts = pairs.select(F.md5(structure._row_text(F.col, ("p", "q"))).alias("h")).collect()
+    assert texts[0].h != texts[1].h

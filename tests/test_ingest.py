@@ -1,6 +1,7 @@
 """Payloads to tables: cases, errors, round trip, large headers, replay, streams."""
 
 import json
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from framecat.functions import structure
 from framecat.operators import ingest, sinks, upsert
 from framecat.plans import base, views
-from framecat.session import scratch_path
+from framecat.session import materialise, scratch_path
 from framecat.sources.payloads import parse_payloads, read_payloads
 from framecat.streaming import arrivals
 
@@ -132,13 +133,8 @@ def tables(spark, sf_dir):
     }
 
 
-@pytest.mark.parametrize("parts_per_document", [1, 3, 64])
-def test_round_trip(spark, tables, parts_per_document):
-    docs = ingest.build_payload(**tables, parts_per_document=parts_per_document)
-    # Documents of one header are independent rows, so any order must do.
-    path = scratch_path(spark, "docs")
-    docs.orderBy(F.xxhash64("value")).write.parquet(path)
-    prepared = ingest.prepare(parse_payloads(spark.read.parquet(path)))
+def test_round_trip(spark, tables):
+    prepared = ingest.prepare(parse_payloads(materialise(ingest.build_payload(**tables), "docs")))
     ids = tables["files"].select("file_key", "file_id")
     want = tables["parts"].join(ids, "file_key").drop("file_key")
     got = ingest.parts_rows(prepared).select(*want.columns)
@@ -206,18 +202,61 @@ def test_batches_stream_and_replay_agree(spark, sf_dir):
     docs.unpersist()
 
 
-def test_documents_of_one_header_may_come_apart(spark, tables):
-    path = scratch_path(spark, "apart")
-    ingest.build_payload(**tables, parts_per_document=2).write.parquet(path)
-    docs = spark.read.parquet(path)
-    once, apart = scratch_path(spark, "once"), scratch_path(spark, "two-batches")
-    sinks.append_batch(docs, once, 0)
-    sinks.merge_log(spark, once)
-    late = F.xxhash64("value") % 2 == 0
-    for batch, some in enumerate([docs.filter(late), docs.filter(~late)]):
-        sinks.append_batch(some, apart, batch)
-        sinks.merge_log(spark, apart)
-    assert catalogue_rows(spark, once) == catalogue_rows(spark, apart)
+def wide(count, codec="zip"):
+    """A header with so many parts, each with one channel and one attribute."""
+    return payload(
+        parts=[{"part_index": i, "compression": codec, "width": i} for i in range(count)],
+        channels=[{"part_index": i, "name": f"l{i}.R", "type": "HALF"} for i in range(count)],
+        attributes={"parts": [[{"name": "n", "type": "int", "value": i}] for i in range(count)]},
+    )
+
+
+@pytest.mark.parametrize("count", [1, 64, 65, 1000])
+def test_a_header_of_any_size_is_one_file(spark, count):
+    got = rows(spark, wide(count))
+    assert [len(got[n]) for n in ("files", "parts", "channels", "attributes")] == [1, count, count, count]
+    marked = [x for x in got["channels"] if any(x.channel_fingerprint)]
+    assert len(marked) == 1 and marked[0].part_index == 0
+    root = scratch_path(spark, "wide")
+    sinks.append_batch(lines(spark, wide(count)), root, 0)
+    sinks.append_batch(lines(spark, wide(count + 70, "piz")), root, 1)
+    sinks.merge_log(spark, root)
+    sinks.append_batch(lines(spark, wide(count + 200, "piz")), root, 2)
+    sinks.merge_log(spark, root)
+    found = sinks.read_catalogue(spark, root)
+    assert [(r.inspection_count, r.multipart_count) for r in found["files"].collect()] == [(3, 0)]
+    assert found["parts"].count() in (count, count + 70)
+    assert len({r.compression for r in found["parts"].collect()}) == 1
+
+
+def test_batches_may_be_done_in_any_order(spark):
+    root = scratch_path(spark, "order")
+    sinks.append_batch(lines(spark, payload("a.exr")), root, 1)
+    assert sinks.merge_log(spark, root) == 1
+    sinks.append_batch(lines(spark, payload("b.exr")), root, 0)
+    assert sinks.merge_log(spark, root) == 2
+    assert sinks.read_catalogue(spark, root)["files"].count() == 2
+
+
+def test_a_new_checkpoint_is_another_stream(spark):
+    root = scratch_path(spark, "restart")
+    for name in ("a.exr", "b.exr"):
+        source = scratch_path(spark, "source")
+        lines(spark, payload(name)).write.text(source)
+        query = arrivals.start_ingest(arrivals.payload_stream(spark, source, "*.txt"), root, scratch_path(spark, "state"), interval=None)
+        query.awaitTermination()
+        sinks.merge_log(spark, root)
+    assert sinks.read_catalogue(spark, root)["files"].count() == 2
+
+
+def test_a_merge_writes_no_more_than_its_batch_brings(spark):
+    root = scratch_path(spark, "cost")
+    sinks.append_batch(lines(spark, *[payload(f"{i}.exr") for i in range(50)]), root, 0)
+    sinks.merge_log(spark, root)
+    sinks.append_batch(lines(spark, payload("late.exr"), payload("0.exr")), root, 1)
+    version = sinks.merge_log(spark, root)
+    counts = {n: spark.read.parquet(f"{root}/base/{n}/version={version}").count() for n in ("files", "known", "audit")}
+    assert counts == {"files": 1, "known": 1, "audit": 2}
 
 
 def test_half_done_merge_leaves_no_trace(spark, sf_dir):
@@ -228,9 +267,12 @@ def test_half_done_merge_leaves_no_trace(spark, sf_dir):
     assert sinks.read_catalogue(spark, root)["files"].count() == 0
     assert sinks.merge_log(spark, root) == 1
     assert sinks.read_catalogue(spark, root)["files"].count() == 1
-    # A batch whose data is there but not marked whole is left for later.
+    # A batch whose data is there but not marked whole is left for later, also if a later one is done.
     sinks.append_batch(lines(spark, payload("c.exr")), root, 1)
+    sinks.append_batch(lines(spark, payload("d.exr")), root, 2)
+    shutil.rmtree(f"{root}/log/done/stream=batch/batch=1")
     assert sinks.merge_log(spark, root) == 2
+    assert {r.file_path for r in sinks.read_catalogue(spark, root)["files"].collect()} == {FULL["file"]["path"], "d.exr"}
 
 
 def test_upsert_is_order_independent(spark):
