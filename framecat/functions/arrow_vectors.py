@@ -69,7 +69,7 @@ def row_distances(metric: str, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def distance_to(metric: str, column: Column, query: Sequence[float]) -> Column:
-    """Distance of a vector column to one query; NULL for zero vectors and other lengths."""
+    """Distance of a vector column to one query; NULL for zero vectors by cosine, other lengths, and cells that are no finite number."""
     if metric not in vectors.DISTANCES:
         raise ValueError(f"metric must be one of {sorted(vectors.DISTANCES)}, not {metric!r}")
     wanted = np.asarray(query, dtype=np.float64)
@@ -79,7 +79,8 @@ def distance_to(metric: str, column: Column, query: Sequence[float]) -> Column:
         out = np.full(len(batch), np.nan)
         fits = np.array([v is not None and len(v) == len(wanted) for v in batch], dtype=bool)
         if fits.any():
-            out[fits] = row_distances(metric, matrix(batch[fits]), wanted)
+            rows = matrix(batch[fits])
+            out[fits] = np.where(np.isfinite(rows).all(axis=1), row_distances(metric, rows, wanted), np.nan)
         return pd.Series(out)  # Arrow takes NaN over as NULL
 
     # Keeps the planner from copying the call into filters: once per row is enough.

@@ -97,18 +97,21 @@ def inspection_audit(log: DataFrame, key: str = "file_id", at: str = "ts") -> Da
 def latest_version(files: DataFrame) -> DataFrame:
     """Newest record per bucket and normalised path: largest mtime, then largest file_id.
 
-    A mergeable maximum, so a path with very many versions folds before the shuffle.
+    The maximum is of mtime and id alone, so a path with very many versions folds before
+    the shuffle; full rows come in by a semi join.
     """
     key = ["s3_bucket", "file_path_normalized"]
-    rest = [c for c in files.columns if c not in key]
-    newest = F.max_by(F.struct(*rest), F.struct("mtime", "file_id"))
-    return files.groupBy(*key).agg(newest.alias("_row")).select(*key, "_row.*").select(*files.columns)
+    newest = files.groupBy(*key).agg(F.max(F.struct("mtime", "file_id")).alias("_newest")).select(*key, "_newest.*")
+    a, b = files.alias("a"), newest.alias("b")
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*key, "mtime", "file_id")]
+    return a.join(b, same, "left_semi")
 
 
 def detect_changes(existing: DataFrame, batch: DataFrame) -> DataFrame:
     """Each batch row as new, changed or unchanged against the newest known header of its path."""
     key = ["s3_bucket", "file_path_normalized"]
-    known = latest_version(existing).select(*key, F.col("header_hash").alias("known_hash"))
+    newest = F.max_by("header_hash", F.struct("mtime", "file_id"))
+    known = existing.groupBy(*key).agg(newest.alias("known_hash"))
     change = (
         F.when(F.col("known_hash").isNull(), "new")
         .when(F.col("known_hash") == F.col("header_hash"), "unchanged")

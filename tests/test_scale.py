@@ -238,3 +238,16 @@ def test_shared_folder_is_named_by_the_session():
     assert scratch_path(named, "x").startswith("hdfs:///shared/x-")
     with pytest.raises(ValueError):
         scratch_path(Session(), "x")
+
+
+@pytest.mark.parametrize("metric", ["cosine", "euclidean", "dot_product"])
+def test_damaged_vectors_are_left_out_alike(spark, metric):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, [1.0, 0.0]), (2, [0.5, 1.0]), (3, [nan, 1.0]), (4, None), (5, [1.0]), (6, [inf, 1.0]), (7, [1.0, None])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    one = {r.vec_id: r.distance for r in neighbours.knn(df, [1.0, 0.5], metric, 9).collect()}
+    assert set(one) == {1, 2}
+    asked = spark.createDataFrame([(9, [1.0, 0.5]), (10, [nan, 1.0]), (11, None)], df.schema)
+    for most in (1000, 1):
+        got = neighbours.batch_knn(asked, df, 9, metric, max_broadcast=most).collect()
+        assert {(r.query_id, r.id): r.distance for r in got} == pytest.approx({(9, i): d for i, d in one.items()})
