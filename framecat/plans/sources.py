@@ -2,32 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framecat.functions import channels as ch
 from framecat.functions import codecs, keys, structure, values
 from framecat.operators import catalog
 from framecat.plans import base, views
+from framecat.session import scratch_path
 from framecat.sources import objects, payloads
 
 REFERENCE_TIME = "1998-08-01 00:00:00"
 
 
+PREFIX = 200
+
+
+def _objects(spark: SparkSession, sf: str) -> str:
+    """The documents' texts as one object each, a line end behind each."""
+    path = scratch_path(spark, "objects")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs.repartition("doc_id").write.partitionBy("doc_id").text(path)
+    return path
+
+
+def _id_of(path: str) -> Column:
+    return F.regexp_extract(path, "doc_id=([0-9]+)/", 1).cast("bigint").alias("doc_id")
+
+
 def list_objects(spark: SparkSession, sf: str) -> DataFrame:
-    found = objects.list_objects(spark, sf, ".parquet")
-    return found.select(F.substring_index("path", "/", -1).alias("name"), F.col("length").alias("size"))
+    found = objects.list_objects(spark, _objects(spark, sf), ".txt")
+    return found.select(_id_of("path"), F.col("length").alias("size"))
 
 
 def header_prefix(spark: SparkSession, sf: str) -> DataFrame:
+    """The first bytes of every object; some objects are shorter."""
+
     def decode(head: bytes) -> dict:
-        return {"magic": head[:4].decode("ascii"), "read": len(head)}
+        return {"head": head.hex().upper(), "read": len(head)}
 
-    listed = objects.list_objects(spark, sf, ".parquet")
-    scanned = objects.header_scan(listed, decode, "magic string, read bigint")
-    return scanned.select(
-        F.substring_index("path", "/", -1).alias("name"), F.col("length").alias("size"), "magic", "read", "error"
-    )
+    listed = objects.list_objects(spark, _objects(spark, sf), ".txt")
+    scanned = objects.header_scan(listed, decode, "head string, read bigint", n=PREFIX)
+    return scanned.select(_id_of("path"), F.col("length").alias("size"), "head", "read", "error")
 
 
 def read_payloads(spark: SparkSession, sf: str) -> DataFrame:
@@ -333,6 +349,10 @@ ORACLES = {
                '/(\\.?/)+', '/', 'g'), '^\\./', ''), '(.)/\\.?$', '\\1') AS normalized FROM paths""",
     "file_id_b5": _F + " SELECT file_key, file_id, mtime FROM fx_ids",
     "header_hash_b6": base.structure_views() + " SELECT file_key, header_hash FROM fx_hashed",
+    "list_objects_a1": "SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size FROM documents",
+    "header_prefix_scan_a2": f"""SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size,
+          substr(hex(coalesce(text, '') || chr(10)), 1, {2 * PREFIX}) AS head,
+          least({PREFIX}, strlen(coalesce(text, '')) + 1) AS read, NULL::varchar AS error FROM documents""",
     "content_id_b7": base.structure_views()
     + " SELECT file_key, sha256(concat_ws(chr(10), s3_bucket, s3_key, mtime, header_hash)) AS content_id FROM fx_hashed",
     "window_ints_b8": _P

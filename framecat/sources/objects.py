@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+import math
+import sys
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# What runs inside tasks travels with them, so workers need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 HEADER_BYTES = 256 * 1024
+OBJECTS_PER_TASK = 2_000
+READS_AT_ONCE = 8
 
 Decode = Callable[[bytes], dict]
 
@@ -26,6 +34,20 @@ def _either_case(text: str) -> str:
     return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in text)
 
 
+def store_and_name(path: str) -> tuple[str, str]:
+    """The root of a listed path's store as Arrow spells it ("" is local), and the object's name there, as it is."""
+    scheme, mark, rest = path.partition(":")
+    if not mark or scheme == "file":
+        return "", "/" + (rest if mark else path).lstrip("/")
+    if scheme == "dbfs":
+        return "", "/dbfs/" + rest.lstrip("/")
+    rest = rest.lstrip("/")
+    if scheme in ("s3", "s3a", "s3n", "gs"):
+        return f"{'gs' if scheme == 'gs' else 's3'}://{rest.partition('/')[0]}", rest
+    host, _, name = rest.partition("/")
+    return f"{scheme}://{host}/", "/" + name
+
+
 def header_scan(
     objects: DataFrame,
     decode: Decode,
@@ -38,7 +60,8 @@ def header_scan(
     ``decode`` maps bytes to a dict with the fields of the DDL ``decoded``. What
     goes wrong with one object is told in its ``error`` column, not raised. Paths
     are spread over tasks first, since listings come in few partitions and each
-    path costs a round trip.
+    path costs a round trip; a task has one client per store and reads some
+    objects at once.
     """
     fields = T.StructType.fromDDL(decoded)
     schema = T.StructType(
@@ -51,24 +74,30 @@ def header_scan(
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
 
+        stores: dict[str, fs.FileSystem] = {}
+
+        def client(root: str) -> fs.FileSystem:
+            if root not in stores:
+                stores[root] = fs.FileSystem.from_uri(root)[0] if root else fs.LocalFileSystem()
+            return stores[root]
+
         def one(path: str) -> dict:
             try:
-                store, inner = fs.FileSystem.from_uri(path)
-                with store.open_input_file(inner) as f:
+                root, name = store_and_name(path)
+                with client(root).open_input_file(name) as f:
                     found = decode(f.read(n))
                 return {**{k: found.get(k) for k in names}, "error": None}
             except Exception as exc:  # noqa: BLE001 - becomes an error row
                 return {**dict.fromkeys(names), "error": f"{type(exc).__name__}: {exc}"}
 
-        for batch in batches:
-            rows = [
-                {"path": path, "length": length, **one(path)}
-                for path, length in zip(batch["path"], batch["length"])
-            ]
-            yield pd.DataFrame(rows, columns=schema.names, dtype=object)
-
-    spread = partitions or objects.sparkSession.sparkContext.defaultParallelism
-    # file:/x and file:///x name the same object; the reader knows only the second.
-    path = F.regexp_replace("path", r"^file:/+", "file:///")
-    thin = objects.select(path.alias("path"), "length").repartition(spread)
-    return thin.mapInPandas(scan, schema)
+        with ThreadPoolExecutor(READS_AT_ONCE) as pool:
+            for batch in batches:
+                told = pool.map(one, batch["path"])
+                rows = [{"path": p, "length": n_, **x} for p, n_, x in zip(batch["path"], batch["length"], told)]
+                yield pd.DataFrame(rows, columns=schema.names, dtype=object)
+
+    thin = objects.select("path", "length")
+    spread = partitions or max(
+        objects.sparkSession.sparkContext.defaultParallelism, math.ceil(thin.count() / OBJECTS_PER_TASK)
+    )
+    return thin.repartition(spread).mapInPandas(scan, schema)

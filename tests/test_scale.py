@@ -195,6 +195,18 @@ def test_header_scan_reads_a_prefix_and_tells_errors(spark, sf_dir):
     assert objects.header_scan(gone, decode, "n bigint").first().error.startswith("FileNotFoundError")
 
 
+def test_names_of_objects_are_taken_as_they_are(spark, tmp_path):
+    for name in ("a b.txt", "c%20d.txt", "e#f.txt"):
+        (tmp_path / name).write_text("x" * 9)
+    listed = objects.list_objects(spark, str(tmp_path), ".txt")
+    assert {(r.n, r.error) for r in objects.header_scan(listed, lambda b: {"n": len(b)}, "n bigint", n=4).collect()} == {(4, None)}
+    paths = {
+        "s3a://b/k k/x%20.exr": ("s3://b", "b/k k/x%20.exr"), "s3n://b/x": ("s3://b", "b/x"), "gs://b/x": ("gs://b", "b/x"),
+        "hdfs://h:1/d/x": ("hdfs://h:1/", "/d/x"), "dbfs:/d/x": ("", "/dbfs/d/x"), "file:/d/x": ("", "/d/x"), "file:///d/x": ("", "/d/x"),
+    }
+    assert {p: objects.store_and_name(p) for p in paths} == paths
+
+
 def test_late_arrivals_are_left_out(spark):
     path, out, state = (scratch_path(spark, n) for n in ("late", "counts", "state"))
     ddl = "event_id long, ts timestamp"
