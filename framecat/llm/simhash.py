@@ -101,7 +101,7 @@ def fingerprints(docs: DataFrame, shingle: int, bits: int = 64, id: str = "doc_i
     return rows.mapInArrow(run, f"doc_id {kind}, raw long, code binary, shingles long")
 
 
-def _matrix(codes: pa.ChunkedArray) -> np.ndarray:
+def _matrix(codes: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(codes.to_pylist()), ">u8").astype(np.uint64).reshape(len(codes), -1)
 
 
@@ -159,9 +159,10 @@ def _forest(pairs: np.ndarray, bits: np.ndarray, size: int) -> np.ndarray:
 
 def _compare(radius: int):
     def run(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        left = table.column("left").to_numpy(zero_copy_only=False)
-        node, codes = table.column("node").to_numpy(), _matrix(table.column("code"))
+        held = table.column("held").combine_chunks()
+        left = np.repeat(table.column("left").to_numpy(zero_copy_only=False), np.diff(held.offsets.to_numpy()))
+        told_nodes, told_codes = held.flatten().flatten()
+        node, codes = told_nodes.to_numpy(), _matrix(told_codes)
         a, b = np.flatnonzero(left), np.flatnonzero(~left)
         if not len(b):  # a block against itself comes once
             b = a
@@ -186,11 +187,14 @@ def _compare(radius: int):
 def links(nodes: DataFrame, meets: DataFrame, radius: int) -> DataFrame:
     """Links u, v among nodes (node, code, home) that keep all nodes within the radius connected.
 
-    ``meets`` has the pairs of tiles (a, b) to be compared, a tile with itself included.
+    ``meets`` has the pairs of tiles (a, b) to be compared, a tile with itself included. A
+    block travels as one row that holds its nodes.
     """
     sizes = nodes.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / TILE_ROWS).alias("chunks"))
     sizes = materialise(sizes, "tiles")
     placed = nodes.join(small_side(sizes), "home").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")))
+    packed = placed.groupBy("home", "chunk").agg(F.collect_list(F.struct("node", "code")).alias("held"))
+    packed = materialise(packed, "packed")
     of_a = sizes.select(F.col("home").alias("a"), F.col("chunks").alias("ca"))
     of_b = sizes.select(F.col("home").alias("b"), F.col("chunks").alias("cb"))
     blocks = (
@@ -202,10 +206,10 @@ def links(nodes: DataFrame, meets: DataFrame, radius: int) -> DataFrame:
         .select("a", "i", "b", "j")
     )
     blocks = materialise(blocks, "blocks")
-    side = lambda tile, chunk, left: placed.join(
+    side = lambda tile, chunk, left: packed.join(
         small_side(blocks.filter("a <> b or i <> j") if not left else blocks),
         (F.col("home") == F.col(tile)) & (F.col("chunk") == F.col(chunk)),
-    ).select("a", "i", "b", "j", F.lit(left).alias("left"), "node", "code")
+    ).select("a", "i", "b", "j", F.lit(left).alias("left"), "held")
     both = side("a", "i", True).unionByName(side("b", "j", False))
     return both.groupBy("a", "i", "b", "j").applyInArrow(_compare(radius), "u long, v long")
 
