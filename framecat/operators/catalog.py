@@ -34,7 +34,7 @@ def overscan_parts(parts: DataFrame) -> DataFrame:
 
 
 def modified_within(files: DataFrame, days: int, reference: Column, mtime: str = "mtime_ts") -> DataFrame:
-    """Files modified in the ``days`` up to a reference time."""
+    """Files modified later than ``days`` before a reference time."""
     return files.filter(F.col(mtime) >= reference - F.make_dt_interval(F.lit(days)))
 
 

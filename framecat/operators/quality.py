@@ -109,8 +109,11 @@ class Policy:
     max_tile: int = 64
 
 
-def validate(files: DataFrame, parts: DataFrame, policy: Policy, key: str = "file_id") -> DataFrame:
-    """One row per file and rule. Parts fold to one row per file before the join."""
+BROKEN = "%s: %s where %s is expected"
+
+
+def validate(files: DataFrame, parts: DataFrame, policy: Policy, key: str = "file_id", at: Column | None = None) -> DataFrame:
+    """One row per file and rule, as the declared table has it. Parts fold to one row per file before the join."""
     bad = ~F.lower("compression").isin(list(policy.codecs))
     folded = parts.groupBy(key).agg(
         F.count_if(bad).alias("bad_codecs"),
@@ -125,6 +128,7 @@ def validate(files: DataFrame, parts: DataFrame, policy: Policy, key: str = "fil
             F.lit(name).alias("rule_id"),
             F.when(failed, severity).otherwise("PASS").alias("severity"),
             F.when(failed, status).otherwise("OK").alias("status"),
+            F.when(failed, F.format_string(BROKEN, F.lit(name), F.coalesce(actual.cast("string"), F.lit("nothing")), F.lit(expected))).alias("message"),
             F.lit(expected).alias("expected_value"),
             actual.cast("string").alias("actual_value"),
             F.when(failed, fix).alias("suggested_fix"),
@@ -146,7 +150,7 @@ def validate(files: DataFrame, parts: DataFrame, policy: Policy, key: str = "fil
         F.lit(policy.policy_id).alias("policy_id"),
         F.lit(policy.version).alias("policy_version"),
         F.inline(rules),
-    )
+    ).withColumn("validated_at", F.current_timestamp() if at is None else at)
 
 
 def file_severity(results: DataFrame, key: str = "file_id") -> DataFrame:

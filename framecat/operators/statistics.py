@@ -25,9 +25,9 @@ def _measures(value: str) -> list[Column]:
     ]
 
 
-def channel_statistics(samples: DataFrame, key: str, value: str = "value") -> DataFrame:
-    """Minimum, maximum, mean and deviation of finite values; counts of NaN and infinite ones."""
-    return samples.groupBy(key).agg(*_measures(value))
+def channel_statistics(samples: DataFrame, *key: str, value: str = "value") -> DataFrame:
+    """By the key columns (file, part, channel): minimum, maximum, mean and deviation of finite values; counts of NaN and infinite ones."""
+    return samples.groupBy(*key).agg(*_measures(value))
 
 
 def strided(samples: DataFrame, stride: int, position: str = "pos") -> DataFrame:

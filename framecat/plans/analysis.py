@@ -209,7 +209,7 @@ def _validated(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def validate(spark: SparkSession, sf: str) -> DataFrame:
-    return _validated(spark, sf)
+    return _validated(spark, sf).drop("validated_at")
 
 
 def file_severity(spark: SparkSession, sf: str) -> DataFrame:
@@ -412,7 +412,9 @@ ORACLES = {
             WHEN 1 THEN sqrt(list_inner_product(e[1:63], e[1:63])) NOT BETWEEN 0.99 AND 1.01
             ELSE sqrt(list_inner_product(e, e)) NOT BETWEEN 0.99 AND 1.01 END) AS not_unit
           FROM (SELECT vec_id, embedding::double[] AS e FROM embeddings)""",
-    "validate_q7": _RESULTS + " SELECT * FROM results",
+    "validate_q7": _RESULTS
+    + """ SELECT *, CASE WHEN severity <> 'PASS' THEN rule_id || ': ' || coalesce(actual_value, 'nothing') || ' where '
+               || expected_value || ' is expected' END AS message FROM results""",
     "file_severity_q7_rollup": _RESULTS
     + """ SELECT file_key, CASE WHEN bool_or(severity = 'FAIL') THEN 'FAIL' WHEN bool_or(severity = 'WARN') THEN 'WARN'
           ELSE 'PASS' END AS severity, count(*) FILTER (severity <> 'PASS') AS broken_rules

@@ -203,14 +203,15 @@ def clone_tables(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sample_copy(spark: SparkSession, sf: str) -> DataFrame:
-    tables = {
-        "files": views.files(spark, sf),
-        "parts": views.parts(spark, sf),
-    }
-    copy = sinks.sample_copy(tables, SAMPLE_FILES, "file_key")
-    counts = copy["parts"].groupBy("file_key").agg(F.count("*").alias("parts"))
-    joined = copy["files"].join(counts, "file_key", "left")
-    return joined.select("file_key", "s3_key", F.coalesce("parts", F.lit(0)).alias("parts"))
+    """The sample's files, with the row counts of their three child tables."""
+    p = base.indexed_parts(spark, sf)
+    children = {"parts": p, "channels": views.channels(p), "attributes": views.attributes(p)}
+    copy = sinks.sample_copy({"files": views.files(spark, sf), **children}, SAMPLE_FILES, "file_key")
+    told = copy["files"].select("file_key", "s3_key")
+    for name in children:
+        counts = copy[name].groupBy("file_key").agg(F.count("*").alias(name))
+        told = told.join(counts, "file_key", "left").withColumn(name, F.coalesce(name, F.lit(0)))
+    return told
 
 
 def detect_changes(spark: SparkSession, sf: str) -> DataFrame:
@@ -341,8 +342,10 @@ ORACLES = {
         f"SELECT '{n}' AS table_name, count(*) AS rows, count(*) AS copied FROM {n}"
         for n in ("orders", "lineitem", "part", "events")
     ),
-    "sample_copy_d9": _FP
-    + f""" SELECT file_key, s3_key, (SELECT count(*) FROM fx_parts p WHERE p.file_key = f.file_key) AS parts
+    "sample_copy_d9": _ALL
+    + f""" SELECT file_key, s3_key, (SELECT count(*) FROM fx_parts p WHERE p.file_key = f.file_key) AS parts,
+          (SELECT count(*) FROM fx_channels c WHERE c.file_key = f.file_key) AS channels,
+          (SELECT count(*) FROM fx_attributes a WHERE a.file_key = f.file_key) AS attributes
           FROM (SELECT * FROM fx_files ORDER BY md5(cast(file_key AS varchar)), file_key LIMIT {SAMPLE_FILES}) f""",
     "detect_changes_d10": base.structure_views()
     + """, known AS (
