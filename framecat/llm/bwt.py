@@ -19,18 +19,23 @@ from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: So many symbols of nine bits make the first key.
+FIRST = 7
+
 
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes in the order of their first ``depth`` symbols at least, by doubling; only undecided groups are sorted again."""
     n = len(text)
-    padded = np.concatenate((text.astype(np.uint64), np.zeros(4, np.uint64)))
-    key = (padded[:n] << np.uint64(48)) | (padded[1 : n + 1] << np.uint64(32)) | (padded[2 : n + 2] << np.uint64(16)) | padded[3 : n + 3]
-    order = np.argsort(key, kind="stable")
+    padded = np.concatenate((text.astype(np.uint64), np.zeros(FIRST, np.uint64)))
+    key = padded[:n].copy()
+    for k in range(1, FIRST):
+        key = (key << np.uint64(9)) | padded[k : n + k]
+    order = np.argsort(key)
     fresh = np.concatenate(([True], key[order][1:] != key[order][:-1]))
     group = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]  # a group is named by its first row
     rank = np.empty(n, np.int64)
     rank[order] = group
-    width = 4
+    width = FIRST
     while width < depth:
         size = np.diff(np.append(np.flatnonzero(fresh), n))
         open_rows = np.flatnonzero(np.repeat(size > 1, size))
@@ -38,7 +43,7 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
             break
         of = order[open_rows]
         later = np.where(of + width < n, rank[np.minimum(of + width, n - 1)] + 1, 0)
-        place = np.lexsort((later, rank[of]))
+        place = np.argsort(rank[of] * (n + 1) + later)
         of, later = of[place], later[place]
         order[open_rows] = of
         old = rank[of]
@@ -66,7 +71,7 @@ def _first_and_last(low: np.ndarray, high: np.ndarray, bwt: np.ndarray, symbols:
         last[keys] = rows
         first, last = first[first >= 0], last[last >= 0]
     else:
-        order = np.argsort(keys, kind="stable")
+        order = np.argsort(keys, kind="stable")  # owners ascend, which this sort takes as it comes
         told = keys[order]
         at = np.flatnonzero(np.concatenate(([True], told[1:] != told[:-1])))
         first, last = rows[order[at]], rows[order[np.append(at[1:], total) - 1]]
