@@ -23,6 +23,7 @@ from __future__ import annotations
 import math
 import sys
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +43,13 @@ SEED = 42
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 #: Tiles that hold half of all random fingerprints, by the number of parts.
 USUAL_TILES = {1: 11, 2: 90, 4: 3_000, 8: 500_000}
-#: Of 256 bits, 41 differ where the shingle sets of two texts have a Jaccard similarity near 0.78.
-NEAR_WORDS, NEAR_BITS, NEAR_RADIUS, NEAR_SIMILARITY = 5, 256, 41, 0.8
+#: Near duplicates have shingle sets of this Jaccard similarity. Of 256 bits 39 differ there (48 between sets
+#: of four and five), with a deviation of 6; within the radius pairs are candidates and their sets are compared.
+NEAR_WORDS, NEAR_BITS, NEAR_RADIUS, NEAR_SIMILARITY = 5, 256, 72, 0.8
+#: A block of sets has about so many of them and so many shingles; groups above it have so many pivots.
+SET_ROWS, SET_SHINGLES, PIVOTS = 512, 1 << 19, 16
+#: From so many sets on, overlaps are counted by matrix products, over so many shingles at a time.
+DENSE_SETS, DENSE_SHINGLES = 16, 1 << 12
 
 
 def _shingle_hashes(text: str, shingle: int) -> np.ndarray:
@@ -101,6 +107,45 @@ def fingerprints(docs: DataFrame, shingle: int, bits: int = 64, id: str = "doc_i
     return rows.mapInArrow(run, f"doc_id {kind}, raw long, code binary, shingles long")
 
 
+def _shingle_set(text: str, shingle: int) -> np.ndarray:
+    return np.unique(_shingle_hashes(text, shingle))
+
+
+def set_fingerprints(docs: DataFrame, shingle: int, bits: int, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, raw, key (16 bytes that stand for the set of shingles), code, shingles for every row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(2).to_pylist()
+            found = [fingerprint(t, shingle, bits) for t in texts]
+            codes, counts = zip(*found) if found else ((), ())
+            keys = [xxhash.xxh128_digest(_shingle_set(t, shingle).tobytes()) for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(codes, pa.binary()), pa.array(counts, pa.int64())],
+                ["doc_id", "raw", "key", "code", "shingles"],
+            )
+
+    rows = docs.select(F.col(id).alias("doc_id"), raw_hash(text).alias("raw"), whole(text).alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {kind}, raw long, key binary, code binary, shingles long")
+
+
+def _sets(docs: DataFrame, nodes: DataFrame, shingle: int, id: str, text: str) -> DataFrame:
+    """nodes (doc_id, raw and others) with held, the sorted hashes of their shingles; one row a node."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = [_shingle_set(t, shingle).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(held, pa.binary())], [*batch.schema.names[:-1], "held"])
+
+    of_node = nodes.withColumnsRenamed({"doc_id": "_id", "raw": "_raw"})
+    others = [c for c in nodes.columns if c not in ("doc_id", "raw")]
+    told = docs[id].eqNullSafe(F.col("_id")) & (raw_hash(text) == F.col("_raw"))
+    rows = docs.join(small_side(of_node), told).select(*others, whole(text).alias("text"))
+    kinds = ", ".join(f"{c} {nodes.schema[c].dataType.simpleString()}" for c in others)
+    return rows.mapInArrow(run, f"{kinds}, held binary").dropDuplicates(["node"])
+
+
 def _matrix(codes: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(codes.to_pylist()), ">u8").astype(np.uint64).reshape(len(codes), -1)
 
@@ -184,6 +229,104 @@ def _compare(radius: int):
     return run
 
 
+def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Numbers of common members of each of the sets a with each of the sets b."""
+    out = np.zeros((len(a), len(b)), np.int64)
+    if len(a) + len(b) < DENSE_SETS:
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                out[i, j] = len(np.intersect1d(x, y, assume_unique=True))
+        return out
+    known = np.intersect1d(np.concatenate(a), np.concatenate(b))
+    place = [[np.searchsorted(known, x[np.isin(x, known)]) for x in side] for side in (a, b)]
+    for low in range(0, len(known), DENSE_SHINGLES):
+        strips = []
+        for side in place:
+            strip = np.zeros((len(side), min(DENSE_SHINGLES, len(known) - low)), np.float32)
+            for k, at in enumerate(side):
+                strip[k, at[slice(*np.searchsorted(at, [low, low + DENSE_SHINGLES]))] - low] = 1
+            strips.append(strip)
+        out += (strips[0] @ strips[1].T).astype(np.int64)
+    return out
+
+
+def _similar(similarity: float):
+    """Links of a spanning forest of the pairs of sets, one left and one not, of one group and as similar as asked.
+    Without sets on the right the left ones are compared with each other."""
+    share = Fraction(similarity).limit_denominator(10**6)
+
+    def run(table: pa.Table) -> pa.Table:
+        node, group = table.column("node").to_numpy(), table.column("group").to_numpy()
+        left = table.column("left").to_numpy(zero_copy_only=False)
+        sets = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("held")]
+        sizes, found, told = np.array([len(x) for x in sets]), [], []
+        order = np.argsort(group, kind="stable")
+        for places in np.split(order, np.flatnonzero(np.diff(group[order])) + 1):
+            a, b = places[left[places]], places[~left[places]]
+            alone = left.all()
+            b = a if alone else b
+            if not len(a) or not len(b):
+                continue
+            common = _overlaps([sets[k] for k in a], [sets[k] for k in b])
+            union = sizes[a][:, None] + sizes[b][None, :] - common
+            i, j = np.nonzero((common * share.denominator >= union * share.numerator) & (union > 0))
+            if alone:
+                i, j = i[i < j], j[i < j]
+            found.append(np.stack([a[i], b[j]], axis=1))
+            told.append(-common[i, j] / union[i, j])
+        pairs = np.concatenate(found) if found else np.empty((0, 2), np.int64)
+        pairs = pairs[_forest(pairs, np.concatenate(told) if told else np.empty(0), len(node))]
+        return pa.table({"u": node[pairs[:, 0]], "v": node[pairs[:, 1]]})
+
+    return run
+
+
+def similar_links(sets: DataFrame, similarity: float) -> DataFrame:
+    """Links u, v that keep all sets (node, group, shingles, held) connected that are of one group and as similar as asked.
+
+    Groups that fit one block go together, many in one. Members of others are compared with
+    pivots first. Those linked through pivots to most others, the core, are connected
+    already, so the rest is compared with the core and with itself, block by block.
+    """
+    chunks = F.ceil(F.greatest(F.count(F.lit(1)) / SET_ROWS, F.sum("shingles") / SET_SHINGLES))
+    sizes = materialise(sets.groupBy("group").agg(chunks.alias("chunks"), F.count(F.lit(1)).alias("n"), F.sum("shingles").alias("all")), "groups")
+    few = sizes.filter("chunks = 1")
+    total = few.agg(F.sum("n"), F.sum("all")).first()
+    buckets = max(math.ceil((total[0] or 0) / SET_ROWS), math.ceil((total[1] or 0) / SET_SHINGLES), 1)
+    shape = "u long, v long"
+    compare = lambda rows, *by: rows.groupBy(*by).applyInArrow(_similar(similarity), shape)
+    of_few = sets.join(small_side(few.select("group")), "group").withColumn("bucket", F.pmod(F.xxhash64("group"), F.lit(buckets)))
+    out = compare(of_few.withColumn("left", F.lit(True)), "bucket")
+    large = sizes.filter("chunks > 1").select("group", "chunks")
+    if large.isEmpty():
+        return out
+    placed = sets.join(small_side(large), "group").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")))
+    placed = materialise(placed.select("group", "chunks", "chunk", "node", "held"), "placed")
+    numbers = placed.filter("chunk = 0").groupBy("group").agg(F.array_sort(F.collect_set("node")).alias("nodes"))
+    chosen = numbers.select("group", F.explode(F.slice("nodes", 1, PIVOTS)).alias("node"))
+    pivots = placed.join(F.broadcast(chosen) if chosen.count() <= PIVOTS * 1000 else chosen, ["group", "node"], "left_semi")
+    pivots = pivots.withColumn("chunk", F.explode(F.expr("sequence(0L, chunks - 1)")))
+    both = pivots.select("group", "chunk", "node", "held", F.lit(True).alias("left")).unionByName(
+        placed.select("group", "chunk", "node", "held", F.lit(False).alias("left"))
+    )
+    stars = materialise(compare(both, "group", "chunk"), "stars")
+    placed = placed.join(small_side(components(stars)), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    cores = placed.groupBy("group", "component").agg(F.count(F.lit(1)).alias("n"))
+    cores = cores.groupBy("group").agg(F.max_by("component", F.struct("n", "component")).alias("core"))
+    placed = placed.join(small_side(cores), "group").withColumn("rest", F.col("component") != F.col("core"))
+    placed = materialise(placed.select("group", "rest", "chunk", "node", "held"), "placed")
+    homes = placed.select("group", "rest", "chunk").distinct()
+    of_a = homes.filter("rest").select("group", F.col("chunk").alias("i"))
+    of_b = homes.select("group", "rest", F.col("chunk").alias("j"))
+    blocks = materialise(of_a.join(of_b, "group").filter("not rest or i <= j").withColumnRenamed("rest", "inner"), "blocks")
+    own = F.col("inner") & (F.col("i") == F.col("j"))
+    here = lambda at, left: placed.withColumnRenamed("chunk", at).join(
+        small_side(blocks if left else blocks.filter(~own)), ["group", at]
+    ).filter("rest" if left else "rest = inner").select("group", "inner", "i", "j", "node", "held", F.lit(left).alias("left"))
+    rest = compare(here("i", True).unionByName(here("j", False)), "group", "inner", "i", "j")
+    return out.unionByName(stars).unionByName(rest)
+
+
 def links(nodes: DataFrame, meets: DataFrame, radius: int) -> DataFrame:
     """Links u, v among nodes (node, code, home) that keep all nodes within the radius connected.
 
@@ -220,14 +363,14 @@ def _numbered(docs: DataFrame) -> DataFrame:
     return materialise(rows.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
 
-def _grouped(docs: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
+def _grouped(docs: DataFrame, nodes: DataFrame, edges: DataFrame, key: str = "code") -> DataFrame:
     """docs with component (a number) and component_id, the smallest doc_id of the component."""
     found = components(materialise(edges.distinct(), "links"))
     of_code = nodes.join(found, "node", "left").select(
-        F.col("code").alias("_code"), F.coalesce("component", "node").alias("component")
+        F.col(key).alias("_key"), F.coalesce("component", "node").alias("component")
     )
     of_code = materialise(of_code, "classes")
-    told = docs.join(small_side(of_code), F.col("code") == F.col("_code")).drop("_code")
+    told = docs.join(small_side(of_code), F.col(key) == F.col("_key")).drop("_key")
     least = materialise(told.groupBy("component").agg(F.min("doc_id").alias("component_id")), "least")
     return told.join(small_side(least), "component")
 
@@ -257,19 +400,25 @@ def near_duplicates(
 ) -> DataFrame:
     """doc_id, raw, component_id, kept: one row of each group of near duplicates stays, that with the smallest id.
 
-    Texts are linked where wide fingerprints of their shingles are within the radius, which
-    estimates the similarity of the shingle sets with a standard error of about 0.05. Sets
-    as similar as asked differ in size by no more than that factor, so tiles are size
-    classes of that ratio and only neighbouring classes meet.
+    Texts are linked where the Jaccard similarity of their sets of shingles is that asked or
+    more. Wide fingerprints within the radius tell the candidates; sets as similar as asked
+    differ in size by no more than that factor, so tiles are size classes of that ratio and
+    only neighbouring classes meet. Sets are compared within the components of candidates.
     """
-    rows = materialise(fingerprints(docs, shingle, bits, id, text), "simhash")
-    nodes = _numbered(rows)
+    rows = materialise(set_fingerprints(docs, shingle, bits, id, text), "simhash")
+    nodes = rows.groupBy("key").agg(
+        F.min("code").alias("code"), F.min("shingles").alias("shingles"), F.min(F.struct("doc_id", "raw")).alias("_of")
+    )
+    nodes = materialise(nodes.select("key", "code", "shingles", "_of.*").withColumn("node", F.monotonically_increasing_id()), "nodes")
     ratio = math.log(1 / similarity)
     home = F.floor(F.log(F.greatest(F.col("shingles"), F.lit(1))) / ratio).cast("long")
-    tiled = materialise(nodes.withColumn("home", home), "tiled")
+    tiled = materialise(nodes.select("node", "code", "shingles", home.alias("home")), "tiled")
     homes = tiled.select(F.col("home").alias("a")).distinct()
     meets = homes.withColumn("b", F.explode(F.array(F.col("a"), F.col("a") + 1)))
-    told = _grouped(rows, nodes, links(tiled, meets, radius))
+    near = components(materialise(links(tiled, meets, radius).distinct(), "links")).withColumnRenamed("component", "group")
+    suspects = materialise(nodes.drop("key", "code").join(small_side(near), "node"), "suspects")
+    sets = materialise(_sets(docs, suspects, shingle, id, text), "sets")
+    told = _grouped(rows, nodes, similar_links(sets, similarity), "key")
     row = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("raw"))
     best = materialise(told.groupBy("component").agg(F.min(row).alias("best")), "best")
     best = best.select(F.col("component").alias("_component"), F.col("best.doc_id").alias("_id"), F.col("best.raw").alias("_raw"))

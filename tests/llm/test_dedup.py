@@ -127,6 +127,51 @@ def test_empty_and_near(spark):
     assert sorted(r.doc_id for r in kept) == [1, 3]
 
 
+def shingle_set(text, shingle=5):
+    found = text.lower().split()
+    return {tuple(found[i : i + shingle]) for i in range(max(1, len(found) - shingle + 1))} if found else set()
+
+
+def near_brute(rows, similarity=0.8):
+    sets, label = [shingle_set(t) for _, t in rows], list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            a, b = sets[i], sets[j]
+            if a == b or 10 * len(a & b) >= round(10 * similarity) * len(a | b):
+                x, y = label[i], label[j]
+                label = [y if g == x else g for g in label]
+    least = {g: min(i for (i, _), x in zip(rows, label) if x == g) for g in label}
+    return {i: least[g] for (i, _), g in zip(rows, label)}
+
+
+def pairs_near_the_limit(rng, count=120):
+    """Pairs whose texts share a beginning; the Jaccard similarity of their shingles is 0.65 to 0.9."""
+    rows = []
+    for k in range(count):
+        n, likeness = rng.choice([9, 20, 100, 300]), 0.65 + 0.25 * k / count
+        new = round(n * (1 - likeness) / (1 + likeness))
+        text = [f"w{rng.randrange(10**6)}" for _ in range(n + 4)]
+        rows.append((2 * k, " ".join(text)))
+        rows.append((2 * k + 1, " ".join([*text[: n + 4 - new], *(f"x{rng.randrange(10**6)}" for _ in range(new))])))
+    return rows
+
+
+@pytest.mark.parametrize("block", [4, 512])
+def test_near_duplicates_are_those_of_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(simhash, "SET_ROWS", block)
+    rng = random.Random(12)
+    rows = pairs_near_the_limit(rng)
+    text = [f"v{rng.randrange(10**6)}" for _ in range(120)]
+    for copy in range(40):  # a group that is larger than a block, with pairs on both sides of the limit
+        edited = list(text)
+        for _ in range(copy % 6):
+            edited[rng.randrange(len(edited))] = f"y{rng.randrange(10**6)}"
+        rows.append((1000 + copy, " ".join(edited)))
+    rows += [(2000, ""), (2001, " "), (2002, "one"), (2003, "One"), (2004, "two")]
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(frame(spark, rows)).collect()}
+    assert got == near_brute(rows)
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 50)]
     got = components(spark.createDataFrame(edges, "u long, v long")).collect()
