@@ -78,8 +78,12 @@ def _spread(hashes: np.ndarray, word: int) -> np.ndarray:
 def fingerprint(text: str, shingle: int, bits: int = 64) -> tuple[bytes, int]:
     """The fingerprint, and the number of different shingles. A bit is set if set in over half of all."""
     hashes = _shingle_hashes(text, shingle)
+    return _majority(hashes, bits), len(np.unique(hashes))
+
+
+def _majority(hashes: np.ndarray, bits: int) -> bytes:
     if not len(hashes):
-        return bytes(bits // 8), 0
+        return bytes(bits // 8)
     out = b""
     for word in range(bits // 64):
         ones = np.zeros(64, np.int64)
@@ -87,7 +91,7 @@ def fingerprint(text: str, shingle: int, bits: int = 64) -> tuple[bytes, int]:
             part = _spread(hashes[low : low + (1 << 15)], word).astype(">u8")
             ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.uint32)
         out += np.packbits(2 * ones > len(hashes)).tobytes()
-    return out, len(np.unique(hashes))
+    return out
 
 
 def fingerprints(docs: DataFrame, shingle: int, bits: int = 64, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -112,14 +116,19 @@ def _shingle_set(text: str, shingle: int) -> np.ndarray:
 
 
 def set_fingerprints(docs: DataFrame, shingle: int, bits: int, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, raw, key (16 bytes that stand for the set of shingles), code, shingles for every row."""
+    """doc_id, raw, key (16 bytes that stand for the set of shingles), code, shingles for every row.
+
+    Each different shingle counts once in the code, however often the text repeats it.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            found = [fingerprint(t, shingle, bits) for t in texts]
-            codes, counts = zip(*found) if found else ((), ())
-            keys = [xxhash.xxh128_digest(_shingle_set(t, shingle).tobytes()) for t in texts]
+            keys, codes, counts = [], [], []
+            for text in batch.column(2):
+                found = _shingle_set(text.as_py(), shingle)
+                keys.append(xxhash.xxh128_digest(found.tobytes()))
+                codes.append(_majority(found, bits))
+                counts.append(len(found))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(codes, pa.binary()), pa.array(counts, pa.int64())],
                 ["doc_id", "raw", "key", "code", "shingles"],

@@ -172,6 +172,20 @@ def test_near_duplicates_are_those_of_brute_force(spark, monkeypatch, block):
     assert got == near_brute(rows)
 
 
+def test_repeats_in_a_text_do_not_count_in_the_near_stage(spark):
+    rng = random.Random(21)
+    some = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    line, rows = some(15), []
+    for k in range(4):  # different texts with one repeated line, and a text with that line once or often
+        rows.append((k, " ".join([*some(500), *line * 25])))
+    text = some(300)
+    rows += [(10, " ".join([*text, *line])), (11, " ".join([*text, *line * 40]))]
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(frame(spark, rows)).collect()}
+    assert got == near_brute(rows) == {0: 0, 1: 1, 2: 2, 3: 3, 10: 10, 11: 10}
+    once, often = (np.frombuffer(simhash._majority(simhash._shingle_set(t, 5), 256), np.uint8) for _, t in rows[-2:])
+    assert np.bitwise_count(once ^ often).sum() < 41
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 50)]
     got = components(spark.createDataFrame(edges, "u long, v long")).collect()
