@@ -2,12 +2,13 @@
 
 A document is compared with the reference of its language by the Jensen-Shannon distance of
 two histograms: classes of characters, and the shares of eight common words and of all
-others. A reference is the mean of the shares of all documents of the language that have
-the least lengths, each counting once; the means are sums of whole millionths, so that
-reruns agree to the last bit. There are at most five references (four languages and one for
+others. A reference is the mean of the shares of all different texts of the language that
+have the least lengths and pass the base rules, each counting once however many copies the
+table has; the means are sums of whole millionths, so that reruns agree to the last bit. There are at most five references (four languages and one for
 all others), whatever the input; they are five rows of numbers that go into the expressions.
 
-No shuffle but that of the five sums, no Python in tasks. Texts of any length
+No shuffle but those of the five sums and of fifteen numbers for each different text, no
+Python in tasks. Texts of any length
 stay in one row: windows of three words are hashed, packed with their place into one
 number, and sorted, so that repetition costs n log n.
 
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framecat.functions.arrow_vectors import settled
-from framecat.llm.common import whole, words_of
+from framecat.llm.common import raw_hash, whole, words_of
 from framecat.session import materialise
 
 # Frequent words of each language, most frequent first.
@@ -141,7 +142,7 @@ def _language(lang: Column) -> Column:
     return F.when(lang.isin(*COMMON_WORDS), lang).otherwise(F.lit(""))
 
 
-def _measures(text: Column, lang: Column, rules_too: bool) -> Column:
+def _measures(text: Column, lang: Column) -> Column:
     """Counts and histograms of one text as a struct. What is used twice is bound, since Spark computes
     an expression anew for each element of a lambda that mentions it."""
 
@@ -163,8 +164,7 @@ def _measures(text: Column, lang: Column, rules_too: bool) -> Column:
             told = [c[name].alias(name) for name in ("n_chars", "n_words", "word_chars", "n_symbols")]
             told.append(_shares(classes, c["n_chars"]).alias("classes"))
             told.append(_shares(_common_counts(words, r["lang"]), c["n_words"]).alias("words"))
-            if rules_too:
-                told += [_dup_lines(body).alias("n_dup_lines"), _repeat_words(words).alias("n_repeat_words")]
+            told += [_dup_lines(body).alias("n_dup_lines"), _repeat_words(words).alias("n_repeat_words")]
             return F.struct(*told)
 
         return _bind(first, shaped)
@@ -172,18 +172,30 @@ def _measures(text: Column, lang: Column, rules_too: bool) -> Column:
     return _bind(F.struct(text.alias("text"), words_of(text).alias("words"), lang.alias("lang")), measured)
 
 
-def measure(docs: DataFrame, text: str = "text", lang: str = "lang", rules_too: bool = True, carried: Column | None = None) -> DataFrame:
-    """_row (what is carried along), lang and the measures of every row; row by row."""
+def measure(docs: DataFrame, text: str = "text", lang: str = "lang", carried: Column | None = None) -> DataFrame:
+    """_row (what is carried along), lang, a hash of the text and the measures of every row; row by row."""
     named = _language(F.col(lang))
     row = F.lit(None).cast("long") if carried is None else carried
-    told = docs.select(row.alias("_row"), named.alias("_lang"), settled(_measures(whole(text), named, rules_too)).alias("_m"))
-    return told.select("_row", "_lang", "_m.*")
+    told = docs.select(row.alias("_row"), named.alias("_lang"), raw_hash(text).alias("_text"), settled(_measures(whole(text), named)).alias("_m"))
+    return told.select("_row", "_lang", "_text", "_m.*")
+
+
+def _base_failed() -> Column:
+    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
 
 
 def references(measured: DataFrame) -> dict[str, tuple[list[int], list[int]]]:
-    """Mean histograms by language, "" for all documents: at most five entries."""
-    rows = measured.filter((F.col("n_chars") >= MIN_CHARS_FOR_CLASSES) & (F.col("n_words") >= MIN_WORDS_FOR_COMMON))
-    sums = [F.sum(F.col("classes")[k]) for k in range(6)] + [F.sum(F.col("words")[k]) for k in range(9)]
+    """Mean histograms by language, "" for all documents: at most five entries.
+
+    Each different text of a language counts once, and those that fail the base rules do not
+    count. Copies fold map-side to one row; plain columns keep that a hash aggregation.
+    """
+    long = (F.col("n_chars") >= MIN_CHARS_FOR_CLASSES) & (F.col("n_words") >= MIN_WORDS_FOR_COMMON)
+    shares = [F.col("classes")[k].alias(f"c{k}") for k in range(6)] + [F.col("words")[k].alias(f"w{k}") for k in range(9)]
+    names = [f"c{k}" for k in range(6)] + [f"w{k}" for k in range(9)]
+    rows = measured.filter(long & ~_base_failed()).select("_lang", "_text", *shares)
+    rows = rows.groupBy("_lang", "_text").agg(*[F.min(name).alias(name) for name in names])
+    sums = [F.sum(name) for name in names]
     found = {}
     for row in rows.groupBy("_lang").agg(F.count(F.lit(1)), *sums).collect():  # one row a language, five at most
         found[row[0]] = (row[1], list(row[2:]))
@@ -204,7 +216,7 @@ def jensen_shannon(shares: Column, reference: Column) -> Column:
 def judge(measured: DataFrame, known: dict, max_class: float = MAX_CLASS_DISTANCE, max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
     """Adds class_distance, word_distance, base_failed and kept to measured rows."""
     told = measured.select("*", *_distances(known))
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
+    failed = _base_failed()
     near = (F.coalesce("class_distance", F.lit(0.0)) <= max_class) & (F.coalesce("word_distance", F.lit(0.0)) <= max_word)
     return told.withColumn("base_failed", failed).withColumn("kept", ~failed & near)
 
@@ -216,7 +228,7 @@ def rules(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "
     """
     measured = materialise(measure(docs, text, lang, carried=F.col(id)), "measures")
     told = judge(measured, references(measured), **limits).withColumnRenamed("_row", "doc_id")
-    return told.drop("_lang", "n_chars", "classes", "words")
+    return told.drop("_lang", "_text", "n_chars", "classes", "words")
 
 
 def drop_low_quality(docs: DataFrame, text: str = "text", lang: str = "lang", **limits: float) -> DataFrame:
@@ -225,7 +237,7 @@ def drop_low_quality(docs: DataFrame, text: str = "text", lang: str = "lang", **
     Texts are measured twice, for the references and for the verdicts, and rows are kept
     where they stand: no row is shuffled, and nothing is joined.
     """
-    known = references(measure(docs, text, lang, rules_too=False))
+    known = references(measure(docs, text, lang))
     return judge(measure(docs, text, lang, carried=F.struct("*")), known, **limits).filter("kept").select("_row.*")
 
 

@@ -146,6 +146,26 @@ def test_distances(spark, sf_dir):
     assert sum(not told[i].kept for i, q in labels.items() if not q) > 0.8 * sum(not q for q in labels.values())
 
 
+def prose(rng, lang, n=200):
+    """Words of which a third are the language's common words, and as many others."""
+    common = quality_rules.COMMON_WORDS[lang]
+    return " ".join(rng.choice(common) if rng.random() < 0.35 else "w" + "".join(rng.choices("abcdefgh", k=6)) for _ in range(n))
+
+
+def test_copies_of_a_bad_page_are_no_reference(spark):
+    rng = random.Random(8)
+    clean = [(i, prose(rng, "fr"), "fr", "s") for i in range(40)]
+    page = " ".join("ZQ%X " + str(rng.randrange(10**9)) for _ in range(100))
+    looped = [(200 + i, "rien du tout " * 100 + str(i), "fr", "s") for i in range(20)]
+    copies = [(100 + i, page, "fr", "s") for i in range(30)]
+    told = {r.doc_id: r.kept for r in quality_rules.rules(frame(spark, clean + copies + looped)).collect()}
+    assert {i for i, kept in told.items() if kept} == set(range(40))
+    good = quality_rules.drop_low_quality(frame(spark, clean + copies + looped))
+    assert {r.doc_id for r in good.collect()} == set(range(40))
+    once = quality_rules.references(quality_rules.measure(frame(spark, clean + copies[:1])))
+    assert quality_rules.references(quality_rules.measure(frame(spark, clean + copies + looped))) == once
+
+
 @pytest.fixture(scope="module")
 def table():
     if not os.path.exists(PIECE_MODEL):
