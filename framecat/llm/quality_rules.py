@@ -12,8 +12,9 @@ Python in tasks. Texts of any length
 stay in one row: windows of three words are hashed, packed with their place into one
 number, and sorted, so that repetition costs n log n.
 
-Defined results: a null text is an empty text, which fails the base rules; a null or
-unknown language uses the common reference; divergence is judged only where a text has the
+Defined results: a null text is an empty text, which fails the base rules; a row of a null
+or unknown language is judged as one of the language whose words are nearest, and where none
+is within the limit by its classes against all documents only; divergence is judged only where a text has the
 least lengths, else it passes; without any reference (no long text in the table) all pass.
 """
 
@@ -35,7 +36,6 @@ COMMON_WORDS = {
     "fr": ["de", "la", "le", "et", "les", "des", "en", "un"],
     "es": ["de", "la", "que", "el", "en", "y", "los", "se"],
 }
-OTHER_LANGUAGE = "en"  # whose words are counted in texts of other languages
 SYMBOLS = "#*$%&|<>"
 
 MIN_WORDS = 50
@@ -112,20 +112,22 @@ def _pick(lang: Column, values: dict[str, Column], other: Column) -> Column:
     return other if picked is None else picked.otherwise(other)
 
 
-def _common_counts(words: Column, lang: Column) -> Column:
-    """How often each common word of the language stands alone in the text."""
-    padded = F.concat(F.lit("  "), F.array_join(words, "  "), F.lit("  "))
+def _common_counts(padded: Column, lang: Column) -> Column:
+    """How often each common word of the language stands alone in the text, whose words have two blanks around them."""
+    out = []
+    for place in range(8):
+        needle = _pick(lang, {name: F.lit(f" {known[place]} ") for name, known in COMMON_WORDS.items()}, F.lit(None).cast("string"))
+        gone = F.octet_length(padded) - F.octet_length(F.replace(padded, needle, F.lit("")))
+        out.append((gone / F.octet_length(needle)).cast("long"))
+    return F.array(*out)
 
-    def counts(s: Column) -> Column:
-        out = []
-        for place in range(8):
-            needles = {name: F.lit(f" {known[place]} ") for name, known in COMMON_WORDS.items()}
-            needle = _pick(lang, needles, needles[OTHER_LANGUAGE])
-            gone = F.octet_length(s) - F.octet_length(F.replace(s, needle, F.lit("")))
-            out.append((gone / F.octet_length(needle)).cast("long"))
-        return F.array(*out)
 
-    return _bind(padded, counts)
+def _word_shares(words: Column, lang: Column, total: Column) -> Column:
+    """Shares of the common words: one histogram for a known language, else one for each language in their order."""
+    told = lambda padded, name: _shares(_common_counts(padded, name), total)
+    every = lambda padded: F.array(*[told(padded, F.lit(name)) for name in COMMON_WORDS])
+    padded = F.concat(F.lit("  "), F.array_join(words, "  "), F.lit("  "))
+    return _bind(padded, lambda s: F.when(lang == "", every(s)).otherwise(F.array(told(s, lang))))
 
 
 def _shares(counts: Column, total: Column) -> Column:
@@ -163,7 +165,7 @@ def _measures(text: Column, lang: Column) -> Column:
             classes = F.array(c["upper"], c["lower"], c["digit"], c["n_chars"] - c["word_chars"], c["n_symbols"])
             told = [c[name].alias(name) for name in ("n_chars", "n_words", "word_chars", "n_symbols")]
             told.append(_shares(classes, c["n_chars"]).alias("classes"))
-            told.append(_shares(_common_counts(words, r["lang"]), c["n_words"]).alias("words"))
+            told.append(_word_shares(words, r["lang"], c["n_words"]).alias("words_by"))
             told += [_dup_lines(body).alias("n_dup_lines"), _repeat_words(words).alias("n_repeat_words")]
             return F.struct(*told)
 
@@ -173,11 +175,14 @@ def _measures(text: Column, lang: Column) -> Column:
 
 
 def measure(docs: DataFrame, text: str = "text", lang: str = "lang", carried: Column | None = None) -> DataFrame:
-    """_row (what is carried along), lang, a hash of the text and the measures of every row; row by row."""
+    """_row (what is carried along), lang, a hash of the text and the measures of every row; row by row.
+
+    words_by has the histogram of the row's language, or those of all languages if it has none.
+    """
     named = _language(F.col(lang))
     row = F.lit(None).cast("long") if carried is None else carried
     told = docs.select(row.alias("_row"), named.alias("_lang"), raw_hash(text).alias("_text"), settled(_measures(whole(text), named)).alias("_m"))
-    return told.select("_row", "_lang", "_text", "_m.*")
+    return told.select("_row", "_lang", "_text", "_m.*", F.col("_m.words_by")[0].alias("words"))
 
 
 def _base_failed() -> Column:
@@ -215,7 +220,9 @@ def jensen_shannon(shares: Column, reference: Column) -> Column:
 
 def judge(measured: DataFrame, known: dict, max_class: float = MAX_CLASS_DISTANCE, max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
     """Adds class_distance, word_distance, base_failed and kept to measured rows."""
-    told = measured.select("*", *_distances(known))
+    told = measured.select("*", *_distances(known, max_word))
+    if known:
+        told = told.select("*", "_both.*").drop("_both")
     failed = _base_failed()
     near = (F.coalesce("class_distance", F.lit(0.0)) <= max_class) & (F.coalesce("word_distance", F.lit(0.0)) <= max_word)
     return told.withColumn("base_failed", failed).withColumn("kept", ~failed & near)
@@ -228,7 +235,7 @@ def rules(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "
     """
     measured = materialise(measure(docs, text, lang, carried=F.col(id)), "measures")
     told = judge(measured, references(measured), **limits).withColumnRenamed("_row", "doc_id")
-    return told.drop("_lang", "_text", "n_chars", "classes", "words")
+    return told.drop("_lang", "_text", "n_chars", "classes", "words", "words_by")
 
 
 def drop_low_quality(docs: DataFrame, text: str = "text", lang: str = "lang", **limits: float) -> DataFrame:
@@ -241,13 +248,28 @@ def drop_low_quality(docs: DataFrame, text: str = "text", lang: str = "lang", **
     return judge(measure(docs, text, lang, carried=F.struct("*")), known, **limits).filter("kept").select("_row.*")
 
 
-def _distances(known: dict[str, tuple[list[int], list[int]]]) -> list[Column]:
-    """Distances where the text has the least lengths, else null."""
+def _distances(known: dict[str, tuple[list[int], list[int]]], max_word: float) -> list[Column]:
+    """Distances where the text has the least lengths, else null.
+
+    A row without a known language belongs to the nearest language by its words. If none is
+    within the limit there is no distance of words, and classes are held against all documents.
+    """
     if not known:
         return [F.lit(None).cast("double").alias("class_distance"), F.lit(None).cast("double").alias("word_distance")]
     numbers = lambda xs: F.array(*[F.lit(x).cast("long") for x in xs])
-    pick = lambda k: _pick(F.col("_lang"), {name: numbers(x[k]) for name, x in known.items() if name}, numbers(known[""][k]))
-    return [
-        F.when(F.col("n_chars") >= MIN_CHARS_FOR_CLASSES, jensen_shannon(F.col("classes"), pick(0))).alias("class_distance"),
-        F.when(F.col("n_words") >= MIN_WORDS_FOR_COMMON, jensen_shannon(F.col("words"), pick(1))).alias("word_distance"),
+    pick = lambda lang, k: _pick(lang, {name: numbers(x[k]) for name, x in known.items() if name}, numbers(known[""][k]))
+    guesses = [
+        F.struct(jensen_shannon(F.col("words_by")[place], numbers(known[name][1])).alias("far"), F.lit(name).alias("lang"))
+        for place, name in enumerate(COMMON_WORDS)
+        if name in known
     ]
+    none = F.lit(None).cast("struct<far double, lang string>")
+    guess = F.array_min(F.array(*guesses)) if guesses else none
+    guess = F.when((F.col("_lang") == "") & (F.col("n_words") >= MIN_WORDS_FOR_COMMON), guess).otherwise(none)
+    own = F.struct(jensen_shannon(F.col("words"), pick(F.col("_lang"), 1)).alias("far"), F.col("_lang").alias("lang"))
+    own = F.when(F.col("n_words") >= MIN_WORDS_FOR_COMMON, own).otherwise(F.struct(F.lit(None).cast("double").alias("far"), F.col("_lang").alias("lang")))
+    fits = lambda g: F.when(g["far"] <= max_word, g).otherwise(F.struct(F.lit(None).cast("double").alias("far"), F.lit("").alias("lang")))
+    judged = F.when(F.col("_lang") == "", _bind(guess, fits)).otherwise(own)
+    classes = lambda j: F.when(F.col("n_chars") >= MIN_CHARS_FOR_CLASSES, jensen_shannon(F.col("classes"), pick(j["lang"], 0)))
+    both = _bind(judged, lambda j: F.struct(classes(j).alias("class_distance"), j["far"].alias("word_distance")))
+    return [settled(both).alias("_both")]

@@ -166,6 +166,24 @@ def test_copies_of_a_bad_page_are_no_reference(spark):
     assert quality_rules.references(quality_rules.measure(frame(spark, clean + copies + looped))) == once
 
 
+@pytest.mark.parametrize("lang", [None, "xx", "DE"])
+def test_rows_without_a_language_are_judged_by_the_nearest(spark, lang):
+    rng = random.Random(9)
+    texts = {name: [prose(rng, name) for _ in range(30)] for name in quality_rules.COMMON_WORDS}
+    rows = [(i, t, name, "s") for i, (name, t) in enumerate((n, t) for n, ts in texts.items() for t in ts)]
+    unknown = [(i + 1000, t, lang, "s") for i, t, name, _ in rows if i % 10 == 0]
+    foreign = " ".join("w" + "".join(rng.choices("abcdefgh", k=6)) for _ in range(200))
+    docs = frame(spark, [*rows, *unknown, (5000, foreign, lang, "s"), (5001, foreign, "de", "s")])
+    told = {r.doc_id: r for r in quality_rules.rules(docs).collect()}
+    assert all(told[i].kept for i, *_ in rows + unknown)
+    assert all(told[i].word_distance <= 0.23 for i, *_ in unknown)
+    assert told[5000].kept and told[5000].word_distance is None and told[5000].class_distance is not None
+    assert not told[5001].kept
+    assert {r.doc_id for r in quality_rules.drop_low_quality(docs).collect()} == {i for i, r in told.items() if r.kept}
+    alone = quality_rules.rules(frame(spark, unknown)).collect()  # no reference of any language
+    assert all(r.kept and r.word_distance is None for r in alone)
+
+
 @pytest.fixture(scope="module")
 def table():
     if not os.path.exists(PIECE_MODEL):
