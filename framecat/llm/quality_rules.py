@@ -9,8 +9,8 @@ all others), whatever the input; they are five rows of numbers that go into the
 
 No shuffle but those of the five sums and of fifteen numbers for each different text, no
 Python in tasks. Texts of any length
-stay in one row: windows of three words are hashed, packed with their place into one
-number, and sorted, so that repetition costs n log n.
+stay in one row: windows of three words are sorted by a hash first and by their words
+where hashes are equal, so that repetition is exact and costs n log n.
 
 Defined results: a null text is an empty text, which fails the base rules; a row of a null
 or unknown language is judged as one of the language whose words are nearest, and where none
@@ -52,15 +52,16 @@ def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _shift(name: str, value: Column, bits: Column) -> Column:
-    return F.call_function(name, value, bits)
+def _windows(words: Column, made: Callable[..., Column]) -> Column:
+    """What is made of each three neighbouring words and the place of the first."""
+    length = F.greatest(F.size(words) - 2, F.lit(0))
+    two = F.zip_with(F.slice(words, 1, length), F.slice(words, 2, length), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    three = F.zip_with(two, F.slice(words, 3, length), lambda ab, c: F.struct(ab["a"].alias("a"), ab["b"].alias("b"), c.alias("c")))
+    return F.transform(three, lambda w, i: made(w["a"], w["b"], w["c"], i))
 
 
-def _windows(words: Column) -> Column:
-    """One hash for each three neighbouring words."""
-    length = F.greatest(F.size(words) - 2, F.lit(0))
-    two = F.zip_with(F.slice(words, 1, length), F.slice(words, 2, length), lambda a, b: F.xxhash64(a, b))
-    return F.zip_with(two, F.slice(words, 3, length), lambda ab, c: F.xxhash64(ab, c))
+def _window_hash(a: Column, b: Column, c: Column) -> Column:
+    return F.xxhash64(F.xxhash64(a, b), c)
 
 
 def _covered(places: Column) -> Column:
@@ -69,29 +70,28 @@ def _covered(places: Column) -> Column:
     return F.aggregate(steps, F.lit(0).cast("long"), lambda total, step: total + step)
 
 
-def _repeat_words(words: Column) -> Column:
+def _repeat_words(words: Column, hashed: Callable[..., Column] = _window_hash) -> Column:
     """Words in windows of three that the text has twice or more.
 
-    Most texts have none, which a set of their hashes tells. In others hash and place share 64 bits: the place takes as many as the text needs, the hash the
-    rest, 49 bits in a text of 20,000 words.
+    Most texts have none, which a set of their hashes tells. In others windows are sorted by hash,
+    words and place, so that words are compared only where hashes are equal.
     """
+    told = lambda a, b, c, i: F.struct(hashed(a, b, c).alias("h"), a.alias("a"), b.alias("b"), c.alias("c"), i.alias("i"))
 
-    def counted(hashes: Column, bits: Column) -> Column:
-        packed = F.transform(hashes, lambda h, i: _shift("shiftleft", h, bits).bitwiseOR(i.cast("long")))
-        hash_of = lambda k: _shift("shiftrightunsigned", k, bits)
-        shorter = lambda k: F.greatest(F.size(k) - 1, F.lit(0))
-        twins = lambda k: F.zip_with(
-            F.slice(k, 1, shorter(k)), F.slice(k, 2, shorter(k)), lambda a, b: F.when(hash_of(a) == hash_of(b), F.array(a, b))
+    def twins(k: Column) -> Column:
+        shorter = F.greatest(F.size(k) - 1, F.lit(0))
+        alike = lambda x, y: (x["h"] == y["h"]) & (x["a"] == y["a"]) & (x["b"] == y["b"]) & (x["c"] == y["c"])
+        return F.zip_with(
+            F.slice(k, 1, shorter), F.slice(k, 2, shorter), lambda x, y: F.when(alike(x, y), F.array(x["i"], y["i"]))
         )
-        keys = F.flatten(F.filter(_bind(F.sort_array(packed), twins), lambda pair: pair.isNotNull()))
-        mask = _shift("shiftleft", F.lit(1).cast("long"), bits) - 1
-        return _bind(F.sort_array(F.array_distinct(F.transform(keys, lambda k: k.bitwiseAND(mask)))), _covered)
 
-    def checked(hashes: Column) -> Column:
-        twice = _bind(F.ceil(F.log2(F.size(hashes) + 2)).cast("int"), lambda bits: counted(hashes, bits))
-        return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0).cast("long")).otherwise(twice)
+    def counted(found: Column) -> Column:
+        places = F.flatten(F.filter(_bind(F.sort_array(_windows(found, told)), twins), lambda pair: pair.isNotNull()))
+        return _bind(F.sort_array(F.array_distinct(places)), _covered)
 
-    return _bind(_windows(words), checked)
+    hashes = _windows(words, lambda a, b, c, i: hashed(a, b, c))
+    single = _bind(hashes, lambda h: F.size(F.array_distinct(h)) == F.size(h))
+    return F.when(single, F.lit(0).cast("long")).otherwise(counted(words))
 
 
 def _dup_lines(text: Column) -> Column:

@@ -115,6 +115,17 @@ def test_rules_base(spark):
     assert quality_rules.rules(frame(spark, [])).count() == 0
 
 
+def test_equal_hashes_of_different_words_are_no_repeats(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("abcdefgh") for _ in range(n)) for n in (0, 1, 2, 3, 4, 30, 90)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    few = lambda a, b, c: F.pmod(quality_rules._window_hash(a, b, c), F.lit(3))
+    got = docs.select("text", quality_rules._repeat_words(quality_rules.words_of(F.col("text")), few).alias("n")).collect()
+    assert {r.text: r.n for r in got} == {t: rules_brute(t)[4] for t in texts}
+
+
 def shares(text, lang):
     import unicodedata
 
