@@ -8,19 +8,17 @@ end). ``Fragment.then`` composes neighbours: the suffix of one and the prefix of
 close one group. It is associative and the empty fragment is neutral, so any tree gives the
 same result.
 
-1. A text is cut into units where neither tokenizer can join: at a blank between two
-   characters that are no white space. A unit's ends are common ends, so its fragment has no
-   suffix, and units compose by writing their groups one after the other. Each different
-   unit of a task is encoded and aligned once.
-2. Documents longer than CHUNK bytes become byte ranges of that size, rows of their own that
-   are worked on in different tasks. A range carries the whole units at both ends, and keeps
-   the tokens that end in it, so its edges fall inside groups. Fragments of FAN neighbours are
-   composed per round until one is left for each document. A unit longer than CHUNK is not
-   cut: its tokens depend on all of it.
-3. A link is a pair of a token of each side that share a byte. Links are counted over the
-   corpus by pair of ids, folded by unit and task first; a second pass looks the counts up.
-   They are broadcast while they have at most LOOKUP_ROWS pairs, else they are joined to the
-   documents' folded links.
+1. Documents below CHUNK bytes are encoded whole, and those of a slice of a batch are aligned
+   side by side: all their ends are marked in one array of bytes.
+2. Longer documents become byte ranges of CHUNK bytes, rows of their own that are worked on in
+   different tasks. Neither tokenizer can join over a blank between two characters that are
+   no white space, so a range is encoded from the last such cut before it to the first one
+   after it, and keeps the tokens that end in it; its edges fall inside groups. Fragments of FAN
+   neighbours are composed per round until one is left for each document. A stretch
+   longer than CHUNK without a cut stays in one range: its tokens depend on all of it.
+3. A link is a pair of a token of each side that share a byte. Every document keeps its links
+   folded by id pair; their sums over the corpus are looked up for a second pass. They are
+   broadcast while there are at most LOOKUP_ROWS pairs, else they are joined.
 
 Defined results: null and empty texts have no tokens, nor have texts that one side's tokens do
 not spell byte for byte (a U+2581 in the text, say). A null id is an id like others; rows that
@@ -29,9 +27,11 @@ repeat id and text each have their result. Strings of special tokens in texts ar
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import sys
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -44,21 +44,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from framecat.llm.common import raw_hash, sent, small_side, whole
-from framecat.session import materialise
+from framecat.session import materialise, scratch_path
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CHUNK, FAN = 1 << 16, 8
 LOOKUP_ROWS = 4_000_000
-SLICE_CHARS, KNOWN_UNITS = 1 << 21, 300_000
+SLICE_CHARS = 1 << 21
 BLANK = "▁"
-#: A cut is a blank between two of these; white space is what Python takes for it.
-CUT = re.compile(rf"(?<=[^\s{BLANK}]) (?=[^\s{BLANK}])")
+# Fixed value: how byte-level vocabularies split texts into words before merging.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: No cut beside these; white space is what Python takes for it.
 UNSAFE = re.compile(rf"[\s{BLANK}]")
-RESULT = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
-COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
-
-
 def byte_of_letter() -> dict[str, int]:
     """Byte-level vocabularies spell bytes by letters: printable bytes by themselves, others by letters from 256 on."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -95,6 +92,7 @@ class Encoders:
 
         self.a = Tokenizer.from_str(sides.a_file.decode())
         self.a.encode_special_tokens = True
+        self.fast = self.ranked(json.loads(sides.a_file))
         self.b = sentencepiece.SentencePieceProcessor(model_proto=sides.b_file)
         letters = byte_of_letter()
         vocabulary = self.a.get_vocab()
@@ -107,11 +105,31 @@ class Encoders:
         if any(BLANK in p.lstrip(BLANK) for p, _ in pieces):
             raise ValueError("a piece crosses a blank")
         self.a_sizes, self.b_sizes = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
-
-    def encode(self, units: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of a blank and the unit by a, of the unit by b (which puts the blank itself)."""
-        a = [e.ids for e in self.a.encode_batch([" " + u for u in units], add_special_tokens=False)]
-        return a, self.b.encode(units, num_threads=1)
+        self.spelled = [pa.array(t, pa.binary()) for t in (self.a_bytes, self.b_bytes)]
+        self.named = [pa.array([str(i) for i in range(len(t))]) for t in (self.a_bytes, self.b_bytes)]
+
+    @staticmethod
+    def ranked(file: dict):
+        """The same merges by rank, which encode seven times as fast; None where the file does not allow it."""
+        import tiktoken
+
+        model, words, letters = file["model"], file.get("pre_tokenizer") or {}, byte_of_letter()
+        plain = words.get("type") == "ByteLevel" and words.get("use_regex", True) and not words.get("add_prefix_space")
+        merges = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model["merges"]]
+        vocabulary = model["vocab"]
+        if not plain or file.get("normalizer") or model.get("ignore_merges") or any(vocabulary.get(m) != 256 + i for i, m in enumerate(merges)):
+            return None
+        special = {t["content"] for t in file.get("added_tokens", [])}
+        ranks = {bytes(letters[c] for c in piece): i for piece, i in vocabulary.items() if piece not in special}
+        return tiktoken.Encoding("side-a", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of a blank and the text by a, of the text by b (which puts the blank itself)."""
+        if self.fast:
+            a = [self.fast.encode_ordinary(" " + t) for t in texts]
+        else:
+            a = [e.ids for e in self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+        return a, self.b.encode(texts, num_threads=1)
 
     def spells(self, unit: str, a: list[int], b: list[int]) -> bool:
         data = (" " + unit).encode()
@@ -224,83 +242,85 @@ def no_fragment() -> Fragment:
     return Fragment(no_tokens(), Closed(), no_tokens(), False)
 
 
-def stream(encoders: Encoders, units: list[str], start: int) -> tuple[Tokens, bool]:
-    """Tokens of neighbouring units from an offset on, and whether they spell them."""
-    a, b = encoders.encode(units)
-    fits = all(map(encoders.spells, units, a, b))
-    one, two = (np.array([i for ids in side for i in ids], np.int64) for side in (a, b))
-    return Tokens(one, start + np.cumsum(encoders.a_sizes[one]), two, start + np.cumsum(encoders.b_sizes[two])), fits
-
-
-class Units:
-    """Different units of a task, each encoded and aligned once."""
-
-    def __init__(self, encoders: Encoders, counts: "Counts | None" = None):
-        self.encoders, self.counts = encoders, counts
-        self.clear()
-
-    def clear(self) -> None:
-        self.rows: dict[str, int] = {}
-        self.texts: list[str] = []
-        self.keys: list[np.ndarray] = []
-        self.fits = np.empty(0, bool)
-        self.numbers = np.empty((0, 6), np.int64)
-
-    def add(self, units: list[str]) -> None:
-        a, b = self.encoders.encode(units)
-        fits = np.fromiter(map(self.encoders.spells, units, a, b), bool, len(units))
-        at = np.cumsum([0, *(len(u.encode()) + 1 for u in units)])
-        sides = []
-        for ids, sizes in ((a, self.encoders.a_sizes), (b, self.encoders.b_sizes)):
-            counts = np.array([len(i) if ok else 0 for i, ok in zip(ids, fits)], np.int64)
-            flat = np.array([i for own, ok in zip(ids, fits) if ok for i in own], np.int64)
-            size = sizes[flat]
-            ends = np.cumsum(size)
-            first = np.repeat(np.cumsum(counts) - counts, counts)  # ends start anew with each unit
-            sides.append((flat, ends - (ends[first] - size[first]) + np.repeat(at[:-1], counts), counts))
-        tokens = Tokens(sides[0][0], sides[0][1], sides[1][0], sides[1][1])
-        common = tokens.common()
-        listed, links = tokens.listed(common), tokens.links()
-        n_groups = np.diff(np.searchsorted(common, at, "right"))
-        ends = np.union1d(tokens.a_ends, tokens.b_ends)
-        n_links = np.diff(np.searchsorted(ends, at, "right"))
-        best, total = self.counts.of(links) if self.counts else (np.zeros(len(links), np.int64),) * 2
-        edge = np.cumsum([0, *n_links])
-        sums = [np.diff(np.concatenate(([0], np.cumsum(x)))[edge]) for x in (best, total)]
-        group_edge = np.cumsum([0, *n_groups]).tolist()
-        for i, unit in enumerate(units):
-            self.rows[unit] = len(self.rows)
-            self.texts.append(";".join(listed[group_edge[i] : group_edge[i + 1]]))
-        self.keys += np.split(links, edge[1:-1])
-        self.fits = np.concatenate([self.fits, fits])
-        self.numbers = np.concatenate([self.numbers, np.stack([sides[0][2], sides[1][2], n_groups, n_links, *sums], axis=1)])
-
-    def coded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Rows of the units of all texts one after the other, and where each text starts."""
-        split = pc.split_pattern(texts, " ")
-        starts = split.offsets.to_numpy().astype(np.int64) - split.offsets[0].as_py()
-        named = split.flatten().dictionary_encode()
-        names, codes = named.dictionary.to_pylist(), named.indices.to_numpy().astype(np.int64)
-        unsafe = np.array([not n or bool(UNSAFE.match(n[0]) or UNSAFE.match(n[-1])) for n in names], bool)
-        bad = np.add.reduceat(unsafe[codes], starts[:-1]) > 0 if len(texts) else np.empty(0, bool)
-        again = [CUT.split(t) for t in texts.filter(pa.array(bad)).to_pylist()]
-        good = np.repeat(~bad, np.diff(starts))
-        used = np.zeros(len(names), bool)
-        used[codes[good]] = True
-        every = {n for n, u in zip(names, used.tolist()) if u}.union(*again)
-        self.know(every)
-        of_name = np.array([self.rows[n] if u else 0 for n, u in zip(names, used.tolist())], np.int64)
-        if not bad.any():
-            return of_name[codes], starts[:-1]
-        parts, next_bad = [], iter(again)
-        for i in range(len(texts)):
-            parts.append(np.array([self.rows[u] for u in next(next_bad)], np.int64) if bad[i] else of_name[codes[starts[i] : starts[i + 1]]])
-        return np.concatenate(parts), np.cumsum([0, *map(len, parts[:-1])])
-
-    def know(self, units: set[str]) -> None:
-        new = sorted(units - self.rows.keys())
-        if new:
-            self.add(new)
+def stream(encoders: Encoders, text: str, start: int = 0) -> tuple[Tokens, bool]:
+    """Tokens of a text whose blank in front is at an offset, and whether they spell it."""
+    a, b = encoders.encode([text])
+    one, two = np.array(a[0], np.int64), np.array(b[0], np.int64)
+    tokens = Tokens(one, start + np.cumsum(encoders.a_sizes[one]), two, start + np.cumsum(encoders.b_sizes[two]))
+    return tokens, encoders.spells(text, a[0], b[0])
+
+
+def _joined(strings: pa.Array, ends: np.ndarray, by: str) -> pa.Array:
+    """Neighbouring strings joined up to each end."""
+    offsets = pa.array(np.concatenate(([0], ends)).astype(np.int32))
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, strings), by)
+
+
+def side_by_side(encoders: Encoders, texts: list[str]) -> list[pa.Array]:
+    """n_a, n_b, n_groups, groups, keys, times of texts that are not empty."""
+    sides = encoders.encode(texts)
+    data = [(" " + t).encode() for t in texts]
+    size = np.array([len(d) for d in data], np.int64)
+    counts = [np.array([len(ids) for ids in side], np.int64) for side in sides]
+    flat = []
+    for side in sides:
+        ids = array("i")
+        for one in side:
+            ids.extend(one)
+        flat.append(np.frombuffer(ids, np.int32).astype(np.int64))
+    fits = _fit(encoders, texts, sides, data, flat, counts, size)
+    if not fits.all():
+        flat = [ids[np.repeat(fits, n)] for ids, n in zip(flat, counts)]
+        counts, size = [np.where(fits, n, 0) for n in counts], np.where(fits, size, 0)
+    bounds = np.cumsum(size)
+    total = int(bounds[-1])
+    marks = np.zeros(total + 1, np.uint8)
+    for bit, ids, sizes in zip((1, 2), flat, (encoders.a_sizes, encoders.b_sizes)):
+        marks[np.cumsum(sizes[ids])] |= bit
+    ends = np.flatnonzero(marks)
+    at = marks[ends]
+    # How many tokens end before each end is the place of the token that covers the bytes before it.
+    upto = [np.cumsum((at & bit) > 0) for bit in (1, 2)]
+    before = [np.concatenate(([0], u[:-1])) if len(u) else u for u in upto]
+    common = at == 3
+    listed = [_joined(names.take(pa.array(ids)), u[common], ",") for names, ids, u in zip(encoders.named, flat, upto)]
+    groups = pc.binary_join_element_wise(listed[0], listed[1], "|")
+    own = np.searchsorted(ends, bounds, "right")  # ends up to each text's own
+    met = np.concatenate(([0], np.cumsum(common)))[own]
+    wide = len(encoders.b_sizes)
+    links = flat[0][before[0]] * wide + flat[1][before[1]] if len(ends) else np.empty(0, np.int64)
+    pairs = len(encoders.a_sizes) * wide
+    owner = np.repeat(np.arange(len(texts)), np.diff(own, prepend=0))
+    told, times = np.unique(owner * pairs + links, return_counts=True)
+    per = pa.array(np.searchsorted(told, np.arange(len(texts) + 1) * pairs).astype(np.int32))
+    keys = pa.ListArray.from_arrays(per, pa.array(told % pairs))
+    return [
+        *(pa.array(n) for n in counts),
+        pa.array(np.diff(met, prepend=0)),
+        _joined(groups, met, ";"),
+        keys,
+        pa.ListArray.from_arrays(per, pa.array(times.astype(np.int32))),
+    ]
+
+
+def _fit(encoders: Encoders, texts: list[str], sides, data: list[bytes], flat, counts, size: np.ndarray) -> np.ndarray:
+    """Which texts are spelled by the tokens of both sides; told apart only where they are not all."""
+    together = pa.py_buffer(b"".join(data))
+    for table, sizes, ids, n in zip(encoders.spelled, (encoders.a_sizes, encoders.b_sizes), flat, counts):
+        ends = np.concatenate(([0], np.cumsum(sizes[ids])))[np.concatenate(([0], np.cumsum(n)))]
+        spelled = _joined(table.take(pa.array(ids)), np.array([len(ids)]), b"")[0].as_buffer()
+        if (np.diff(ends) != size).any() or not spelled.equals(together):
+            return np.fromiter(map(encoders.spells, texts, *sides), bool, len(texts))
+    return np.ones(len(texts), bool)
+
+
+def _sums(counts: "Counts", keys: pa.Array, times: pa.Array) -> pa.Array:
+    """n_links, n_best and count_sum of each list of links."""
+    flat, n = keys.flatten().to_numpy(), times.flatten().to_numpy().astype(np.int64)
+    best, total = counts.of(flat)
+    ends = np.cumsum(pc.list_value_length(keys).to_numpy(zero_copy_only=False).astype(np.int64))
+    told = [np.diff(np.concatenate(([0], np.cumsum(x)))[np.concatenate(([0], ends))]) for x in (n, n * best, n * total)]
+    return pa.StructArray.from_arrays([pa.array(t) for t in told], ["n_links", "n_best", "count_sum"])
 
 
 @dataclass
@@ -328,82 +348,26 @@ def _slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
             yield batch.slice(low, high - low)
 
 
-def _short_links(docs: DataFrame, shared) -> DataFrame:
-    """key, times: links of short documents by id pair, folded by task."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = Units(cloudpickle.loads(shared.value).load())
-        seen = np.empty(0, np.int64)
-
-        def told() -> Iterator[pa.RecordBatch]:
-            if len(seen) and seen.any():
-                lengths = np.fromiter(map(len, units.keys), np.int64, len(units.keys))
-                keys, place = np.unique(np.concatenate(units.keys), return_inverse=True)
-                times = np.bincount(place, np.repeat(seen, lengths), len(keys)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(times)], ["key", "times"])
-
-        for batch in batches:
-            for part in _slices(batch, "text"):
-                if len(units.rows) > KNOWN_UNITS:
-                    yield from told()
-                    units.clear()
-                    seen = np.empty(0, np.int64)
-                codes, starts = units.coded(part.column("text"))
-                sizes = np.diff(np.append(starts, len(codes)))
-                fits = np.logical_and.reduceat(units.fits[codes], starts)
-                more = np.bincount(codes[np.repeat(fits, sizes)], minlength=len(units.texts))
-                more[: len(seen)] += seen
-                seen = more
-        yield from told()
-
-    return docs.select("text").mapInArrow(run, "key long, times long")
-
-
-def _short_results(docs: DataFrame, shared, counts) -> DataFrame:
-    """doc_id, raw and RESULT of short documents; without counts n_best and count_sum are 0."""
+def _short(docs: DataFrame, shared, key: str) -> DataFrame:
+    """doc_id, raw, n_a, n_b, n_groups, groups, keys, times of documents below CHUNK bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = Units(cloudpickle.loads(shared.value).load(), Counts(*counts.value) if counts else None)
+        encoders = cloudpickle.loads(shared.value).load()
         for batch in batches:
             for part in _slices(batch, "text"):
-                if len(units.rows) > KNOWN_UNITS:
-                    units.clear()
-                codes, starts = units.coded(part.column("text"))
-                ends = [*starts[1:].tolist(), len(codes)]
-                fits = np.logical_and.reduceat(units.fits[codes], starts)
-                sums = np.add.reduceat(units.numbers[codes], starts, axis=0) * fits[:, None]
-                listed, texts = codes.tolist(), units.texts
-                groups = [";".join([texts[c] for c in listed[a:b]]) if ok else "" for a, b, ok in zip(starts.tolist(), ends, fits.tolist())]
-                columns = [part.column(0), part.column(1), *(pa.array(c) for c in sums.T.copy()), pa.array(groups, pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "raw", *COUNTS, "n_best", "count_sum", "groups"])
+                told = side_by_side(encoders, part.column("text").to_pylist())
+                told[4] = told[4].cast(pa.list_(pa.int32() if key == "int" else pa.int64()))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *told], ALIGNED)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "raw", "text").mapInArrow(run, f"doc_id {kind}, raw long, {RESULT}")
+    return docs.select("doc_id", "raw", "text").mapInArrow(run, _aligned_shape(kind, key))
 
 
-def _short_pairs(docs: DataFrame, shared) -> DataFrame:
-    """doc_id, raw, key, times: each short document's links by id pair."""
+def _aligned_shape(id_kind: str, key: str) -> str:
+    return f"doc_id {id_kind}, raw long, n_a long, n_b long, n_groups long, groups string, keys array<{key}>, times array<int>"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = Units(cloudpickle.loads(shared.value).load())
-        for batch in batches:
-            for part in _slices(batch, "text"):
-                if len(units.rows) > KNOWN_UNITS:
-                    units.clear()
-                codes, starts = units.coded(part.column("text"))
-                owner = np.repeat(np.arange(len(part)), np.diff(np.append(starts, len(codes))))
-                keep = np.logical_and.reduceat(units.fits[codes], starts)[owner]
-                codes, owner = codes[keep], owner[keep]
-                if not len(codes):
-                    continue
-                lengths = units.numbers[codes, 3]
-                keys = np.concatenate([units.keys[c] for c in codes.tolist()])
-                pairs, times = np.unique(np.stack([np.repeat(owner, lengths), keys]), axis=1, return_counts=True)
-                who = pa.array(pairs[0])
-                yield pa.RecordBatch.from_arrays([part.column(0).take(who), part.column(1).take(who), pa.array(pairs[1]), pa.array(times)], ["doc_id", "raw", "key", "times"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "raw", "text").mapInArrow(run, f"doc_id {kind}, raw long, key long, times long")
+ALIGNED = ["doc_id", "raw", "n_a", "n_b", "n_groups", "groups", "keys", "times"]
 
 
 def _is_cut(data: bytes, place: int) -> bool:
@@ -482,7 +446,7 @@ def fragments(docs: DataFrame, shared, chunk: int) -> DataFrame:
         for batch in batches:
             for at in range(len(batch)):
                 row = batch.slice(at, 1).to_pylist()[0]
-                tokens, fits = stream(encoders, CUT.split(row["part"][1:]), row["low"])
+                tokens, fits = stream(encoders, row["part"][1:], row["low"])
                 found = Fragment.of(tokens.between(row["begin"], row["end"])) if fits else no_fragment()
                 told = {"doc_id": row["doc_id"], "raw": row["raw"], "chunk": row["chunk"]} | _packed(found, fits)
                 yield pa.RecordBatch.from_pylist([told], schema=shape)
@@ -508,7 +472,7 @@ def fragments(docs: DataFrame, shared, chunk: int) -> DataFrame:
     return told
 
 
-def _ended(found: DataFrame) -> DataFrame:
+def _ended(found: DataFrame, wide: int, key: str) -> DataFrame:
     """doc_id, raw, n_a, n_b, n_groups, groups, keys, times of whole documents."""
     kind = found.schema["doc_id"].dataType.simpleString()
 
@@ -519,59 +483,62 @@ def _ended(found: DataFrame) -> DataFrame:
                 read = row.to_pylist()[0]
                 closed = _unpacked(read).ended() if read["fits"] else Closed()
                 numbers = [pa.array([x], pa.int64()) for x in (closed.n_a, closed.n_b, closed.n_groups)]
-                lists = [pa.array([x], pa.list_(pa.int64())) for x in (closed.keys, closed.times)]
-                yield pa.RecordBatch.from_arrays(
-                    [row.column(0), row.column(1), *numbers, pa.array([";".join(closed.texts)]), *lists],
-                    ["doc_id", "raw", "n_a", "n_b", "n_groups", "groups", "keys", "times"],
-                )
+                keys = (closed.keys >> 32) * wide + (closed.keys & 0xFFFFFFFF)
+                lists = [pa.array([keys], pa.list_(pa.int32() if key == "int" else pa.int64())), pa.array([closed.times], pa.list_(pa.int32()))]
+                yield pa.RecordBatch.from_arrays([row.column(0), row.column(1), *numbers, pa.array([";".join(closed.texts)]), *lists], ALIGNED)
 
-    return found.mapInArrow(run, f"doc_id {kind}, raw long, n_a long, n_b long, n_groups long, groups string, keys array<long>, times array<long>")
+    return found.mapInArrow(run, _aligned_shape(kind, key))
+
+
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    """As ``materialise``, packed tighter: listings are longer than texts."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def align(docs: DataFrame, sides: Sides, id: str = "doc_id", text: str = "text", chunk: int = CHUNK, lookup_rows: int = LOOKUP_ROWS) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum and groups (`a1,a2|b1;a3|b2`, ids in order) of every row."""
     spark: SparkSession = docs.sparkSession
     shared = sent(spark, sides)
+    encoders = sides.load()
+    wide = len(encoders.b_sizes)
+    key = "int" if len(encoders.a_sizes) * wide < 2**31 else "long"
     rows = docs.select(F.col(id).alias("doc_id"), raw_hash(text).alias("raw"), whole(text).alias("text"))
     empty, long = F.col("text") == "", F.octet_length("text") >= chunk
-    short = rows.filter(~empty & ~long)
     # Long rows that repeat are worked on once and get their results by a join.
-    texts = rows.filter(long).dropDuplicates(["doc_id", "raw"])
-    ended = materialise(_ended(fragments(texts, shared, chunk)), "ended")
-    own = ended.select("doc_id", "raw", F.explode(F.arrays_zip("keys", "times")).alias("e")).select("doc_id", "raw", "e.keys", "e.times")
-    own = own.withColumnRenamed("keys", "key")
-    repeats = rows.filter(long).groupBy("doc_id", "raw").agg(F.count(F.lit(1)).alias("n"))
-    named = repeats.withColumnsRenamed({"doc_id": "_id", "raw": "_raw"})
-    met = own.join(named, own["doc_id"].eqNullSafe(F.col("_id")) & (F.col("raw") == F.col("_raw")))
-    links = _short_links(short, shared).unionByName(met.select("key", (F.col("times") * F.col("n")).alias("times")))
-    counts = materialise(links.groupBy("key").agg(F.sum("times").alias("total")), "links")
-    b = F.col("key").bitwiseAND(0xFFFFFFFF)
-    highest = counts.groupBy(b.alias("b")).agg(F.max("total").alias("most"))
-    counts = counts.withColumn("b", b).join(highest, "b").select("key", "total", (F.col("total") == F.col("most")).alias("best"))
-    counts = materialise(counts, "counts")
-
-    def summed(pairs: DataFrame) -> DataFrame:
-        """doc_id, raw, n_links, n_best, count_sum from each document's links, by a join."""
-        joined = pairs.join(small_side(counts), "key")
-        told = [F.sum("times").alias("n_links"), F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best")]
-        return joined.groupBy("doc_id", "raw").agg(*told, F.sum(F.col("times") * F.col("total")).alias("count_sum"))
-
-    def with_sums(results: DataFrame, sums: DataFrame) -> DataFrame:
-        other = sums.select(F.col("doc_id").alias("_id"), F.col("raw").alias("_raw"), "n_links", "n_best", "count_sum")
-        both = results.join(other, results["doc_id"].eqNullSafe(F.col("_id")) & (F.col("raw") == F.col("_raw")), "left")
-        numbers = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_links", "n_best", "count_sum")]
-        return both.select("doc_id", "raw", "n_a", "n_b", "n_groups", *numbers, "groups")
+    once = rows.filter(long).dropDuplicates(["doc_id", "raw"])
+    ended = materialise(_ended(fragments(once, shared, chunk), wide, key), "ended").withColumnsRenamed({"doc_id": "_id", "raw": "_raw"})
+    lengthy = rows.filter(long).select("doc_id", "raw")
+    lengthy = lengthy.join(ended, lengthy["doc_id"].eqNullSafe(F.col("_id")) & (F.col("raw") == F.col("_raw"))).select(*ALIGNED)
+    aligned = _stored(_short(rows.filter(~empty & ~long), shared, key).unionByName(lengthy), "aligned")
 
+    links = aligned.select(F.inline(F.arrays_zip("keys", "times"))).withColumnRenamed("keys", "key")
+    counts = materialise(links.groupBy("key").agg(F.sum("times").alias("total")), "links")
+    of_b = counts.withColumn("b", F.col("key") % wide)
+    highest = of_b.groupBy("b").agg(F.max("total").alias("most"))
+    counts = materialise(of_b.join(highest, "b").select("key", "total", (F.col("total") == F.col("most")).alias("best")), "counts")
     if counts.limit(lookup_rows + 1).count() <= lookup_rows:
         table = counts.orderBy("key").toArrow()
         held = spark.sparkContext.broadcast(tuple(table.column(c).to_numpy() for c in ("key", "total", "best")))
-        of_short = _short_results(short, shared, held).select("doc_id", "raw", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups")
+
+        @F.arrow_udf("struct<n_links: long, n_best: long, count_sum: long>")
+        def sums(keys: pa.Array, times: pa.Array) -> pa.Array:
+            return _sums(Counts(*held.value), keys, times)
+
+        told = aligned.withColumn("s", sums("keys", "times")).select(*ALIGNED[:6], "s.*")
     else:
-        folded = summed(_short_pairs(short.dropDuplicates(["doc_id", "raw"]), shared))
-        of_short = with_sums(_short_results(short, shared, None).drop("n_links", "n_best", "count_sum"), folded)
-    of_long = with_sums(ended.drop("keys", "times"), summed(own)).withColumnsRenamed({"doc_id": "_id", "raw": "_raw"})
-    repeated = rows.filter(long).select("doc_id", "raw")
-    of_long = repeated.join(of_long, repeated["doc_id"].eqNullSafe(F.col("_id")) & (F.col("raw") == F.col("_raw"))).drop("_id", "_raw")
-    zeros = [F.lit(0).cast("long").alias(c) for c in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")]
-    of_empty = rows.filter(empty).select("doc_id", "raw", *zeros, F.lit("").alias("groups"))
-    return of_short.unionByName(of_long).unionByName(of_empty)
+        # Texts without links keep their row; equal rows have equal sums.
+        folded = aligned.dropDuplicates(["doc_id", "raw"]).select("doc_id", "raw", F.inline(F.arrays_zip("keys", "times"))).withColumnRenamed("keys", "key")
+        joined = folded.join(small_side(counts), "key")
+        sums = joined.groupBy("doc_id", "raw").agg(
+            F.sum("times").alias("n_links"),
+            F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"),
+            F.sum(F.col("times") * F.col("total")).alias("count_sum"),
+        )
+        sums = sums.withColumnsRenamed({"doc_id": "_id", "raw": "_raw"})
+        told = aligned.join(sums, aligned["doc_id"].eqNullSafe(F.col("_id")) & (F.col("raw") == F.col("_raw")), "left")
+        told = told.select(*ALIGNED[:6], *(F.coalesce(c, F.lit(0)).alias(c) for c in ("n_links", "n_best", "count_sum")))
+    names = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+    nothing = rows.filter(empty).select("doc_id", "raw", *(F.lit(0).cast("long").alias(c) for c in names), F.lit("").alias("groups"))
+    return told.select("doc_id", "raw", *names, "groups").unionByName(nothing)

@@ -102,6 +102,15 @@ def test_cases_equal_brute_force(spark, encoders, chunk, lookup):
     same(run(spark, CASES + CASES[4:8], chunk=chunk, lookup_rows=lookup), brute(encoders, CASES + CASES[4:8]))
 
 
+def test_both_ways_to_encode_agree(encoders):
+    assert encoders.fast
+    texts = [c for c in CASES if c]
+    a, _ = encoders.encode(texts)
+    assert a == [e.ids for e in encoders.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+    file = {"model": {"merges": ["a b"], "vocab": {"ab": 7}}, "pre_tokenizer": {"type": "ByteLevel"}}
+    assert encoders.ranked(file) is None
+
+
 def test_documents_equal_brute_force(spark, encoders, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     texts = dict(docs.select("doc_id", "text").collect())
@@ -117,7 +126,7 @@ def test_documents_equal_brute_force(spark, encoders, sf_dir):
 
 def test_composition_is_associative_and_cuts_do_not_matter(encoders):
     text = "Unbelievable internationalisation, 12345 characterisations: " * 6
-    tokens, fits = alignment.stream(encoders, alignment.CUT.split(text), 0)
+    tokens, fits = alignment.stream(encoders, text)
     assert fits
     end, rng = int(tokens.a_ends[-1]), random.Random(5)
     whole = alignment.Closed.of(tokens)
