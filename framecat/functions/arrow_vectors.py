@@ -87,6 +87,26 @@ def distance_to(metric: str, column: Column, query: Sequence[float]) -> Column:
     return of.asNondeterministic()(column)
 
 
+def pair_distance(metric: str, column: Column, other: Column) -> Column:
+    """Distance of two vector columns, row by row; NULL as in ``distance_to``."""
+    if metric not in vectors.DISTANCES:
+        raise ValueError(f"metric must be one of {sorted(vectors.DISTANCES)}, not {metric!r}")
+
+    @F.pandas_udf("double")
+    def of(batch: pd.Series, others: pd.Series) -> pd.Series:
+        out = np.full(len(batch), np.nan)
+        fits = np.array([a is not None and b is not None and len(a) == len(b) for a, b in zip(batch, others)], dtype=bool)
+        lengths = np.array([len(a) if f else 0 for a, f in zip(batch, fits)])
+        for length in np.unique(lengths[fits]):
+            at = fits & (lengths == length)
+            a, b = matrix(batch[at]), matrix(others[at])
+            sound = np.isfinite(a).all(axis=1) & np.isfinite(b).all(axis=1)
+            out[at] = np.where(sound, row_distances(metric, a, b), np.nan)
+        return pd.Series(out)
+
+    return of.asNondeterministic()(column, other)
+
+
 def metadata_embedding(structure: Column, dim: int = METADATA_DIM, tail_weight: float = 1.0) -> Column:
     """``vectors.metadata_embedding`` as float32; its hash words come whole from each digest."""
     words, degenerate = vectors.WORDS_PER_HASH, vectors.DEGENERATE

@@ -8,6 +8,7 @@ from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BOX_FIELDS = ("min_x", "min_y", "max_x", "max_y")
 
@@ -120,6 +121,35 @@ def binary_json(value: Column) -> Column:
     return F.when(value.isNotNull(), F.to_json(body))
 
 
+def json_safe(value: Column, kind: T.DataType) -> Column:
+    """A value of any type as one that JSON can hold, however deep: binary data as base64 objects, keys as text.
+
+    Boxes, vectors and colours are structs already and become objects of their fields. Numbers
+    that JSON lacks (NaN, infinite) become null.
+    """
+    if isinstance(kind, T.BinaryType):
+        text = F.translate(F.base64(value), "\r\n", "")
+        return F.when(value.isNotNull(), F.struct(F.lit("base64").alias("encoding"), text.alias("data")))
+    if isinstance(kind, T.StructType):
+        inner = F.struct(*[json_safe(value[f.name], f.dataType).alias(f.name) for f in kind])
+        return F.when(value.isNotNull(), inner)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: json_safe(x, kind.elementType))
+    if isinstance(kind, T.MapType):
+        told = F.transform_values(value, lambda k, v: json_safe(v, kind.valueType))
+        return told if isinstance(kind.keyType, T.StringType) else F.transform_keys(told, lambda k, v: k.cast("string"))
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return F.when(F.abs(value) < float("inf"), value)
+    return value
+
+
+def json_safe_text(value: Column, kind: T.DataType) -> Column:
+    """JSON text of ``json_safe``; NULL is the text null."""
+    options = {"ignoreNullFields": "false"}
+    inside = F.to_json(F.array(json_safe(value, kind)), options)
+    return F.substring(inside, F.lit(2), F.length(inside) - 2)
+
+
 def box_json(min_x: Column, min_y: Column, max_x: Column, max_y: Column) -> Column:
     low = F.struct(min_x.alias("x"), min_y.alias("y"))
     high = F.struct(max_x.alias("x"), max_y.alias("y"))

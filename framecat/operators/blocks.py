@@ -90,20 +90,37 @@ def stacked(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), width)
 
 
-def sampled_pivots(rows: DataFrame, vector: str, key: str, count: int) -> np.ndarray:
-    """Pivots from SAMPLE_ROWS rows in hash order, of the width most of them have."""
+Seen = Callable[[np.ndarray], np.ndarray]
+
+
+def as_they_are(cells: np.ndarray) -> np.ndarray:
+    return cells
+
+
+def sampled_pivots(rows: DataFrame, vector: str, key: str, count: int, seen: Seen = as_they_are) -> np.ndarray:
+    """Pivots from SAMPLE_ROWS rows in hash order, of the width most of them have, as ``seen`` shows them."""
     held = rows.select(vector).orderBy(F.xxhash64(key), key).limit(SAMPLE_ROWS).toArrow().column(0).to_pylist()
     if not held:
         return np.zeros((0, 0))
     widths = [len(v) for v in held]
     width = max(sorted(set(widths)), key=widths.count)
-    return far_apart(np.array([v for v in held if len(v) == width], np.float64).reshape(-1, width), count)
-
-
-def blocked(rows: DataFrame, pivots, key: str, vector: str, label: str, block_rows: int = BLOCK_ROWS, total: int | None = None) -> DataFrame:
+    return far_apart(seen(np.array([v for v in held if len(v) == width], np.float64).reshape(-1, width)), count)
+
+
+def blocked(
+    rows: DataFrame,
+    pivots,
+    key: str,
+    vector: str,
+    label: str,
+    block_rows: int = BLOCK_ROWS,
+    total: int | None = None,
+    seen: Seen = as_they_are,
+) -> DataFrame:
     """Blocks of rows (key, a long; vector, an array without NULL), written. ``pivots`` is a broadcast.
 
-    Rows of other lengths are in blocks of their own.
+    Vectors of other lengths are in blocks of their own. Distances to pivots are those of what
+    ``seen`` makes of the vectors (unit vectors, say).
     """
     total = rows.count() if total is None else total
     parts = min(20_000, max(1, math.ceil(total / (8 * block_rows))))
@@ -114,7 +131,7 @@ def blocked(rows: DataFrame, pivots, key: str, vector: str, label: str, block_ro
             for width in np.unique(widths):
                 part = batch.filter(pa.array(widths == width)) if len(np.unique(widths)) > 1 else batch
                 cells = stacked(part.column(1))
-                away = pivot_distances(cells, pivots.value)
+                away = pivot_distances(seen(cells), pivots.value)
                 home = away.argmin(axis=1) if away.shape[1] else np.zeros(len(cells), int)
                 near = away[np.arange(len(cells)), home] if away.shape[1] else np.zeros(len(cells))
                 yield pa.RecordBatch.from_arrays(
@@ -129,7 +146,7 @@ def blocked(rows: DataFrame, pivots, key: str, vector: str, label: str, block_ro
             part = pa.Table.from_batches(rows)
             cells = stacked(part.column("vec"))
             # Cutting off is no farther apart than before, so bounds hold beyond float32 too.
-            away = np.minimum(pivot_distances(cells, pivots.value), 3e38).astype(np.float32)
+            away = np.minimum(pivot_distances(seen(cells), pivots.value), 3e38).astype(np.float32)
             least = small(cells)
             low = away.min(axis=0).astype(np.float64)
             high = away.max(axis=0).astype(np.float64)

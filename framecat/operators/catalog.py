@@ -8,6 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from framecat.functions import vectors
+from framecat.schemas import FINGERPRINT_DIM
+
 GIB = 1024 * 1024 * 1024
 MIB = 1024 * 1024
 OVERSIZED = 500 * MIB
@@ -185,6 +188,15 @@ def channel_features(channels: DataFrame, key: str = "file_id") -> DataFrame:
     )
 
 
+def fingerprints(channels: DataFrame, files: DataFrame, key: str = "file_id", dim: int = FINGERPRINT_DIM) -> DataFrame:
+    """Channel fingerprint of every file from its channel rows; the rows of one header meet in one row, as in its payload."""
+    row = F.struct("part_index", F.col("channel_name").alias("name"), F.col("channel_type").alias("type"), "x_sampling", "y_sampling")
+    gathered = channels.groupBy(key).agg(F.sort_array(F.collect_list(row)).alias("channels"))
+    all_files = files.select(key).join(gathered, key, "left")
+    own = F.coalesce("channels", F.array().cast(gathered.schema["channels"].dataType))
+    return all_files.select(key, vectors.channel_fingerprint(own, dim).alias("channel_fingerprint"))
+
+
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Row count of each table."""
     counted = [

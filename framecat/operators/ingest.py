@@ -6,10 +6,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from framecat.functions import arrow_vectors, keys, structure, values, vectors
 from framecat.schemas import CORRUPT, FINGERPRINT_DIM, METADATA_DIM
-from framecat.sources.payloads import RAW
+from framecat.sources.payloads import RAW, parse_payloads
 
 # Why a payload is routed aside.
 MALFORMED = "Malformed payload"
@@ -112,6 +113,14 @@ def files_rows(prepared: DataFrame, inspected_at: Column | None = None, dim: int
     )
 
 
+def payload_vectors(lines: DataFrame, dim: int = METADATA_DIM, tail_weight: float = 1.0) -> DataFrame:
+    """``metadata_embedding`` of payload text (column ``value``), for looking up files like it; bad payloads give no row."""
+    good, _ = route_errors(parse_payloads(lines), located=False)
+    flagged = F.col("structure").withField("is_deep", F.coalesce("file.is_deep", F.lit(False)))
+    ready = prepare(good).select(arrow_vectors.settled(flagged).alias("shape"))
+    return ready.select(arrow_vectors.metadata_embedding(F.col("shape"), dim, tail_weight).alias("metadata_embedding"))
+
+
 def parts_rows(prepared: DataFrame) -> DataFrame:
     """One row per part; files without parts give none."""
     return prepared.select("file_id", "file_path", F.inline("parts"))
@@ -276,8 +285,13 @@ def build_payload(
 
 
 def backfill(df: DataFrame, path: str, data_type: str, name: str, raw: str = RAW) -> DataFrame:
-    """Add a column taken out of the kept payload text; NULL where it is absent or unfit."""
-    return df.withColumn(name, F.try_variant_get(F.try_parse_json(F.col(raw)), path, data_type))
+    """Add a column taken out of the kept payload; NULL where it is absent or unfit.
+
+    A payload kept as VARIANT is read as it is; one kept as text is parsed for each new column.
+    """
+    kept = F.col(raw)
+    parsed = kept if isinstance(df.schema[raw].dataType, T.VariantType) else F.try_parse_json(kept)
+    return df.withColumn(name, F.try_variant_get(parsed, path, data_type))
 
 
 def read_versions(*tables: DataFrame) -> DataFrame:

@@ -56,27 +56,59 @@ def check_enum(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFrame:
 
 
 def check_types(lines: DataFrame, expected: dict[str, str], text: str = "value") -> DataFrame:
-    """Per JSON path: payloads that lack it, and payloads whose value is of another kind.
+    """Per JSON path: how many values are missing, are of another kind, and how many there should be.
 
-    ``expected`` maps a path such as ``$.file.size_bytes`` to a kind of ``values.kind``.
+    ``expected`` maps a path such as ``$.file.size_bytes`` or ``$.parts[*].width`` to a kind of
+    ``values.kind``; ``[*]`` stands for every element of a list, at any depth. Each list is taken
+    apart by a lateral table function, and every level folds to one row in its tasks.
     """
+    spark = lines.sparkSession
+    levels: dict[str, DataFrame] = {"": lines.select(F.try_parse_json(F.col(text)).alias("v"))}
+
+    def level(prefix: str) -> DataFrame:
+        """Elements of the list at a prefix that ends with [*]."""
+        if prefix not in levels:
+            outer, _, last = prefix.removesuffix("[*]").rpartition("[*]")
+            above = level(f"{outer}[*]" if outer else "")
+            path = f"${last}" if outer else last
+            lists = above.select(F.try_variant_get(F.col("v"), path, "variant").alias("list"))
+            lists = lists.filter(values.kind(F.col("list")) == "array").alias("held")
+            taken = lists.lateralJoin(spark.tvf.variant_explode(F.col("held.list").outer()))
+            levels[prefix] = taken.select(F.col("value").alias("v"))
+        return levels[prefix]
+
+    told, by_level = [], {}
+    for path, wanted in expected.items():
+        prefix, mark, rest = path.rpartition("[*]")
+        by_level.setdefault(prefix + mark, []).append((path, "$" + rest if mark else rest, wanted))
+    for prefix, fields in by_level.items():
+        counts, rows = [F.count(F.lit(1)).alias("n")], []
+        for i, (path, inner, wanted) in enumerate(fields):
+            at = F.col("v") if inner == "$" else F.try_variant_get(F.col("v"), inner, "variant")
+            counts += [F.count_if(at.isNull()).alias(f"m{i}"), F.count_if(at.isNotNull() & (values.kind(at) != wanted)).alias(f"w{i}")]
+            told_of = (F.lit(path).alias("field"), F.col(f"m{i}").alias("missing"), F.col(f"w{i}").alias("wrong_type"))
+            rows.append(F.struct(*told_of, F.col("n").alias("expected")))
+        told.append(level(prefix).agg(*counts).select(F.inline(F.array(*rows))))
+    return reduce(DataFrame.unionByName, told)
+
+
+def undeclared_fields(lines: DataFrame, declared: dict[str, Sequence[str]], text: str = "value") -> DataFrame:
+    """Fields that objects have beyond the declared ones: path, field, row_count.
+
+    ``declared`` maps the path of an object, or of a list of objects (ending with ``[*]``), to its fields.
+    """
+    spark = lines.sparkSession
     parsed = lines.select(F.try_parse_json(F.col(text)).alias("v"))
-    counts, rows = [], []
-    for i, (path, wanted) in enumerate(expected.items()):
-        at = F.try_variant_get(F.col("v"), path, "variant")
-        missing = at.isNull()
-        counts += [
-            F.count_if(missing).alias(f"m{i}"),
-            F.count_if(~missing & (values.kind(at) != wanted)).alias(f"w{i}"),
-        ]
-        rows.append(
-            F.struct(
-                F.lit(path).alias("field"),
-                F.col(f"m{i}").alias("missing"),
-                F.col(f"w{i}").alias("wrong_type"),
-            )
-        )
-    return parsed.agg(*counts).select(F.inline(F.array(*rows)))
+    told = []
+    for path, names in declared.items():
+        objects = parsed.select(F.try_variant_get(F.col("v"), path.removesuffix("[*]"), "variant").alias("o"))
+        if path.endswith("[*]"):
+            lists = objects.filter(values.kind(F.col("o")) == "array").alias("held")
+            objects = lists.lateralJoin(spark.tvf.variant_explode(F.col("held.o").outer())).select(F.col("value").alias("o"))
+        held = objects.filter(values.kind(F.col("o")) == "object").alias("held")
+        fields = held.lateralJoin(spark.tvf.variant_explode(F.col("held.o").outer())).filter(~F.col("key").isin(list(names)))
+        told.append(fields.groupBy(F.lit(path).alias("path"), F.col("key").alias("field")).agg(F.count("*").alias("row_count")))
+    return reduce(DataFrame.unionByName, told)
 
 
 def check_vectors(df: DataFrame, column: str, dim: int) -> DataFrame:

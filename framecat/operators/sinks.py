@@ -19,6 +19,7 @@ Readers see a version once its commit exists, so a merge that dies half-way leav
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -50,6 +51,14 @@ def read_tables(spark: SparkSession, root: str, names: tuple[str, ...] = ("files
     return {n: spark.read.schema(table_schema(n)).parquet(f"{root}/{n}") for n in names}
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Stored as a table of so many buckets by the keys, one sorted file each; joins on the keys need no exchange."""
+    keys = list(keys)
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def write_partitioned(files: DataFrame, path: str, mtime: str = "mtime", mode: str = "overwrite") -> None:
     """Files by month of modification.
 
@@ -70,23 +79,58 @@ def clone_tables(tables: dict[str, DataFrame], root: str) -> dict[str, DataFrame
     return {name: export_parquet(df, f"{root}/{name}") for name, df in tables.items()}
 
 
-def same_counts(tables: dict[str, DataFrame], copies: dict[str, DataFrame]) -> DataFrame:
-    """Row counts of each table and its copy."""
+def same_contents(tables: dict[str, DataFrame], copies: dict[str, DataFrame]) -> DataFrame:
+    """Row counts of each table and its copy, and whether all their rows are the same: table_name, rows, copied, same.
+
+    Hashes of rows are added up, so rows that are lost, doubled or changed tell and order does not.
+    """
 
-    def counted(name: str, df: DataFrame, copied: bool) -> DataFrame:
-        n = df.agg(F.count("*").alias("n"))
-        return n.select(F.lit(name).alias("table_name"), F.lit(copied).alias("copied"), "n")
+    def told(name: str, df: DataFrame, copied: bool) -> DataFrame:
+        row = F.xxhash64(*[F.col(c) for c in sorted(tables[name].columns)]).cast("decimal(38,0)")
+        found = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(row), F.lit(0)).alias("h"))
+        return found.select(F.lit(name).alias("table_name"), F.lit(copied).alias("copied"), "n", "h")
 
-    told = [counted(n, df, False) for n, df in tables.items()]
-    told += [counted(n, copies[n], True) for n in tables]
-    return (
-        reduce(DataFrame.unionByName, told)
-        .groupBy("table_name")
-        .agg(
-            F.sum(F.when(~F.col("copied"), F.col("n"))).alias("rows"),
-            F.sum(F.when(F.col("copied"), F.col("n"))).alias("copied"),
-        )
+    both = [told(n, df, False) for n, df in tables.items()] + [told(n, copies[n], True) for n in tables]
+    pivoted = reduce(DataFrame.unionByName, both).groupBy("table_name").agg(
+        F.max_by("n", ~F.col("copied")).alias("rows"),
+        F.max_by("n", "copied").alias("copied_rows"),
+        (F.count_distinct("n", "h") == 1).alias("same"),
     )
+    return pivoted.select("table_name", "rows", F.col("copied_rows").alias("copied"), "same")
+
+
+BUCKET_FILES = 4_000
+
+
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("file_id"), F.lit(buckets)).cast("int")
+
+
+def write_buckets(files: DataFrame, path: str, buckets: int) -> None:
+    """A files table in folders by hash of the file id, for ``upsert_buckets``."""
+    files.withColumn("bucket", _bucket(buckets)).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+
+def upsert_buckets(collapsed: DataFrame, path: str, schema: T.StructType, buckets: int) -> int:
+    """Upsert a collapsed batch into ``write_buckets``; only buckets that the batch touches are read and written.
+
+    Returns how many those are. A batch of fixed size touches as many buckets as it has files
+    at most, whatever the catalogue's size. The folders are replaced by one job at its commit.
+    """
+    spark = collapsed.sparkSession
+    batch = materialise(collapsed.withColumn("bucket", _bucket(buckets)), "batch")
+    touched = [r.bucket for r in batch.select("bucket").distinct().collect()]  # numbers of buckets, no more than there are
+    if not touched:
+        return 0
+    wide = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])
+    existing = spark.read.schema(wide).parquet(path).filter(F.col("bucket").isin(touched)).drop("bucket")
+    merged = upsert.upsert_files(existing, batch.drop("bucket")).withColumn("bucket", _bucket(buckets))
+    # Written apart first: the folders to be replaced are those that are read.
+    ready = materialise(merged, "merged")
+    ready.repartition(min(len(touched), BUCKET_FILES), "bucket").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("bucket").parquet(path)
+    return len(touched)
 
 
 def sample_copy(tables: dict[str, DataFrame], n: int = 100, key: str = "file_id") -> dict[str, DataFrame]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,3 +61,19 @@ def content_hash(samples: DataFrame, key: str, position: str, value: str) -> Dat
         F.count("*").alias("sampled_pixel_count"),
         F.sha2(structure.set_digest_agg(pair), 256).alias("pixel_hash_sampled"),
     )
+
+
+def stats_rows(samples: DataFrame, key: Sequence[str] = ("file_id", "part_id", "channel_id"), stride: int = 1, at: Column | None = None) -> DataFrame:
+    """Rows of the declared ``stats`` table from samples (key, pos, value): measures of every stride-th value, and their hash."""
+    pair = F.md5(F.concat_ws(":", F.col("pos").cast("string"), F.col("value").cast("string")))
+    return (
+        strided(samples, stride)
+        .groupBy(*key)
+        .agg(
+            *_measures("value"),
+            F.first("sample_stride").alias("sample_stride"),
+            F.count("*").alias("sampled_pixel_count"),
+            F.sha2(structure.set_digest_agg(pair), 256).alias("pixel_hash_sampled"),
+        )
+        .withColumn("computed_at", F.current_timestamp() if at is None else at)
+    )

@@ -97,14 +97,14 @@ def inspection_audit(log: DataFrame, key: str = "file_id", at: str = "ts") -> Da
 def latest_version(files: DataFrame) -> DataFrame:
     """Newest record per bucket and normalised path: largest mtime, then largest file_id.
 
-    The maximum is of mtime and id alone, so a path with very many versions folds before
-    the shuffle; full rows come in by a semi join.
+    One row per path, also where records are equal: of equal mtime and id the largest by the
+    other columns. One mergeable aggregate, so a path with very many versions folds before the
+    shuffle.
     """
     key = ["s3_bucket", "file_path_normalized"]
-    newest = files.groupBy(*key).agg(F.max(F.struct("mtime", "file_id")).alias("_newest")).select(*key, "_newest.*")
-    a, b = files.alias("a"), newest.alias("b")
-    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*key, "mtime", "file_id")]
-    return a.join(b, same, "left_semi")
+    rest = [c for c in files.columns if c not in (*key, "mtime", "file_id")]
+    newest = F.max(F.struct("mtime", "file_id", *rest)).alias("_newest")
+    return files.groupBy(*key).agg(newest).select(*key, "_newest.*").select(*files.columns)
 
 
 def detect_changes(existing: DataFrame, batch: DataFrame) -> DataFrame:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framecat.functions import keys, values
-from framecat.operators import catalog, neighbours, quality, statistics
+from framecat.functions import keys, structure, values
+from framecat.operators import catalog, neighbours, quality, sinks, statistics
 from framecat.plans import base, views
 from framecat.plans.tables import _damaged
+from framecat.session import scratch_path
 
 POLICY = quality.Policy(max_bytes=500 * 1024 * 1024, max_tile=32)
 EXPECTED_TYPES = {
@@ -19,11 +20,21 @@ EXPECTED_TYPES = {
     "$.file.frame_number": "int",
     "$.file.is_deep": "bool",
     "$.parts": "array",
-    "$.parts[0].width": "int",
-    "$.parts[0].pixel_aspect_ratio": "int",
-    "$.parts[0].display_window": "object",
+    "$.parts[*].width": "int",
+    "$.parts[*].compression": "string",
+    "$.parts[*].pixel_aspect_ratio": "int",
+    "$.parts[*].display_window": "object",
     "$.channels": "array",
+    "$.channels[*].name": "string",
     "$.attributes.parts": "array",
+    "$.attributes.parts[*]": "array",
+    "$.attributes.parts[*][*].name": "string",
+    "$.attributes.parts[*][*].value": "string",
+}
+DECLARED = {
+    "$.file": ("path", "s3_key", "s3_bucket", "size_bytes", "mtime", "frame_number", "multipart_count"),
+    "$.parts[*]": tuple(n for n in structure.PART_COLUMNS if n != "render_software"),
+    "$.channels[*]": ("part_index", "name", "layer_name", "component_name", "type", "x_sampling"),
 }
 
 
@@ -32,8 +43,7 @@ def _files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def channels_with_parts(spark: SparkSession, sf: str) -> DataFrame:
-    p = base.indexed_parts(spark, sf)
-    return catalog.channels_with_parts(views.channels(p), views.part_rows(p), "file_key")
+    return catalog.channels_with_parts(base.stored(spark, sf, "channels"), base.stored(spark, sf, "parts"), "file_key")
 
 
 def files_with_channels(spark: SparkSession, sf: str) -> DataFrame:
@@ -132,8 +142,37 @@ def _rounded_statistics(df: DataFrame) -> DataFrame:
     )
 
 
+def _keyed_samples(spark: SparkSession, sf: str) -> DataFrame:
+    """The samples as those of channels of parts of files."""
+    s = _samples(spark, sf)
+    text = lambda c: c.cast("string")
+    return s.select(text(F.col("pos") % 7).alias("file_id"), text(F.col("pos") % 3).alias("part_id"), text(F.col("channel")).alias("channel_id"), "pos", "value")
+
+
 def channel_statistics(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded_statistics(statistics.channel_statistics(_samples(spark, sf), "channel"))
+    return _rounded_statistics(statistics.channel_statistics(_keyed_samples(spark, sf), "file_id", "part_id", "channel_id"))
+
+
+def _stored_rows(spark: SparkSession, name: str, rows: DataFrame) -> DataFrame:
+    """Rows written to their declared table in two halves, and read back."""
+    root = scratch_path(spark, name)
+    half = F.pmod(F.xxhash64("file_id"), F.lit(2)) == 0
+    for part in (half, ~half):
+        sinks.write_tables({name: rows.filter(part)}, root)
+    return sinks.read_tables(spark, root, (name,))[name]
+
+
+def stats_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The statistics table of every second sample: of positions 0, 2, 4, ..."""
+    samples = _keyed_samples(spark, sf)
+    stored = _stored_rows(spark, "stats", statistics.stats_rows(samples, stride=2)).drop("computed_at")
+    return _rounded_statistics(stored).drop("pixel_hash_sampled")
+
+
+def validation_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The table of policy results."""
+    results = _validated(spark, sf).withColumn("file_id", F.col("file_key").cast("string")).drop("file_key")
+    return _stored_rows(spark, "validation_results", results).drop("validated_at")
 
 
 def strided_statistics(spark: SparkSession, sf: str) -> DataFrame:
@@ -185,8 +224,20 @@ def check_enum(spark: SparkSession, sf: str) -> DataFrame:
     return quality.check_enum(views.parts(spark, sf), "compression", allowed)
 
 
+def _retyped(spark: SparkSession, sf: str) -> DataFrame:
+    """Damaged payloads, and some whose last part has a text for its width."""
+    lines = _damaged(spark, sf)
+    turned = F.regexp_replace("value", r'^(.*"width":)(\d+)(.*)$', '$1"$2"$3')
+    return lines.select("file_key", F.when(F.col("file_key") % 16 == 4, turned).otherwise(F.col("value")).alias("value"))
+
+
 def check_types(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.check_types(_damaged(spark, sf), EXPECTED_TYPES)
+    return quality.check_types(_retyped(spark, sf), EXPECTED_TYPES)
+
+
+def undeclared_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Fields beyond lists from which some were left out."""
+    return quality.undeclared_fields(_damaged(spark, sf), DECLARED)
 
 
 def check_vectors(spark: SparkSession, sf: str) -> DataFrame:
@@ -231,6 +282,7 @@ QUERIES = {
     "row_counts_g6": row_counts,
     "layers_g7": layers,
     "channel_statistics_g8": channel_statistics,
+    "stats_table_g8": stats_table,
     "strided_statistics_g9": strided_statistics,
     "content_hash_g10": content_hash,
     "ordered_files_h1": ordered_files,
@@ -241,8 +293,10 @@ QUERIES = {
     "check_foreign_key_q3": check_foreign_key,
     "check_enum_q4": check_enum,
     "check_types_q5": check_types,
+    "undeclared_fields_q5": undeclared_fields,
     "check_vectors_q6": check_vectors,
     "validate_q7": validate,
+    "validation_table_q7": validation_table,
     "file_severity_q7_rollup": file_severity,
 }
 
@@ -299,34 +353,43 @@ results AS (
          CASE WHEN tile > {POLICY.max_tile} THEN 'Re-tile' END FROM facts)"""
 )
 _TYPES = (
-    _FP
-    + f""", first_part AS (SELECT * FROM fx_part_rows WHERE part_index = 0),
-t AS (
-  SELECT f.file_key, f.file_key % 16 AS turn, p.file_key IS NOT NULL AS has_part,
-         coalesce(p.display_window, 'null') AS shown,
-         regexp_extract(s3_key, '(?i)[._]([0-9]{{3,8}})\\.exr$', 1) = '' AS no_frame
-  FROM fx_files f LEFT JOIN first_part p USING (file_key)),
+    _ALL
+    + f""", f AS (SELECT *, file_key % 16 AS turn, regexp_extract(s3_key, '(?i)[._]([0-9]{{3,8}})\\.exr$', 1) = '' AS no_frame FROM fx_files),
 told AS (
-  SELECT count(*) AS n, count(*) FILTER (turn = 0) AS cut,
-         count(*) FILTER (turn = 1) AS no_bucket, count(*) FILTER (turn = 2) AS no_path,
-         count(*) FILTER (turn = 0 OR no_frame) AS no_frame,
-         count(*) FILTER (turn = 0 OR NOT has_part) AS no_part,
-         count(*) FILTER (turn <> 0 AND has_part) AS with_part,
-         count(*) FILTER (turn = 0 OR NOT has_part OR shown = 'null') AS no_display,
-         count(*) FILTER (turn <> 0 AND has_part AND shown = '"oops"') AS bad_display,
-         count(*) FILTER (turn = 3) AS null_channels FROM t)
-SELECT '$.file' AS field, cut AS missing, 0::bigint AS wrong_type FROM told
-UNION ALL SELECT '$.file.path', cut + no_path, 0 FROM told
-UNION ALL SELECT '$.file.s3_bucket', cut + no_bucket, 0 FROM told
-UNION ALL SELECT '$.file.size_bytes', cut, 0 FROM told
-UNION ALL SELECT '$.file.frame_number', no_frame, 0 FROM told
-UNION ALL SELECT '$.file.is_deep', cut, 0 FROM told
-UNION ALL SELECT '$.parts', cut, 0 FROM told
-UNION ALL SELECT '$.parts[0].width', no_part, 0 FROM told
-UNION ALL SELECT '$.parts[0].pixel_aspect_ratio', no_part, with_part FROM told
-UNION ALL SELECT '$.parts[0].display_window', no_display, bad_display FROM told
-UNION ALL SELECT '$.channels', cut, null_channels FROM told
-UNION ALL SELECT '$.attributes.parts', cut, 0 FROM told"""
+  SELECT count(*) AS n, count(*) FILTER (turn = 0) AS cut, count(*) FILTER (turn = 1) AS no_bucket,
+         count(*) FILTER (turn = 2) AS no_path, count(*) FILTER (turn = 0 OR no_frame) AS no_frame,
+         count(*) FILTER (turn = 3) AS null_channels FROM f),
+p AS (SELECT r.*, part_index = max(part_index) OVER (PARTITION BY file_key) AS last, turn
+      FROM fx_part_rows r JOIN f USING (file_key) WHERE turn <> 0),
+parts AS (SELECT count(*) AS n, count(*) FILTER (last AND turn = 4) AS texts, count(*) FILTER (display_window = 'null') AS unseen,
+                 count(*) FILTER (display_window = '"oops"') AS odd FROM p),
+c AS (SELECT count(*) AS n FROM fx_channels JOIN f USING (file_key) WHERE turn NOT IN (0, 3)),
+a AS (SELECT count(*) AS n, count(*) FILTER (value_text IS NULL) AS others FROM fx_attributes JOIN f USING (file_key) WHERE turn <> 0),
+lists AS (SELECT count(*) AS n FROM p)
+SELECT '$.file' AS field, cut AS missing, 0::bigint AS wrong_type, n AS expected FROM told
+UNION ALL SELECT '$.file.path', cut + no_path, 0, n FROM told
+UNION ALL SELECT '$.file.s3_bucket', cut + no_bucket, 0, n FROM told
+UNION ALL SELECT '$.file.size_bytes', cut, 0, n FROM told
+UNION ALL SELECT '$.file.frame_number', no_frame, 0, n FROM told
+UNION ALL SELECT '$.file.is_deep', cut, 0, n FROM told
+UNION ALL SELECT '$.parts', cut, 0, n FROM told
+UNION ALL SELECT '$.parts[*].width', 0, texts, n FROM parts
+UNION ALL SELECT '$.parts[*].compression', 0, 0, n FROM parts
+UNION ALL SELECT '$.parts[*].pixel_aspect_ratio', 0, n, n FROM parts
+UNION ALL SELECT '$.parts[*].display_window', unseen, odd, n FROM parts
+UNION ALL SELECT '$.channels', cut, null_channels, n FROM told
+UNION ALL SELECT '$.channels[*].name', 0, 0, n FROM c
+UNION ALL SELECT '$.attributes.parts', cut, 0, n FROM told
+UNION ALL SELECT '$.attributes.parts[*]', 0, 0, n FROM lists
+UNION ALL SELECT '$.attributes.parts[*][*].name', 0, 0, n FROM a
+UNION ALL SELECT '$.attributes.parts[*][*].value', 0, others, n FROM a"""
+)
+_UNDECLARED = (
+    _FC
+    + """, f AS (SELECT *, file_key % 16 AS turn FROM fx_files WHERE file_key % 16 <> 0)
+SELECT '$.file' AS path, 'is_deep' AS field, count(*) AS row_count FROM f
+UNION ALL SELECT '$.parts[*]', 'render_software', count(*) FROM fx_part_rows JOIN f USING (file_key)
+UNION ALL SELECT '$.channels[*]', 'y_sampling', count(*) FROM fx_channels JOIN f USING (file_key) WHERE turn <> 3"""
 )
 
 ORACLES = {
@@ -381,7 +444,11 @@ ORACLES = {
     + """ SELECT file_key, layer_name, count(*) AS channel_count,
           string_agg(DISTINCT component_name, ',' ORDER BY component_name) AS components
           FROM fx_channels GROUP BY file_key, layer_name""",
-    "channel_statistics_g8": f"{_SAMPLES} SELECT channel, {_STATISTICS} FROM samples GROUP BY channel",
+    "channel_statistics_g8": f"""{_SAMPLES} SELECT cast(pos % 7 AS varchar) AS file_id, cast(pos % 3 AS varchar) AS part_id,
+          cast(channel AS varchar) AS channel_id, {_STATISTICS} FROM samples GROUP BY ALL""",
+    "stats_table_g8": f"""{_SAMPLES} SELECT cast(pos % 7 AS varchar) AS file_id, cast(pos % 3 AS varchar) AS part_id,
+          cast(channel AS varchar) AS channel_id, {_STATISTICS}, 2 AS sample_stride, count(*) AS sampled_pixel_count
+          FROM samples WHERE pos % 2 = 0 GROUP BY ALL""",
     "strided_statistics_g9": f"""{_SAMPLES} SELECT channel, {_STATISTICS}, 10 AS sample_stride,
           count(*) AS sampled_pixel_count FROM samples WHERE pos % 10 = 0 GROUP BY channel""",
     "content_hash_g10": f"""SELECT user_id AS channel, count(*) AS sampled_pixel_count,
@@ -405,6 +472,7 @@ ORACLES = {
     + """ SELECT compression AS bad_value, count(*) AS row_count FROM fx_parts
           WHERE compression LIKE 'dw%' GROUP BY compression""",
     "check_types_q5": _TYPES,
+    "undeclared_fields_q5": _UNDECLARED,
     "check_vectors_q6": """SELECT count(*) AS vectors, count(*) FILTER (vec_id % 10 = 1) AS wrong_length,
           count(*) FILTER (vec_id % 10 = 4) AS not_finite, count(*) FILTER (vec_id % 10 = 3) AS zero,
           count(*) FILTER (CASE vec_id % 10 WHEN 4 THEN false WHEN 3 THEN false
@@ -415,6 +483,10 @@ ORACLES = {
     "validate_q7": _RESULTS
     + """ SELECT *, CASE WHEN severity <> 'PASS' THEN rule_id || ': ' || coalesce(actual_value, 'nothing') || ' where '
                || expected_value || ' is expected' END AS message FROM results""",
+    "validation_table_q7": _RESULTS
+    + """ SELECT * EXCLUDE (file_key), cast(file_key AS varchar) AS file_id,
+          CASE WHEN severity <> 'PASS' THEN rule_id || ': ' || coalesce(actual_value, 'nothing') || ' where '
+               || expected_value || ' is expected' END AS message FROM results""",
     "file_severity_q7_rollup": _RESULTS
     + """ SELECT file_key, CASE WHEN bool_or(severity = 'FAIL') THEN 'FAIL' WHEN bool_or(severity = 'WARN') THEN 'WARN'
           ELSE 'PASS' END AS severity, count(*) FILTER (severity <> 'PASS') AS broken_rules

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framecat.functions import keys, structure
-from framecat.operators import ingest
+from framecat.functions import arrow_vectors, keys, structure, values
+from framecat.operators import catalog, ingest, sinks
 from framecat.plans import views
+from framecat.schemas import METADATA_DIM
 from framecat.session import scratch_path
 from framecat.sources.payloads import parse_payloads
 
@@ -24,21 +28,64 @@ def written_once(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame
     return spark.read.parquet(_written[at])
 
 
+BUCKET_ROWS = 1_000_000
+PART_KEY = ("file_key", "part_index")
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the catalogue as ingest leaves it, bucketed by file and part.
+
+    ``raw_parts`` are parts with the JSON texts of their windows and views; ``parts``,
+    ``channels`` and ``attributes`` the rows of the catalogue, keyed by file_key. Parts
+    are numbered and everything is parsed once, when it is written.
+    """
+
+    def rows() -> DataFrame:
+        if name == "raw_parts":
+            return views.parts(spark, sf_dir, indexed=True)
+        raw = stored(spark, sf_dir, "raw_parts")
+        if name == "parts":
+            return views.part_rows(raw)
+        if name == "channels":
+            return views.channels(raw)
+        typed = values.attribute_values(values.variant(F.col("value_json")))
+        kept = ["file_key", "part_index", "attr_name", "attr_type"]
+        return views.attributes(raw).select(*kept, *[c.alias(n) for n, c in typed.items()])
+
+    at = (spark.sparkContext.applicationId, sf_dir, name)
+    if at not in _written:
+        lines = views.table(spark, sf_dir, "lineitem").count()  # of the file's footers
+        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-lines // BUCKET_ROWS))
+        table = f"{name}_{uuid.uuid4().hex}"
+        sinks.write_bucketed(rows(), table, scratch_path(spark, name), PART_KEY, buckets)
+        _written[at] = table
+    return spark.table(_written[at])
+
+
 def payload_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One payload document per file of the catalogue view: file_key, value."""
 
     def make() -> DataFrame:
-        p = views.parts(spark, sf_dir, indexed=True)
+        p = indexed_parts(spark, sf_dir)
         return ingest.build_payload(
             views.identified(views.files(spark, sf_dir)),
-            views.part_rows(p),
-            views.channels(p),
+            stored(spark, sf_dir, "parts"),
+            stored(spark, sf_dir, "channels"),
             views.attributes(p),
         )
 
     return written_once(spark, sf_dir, "payload-lines", make)
 
 
+def payload_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same payloads kept as VARIANT: file_key, raw_output."""
+
+    def make() -> DataFrame:
+        return payload_lines(spark, sf_dir).select("file_key", F.try_parse_json("value").alias("raw_output"))
+
+    return written_once(spark, sf_dir, "payload-variants", make)
+
+
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Good payloads, parsed and filled in."""
     good, _ = ingest.route_errors(parse_payloads(payload_lines(spark, sf_dir)))
@@ -46,15 +93,24 @@ def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def indexed_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.parts(spark, sf_dir, indexed=True)
+    return stored(spark, sf_dir, "raw_parts")
 
 
 def structures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """file_key and structure struct of every file, from table rows."""
-    p = indexed_parts(spark, sf_dir)
-    return structure.table_structure(
-        views.part_rows(p), views.channels(p), "file_key", views.files(spark, sf_dir)
-    )
+    parts, channels = stored(spark, sf_dir, "parts"), stored(spark, sf_dir, "channels")
+    return structure.table_structure(parts, channels, "file_key", views.files(spark, sf_dir))
+
+
+def embeddings(spark: SparkSession, sf_dir: str, tail_weight: float = 1.0) -> DataFrame:
+    """file_key and metadata_embedding of every file, as ingest computes it."""
+    found = structures(spark, sf_dir).select("file_key", arrow_vectors.settled(F.col("structure")).alias("structure"))
+    return found.select("file_key", arrow_vectors.metadata_embedding(F.col("structure"), METADATA_DIM, tail_weight).alias("metadata_embedding"))
+
+
+def embedded_files(spark: SparkSession, sf_dir: str, tail_weight: float = 1.0) -> DataFrame:
+    """The same, stored as a catalogue has them."""
+    return written_once(spark, sf_dir, f"embedded-files-{tail_weight}", lambda: embeddings(spark, sf_dir, tail_weight))
 
 
 def catalogue_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,6 +154,18 @@ def rounded(value: Column, digits: int = 6) -> Column:
     return F.round(value, digits) + 0.0
 
 
+def contents(columns: Sequence[str]) -> list[Column]:
+    """Row count and digest of all rows over the columns, whatever the order of rows; aggregates."""
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    row = F.md5(F.concat(*[x for t in texts for x in (F.char_length(t), F.lit(":"), t)]))
+    return [F.count("*").alias("row_count"), structure.set_digest_agg(row).alias("digest")]
+
+
+def sql_contents(table: str, columns: Sequence[str]) -> str:
+    """Select list and FROM giving the same."""
+    return f"count(*) AS row_count, {sql_set_digest('h')} AS digest FROM (SELECT {sql_row_hash(columns)} AS h FROM {table})"
+
+
 def zero_based_checksums(vector: Column) -> dict[str, Column]:
     """Two position-weighted sums standing for all cells of a vector."""
     positions = F.sequence(F.lit(1), F.size(vector))
@@ -159,3 +227,27 @@ fx_hashed AS (
 def structure_views() -> str:
     """Catalogue views plus structures and header hashes."""
     return views.sql_views("files", "parts", "channels") + STRUCTURE_CTE
+
+
+#: Columns of the four tables that are compared, all but vectors and the times of this run.
+CONTENTS = {
+    "files": ("file_id", "file_path", "s3_bucket", "file_path_normalized", "size_bytes", "mtime", "multipart_count", "is_deep", "frame_number"),
+    "parts": ("file_id", "file_path", *structure.PART_COLUMNS),
+    "channels": ("file_id", "file_path", "part_index", "channel_name", "layer_name", "component_name", "channel_type", "x_sampling", "y_sampling"),
+    "attributes": ("file_id", "file_path", "part_index", "attr_name", "attr_type", "value_json", "value_text", "value_int", "value_float"),
+}
+
+
+def told_contents(tables: dict[str, DataFrame]) -> DataFrame:
+    """table_name, row_count and digest of each of the four tables."""
+    return catalog.concatenated([tables[n].agg(*contents(c)).select(F.lit(n).alias("table_name"), "*") for n, c in CONTENTS.items()])
+
+
+def sql_catalogue_contents(where: str = "true") -> str:
+    """The same from the given tables, for the files that a condition on fx_structures takes."""
+    taken = f"""{structure_views()},{views.sql_only("attributes")}, taken AS (SELECT *, s3_key AS file_path FROM fx_structures WHERE {where}),
+t_files AS (SELECT * EXCLUDE (frame_digits), part_count AS multipart_count, cast(frame_digits AS int) AS frame_number FROM taken),
+t_parts AS (SELECT file_id, file_path, p.* EXCLUDE (file_key) FROM fx_part_rows p JOIN taken USING (file_key)),
+t_channels AS (SELECT file_id, file_path, c.* EXCLUDE (file_key) FROM fx_channels c JOIN taken USING (file_key)),
+t_attributes AS (SELECT file_id, file_path, a.* EXCLUDE (file_key) FROM fx_attributes a JOIN taken USING (file_key))"""
+    return taken + " UNION ALL ".join(f" SELECT '{n}' AS table_name, {sql_contents(f't_{n}', c)}" for n, c in CONTENTS.items())

@@ -18,11 +18,15 @@ REFERENCE_TIME = "1998-08-01 00:00:00"
 PREFIX = 200
 
 
+SHARDS = 16
+
+
 def _objects(spark: SparkSession, sf: str) -> str:
-    """The documents' texts as one object each, a line end behind each."""
+    """The documents' texts as one object each below some prefixes, a line end behind each."""
     path = scratch_path(spark, "objects")
-    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    docs.repartition("doc_id").write.partitionBy("doc_id").text(path)
+    shard = F.pmod("doc_id", F.lit(SHARDS)).alias("shard")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select(shard, "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs.repartition("doc_id").write.partitionBy("shard", "doc_id").text(path)
     return path
 
 
@@ -31,8 +35,11 @@ def _id_of(path: str) -> Column:
 
 
 def list_objects(spark: SparkSession, sf: str) -> DataFrame:
-    found = objects.list_objects(spark, _objects(spark, sf), ".txt")
-    return found.select(_id_of("path"), F.col("length").alias("size"))
+    """Listed twice, in tasks by prefix and by Spark; both have all objects."""
+    path = _objects(spark, sf)
+    by_prefix = objects.scan(spark, path, suffix=".txt").select(_id_of("path"), F.col("length").alias("size"))
+    listed = objects.list_objects(spark, path, ".txt").select(_id_of("path"), F.col("length").alias("listed_size"))
+    return by_prefix.join(listed, "doc_id", "full_outer")
 
 
 def header_prefix(spark: SparkSession, sf: str) -> DataFrame:
@@ -41,8 +48,7 @@ def header_prefix(spark: SparkSession, sf: str) -> DataFrame:
     def decode(head: bytes) -> dict:
         return {"head": head.hex().upper(), "read": len(head)}
 
-    listed = objects.list_objects(spark, _objects(spark, sf), ".txt")
-    scanned = objects.header_scan(listed, decode, "head string, read bigint", n=PREFIX)
+    scanned = objects.scan(spark, _objects(spark, sf), decode, "head string, read bigint", PREFIX, ".txt")
     return scanned.select(_id_of("path"), F.col("length").alias("size"), "head", "read", "error")
 
 
@@ -94,7 +100,7 @@ def frame_number(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def split_channel(spark: SparkSession, sf: str) -> DataFrame:
-    c = views.channels(base.indexed_parts(spark, sf))
+    c = base.stored(spark, sf, "channels")
     name = F.col("channel_name")
     return c.select(
         "file_key", "part_index", "channel_name",
@@ -104,7 +110,7 @@ def split_channel(spark: SparkSession, sf: str) -> DataFrame:
 
 def root_layer(spark: SparkSession, sf: str) -> DataFrame:
     """Roots of the channel names as they are, and with a sub-layer put in."""
-    c = views.channels(base.indexed_parts(spark, sf))
+    c = base.stored(spark, sf, "channels")
     deeper = F.concat(F.lit("pass1."), F.col("channel_name"))
     return c.select(
         "file_key", "part_index", "channel_name",
@@ -159,7 +165,7 @@ def window_ints(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def display_dims(spark: SparkSession, sf: str) -> DataFrame:
-    rows = views.part_rows(base.indexed_parts(spark, sf))
+    rows = base.stored(spark, sf, "parts")
     return rows.select(
         "file_key", "part_index", "display_width", "display_height", "data_x_offset", "data_y_offset"
     )
@@ -200,28 +206,50 @@ def attribute_values(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def json_safe(spark: SparkSession, sf: str) -> DataFrame:
-    """Document texts as binary values, and their numbers as vector, colour and box."""
+def _nested(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as nested values with binary data, boxes, vectors and colours at several depths."""
     d = views.table(spark, sf, "documents")
-    text = values.binary_json(F.encode("text", "UTF-8"))
-    n, i = F.col("n_chars"), F.col("doc_id")
-    made = d.select(
-        "doc_id", text.alias("b"), values.box_json(i, n, i + 1, n + 1).alias("x"),
-        values.vector_json(i, n).alias("v"), values.colour_json(n, i, n).alias("c"),
+    data, n, i = F.encode("text", "UTF-8"), F.col("n_chars").cast("long"), F.col("doc_id").cast("long")
+
+    def corner(x: Column, y: Column) -> Column:
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    box = F.struct(corner(i, n).alias("min"), corner(i + 1, n + 1).alias("max"))
+    value = F.struct(
+        data.alias("raw"),
+        F.array(F.struct(box.alias("box"), F.when(i % 2 == 0, F.encode("lang", "UTF-8")).alias("tag")), F.struct(box.alias("box"), data.alias("tag"))).alias("boxes"),
+        F.create_map(F.lit("v"), F.struct(i.alias("x"), n.alias("y"), F.encode("source", "UTF-8").alias("z"))).alias("named"),
+        F.struct(n.alias("r"), i.alias("g"), F.array(F.array(F.encode("lang", "UTF-8"))).alias("b")).alias("colour"),
+        F.when(i % 3 == 0, F.lit(float("nan"))).otherwise(n / 4).alias("ratio"),
+        F.when(i % 2 == 0, F.col("lang")).alias("word"),
     )
-    return made.select(
+    return d.select("doc_id", value.alias("value"))
+
+
+def json_safe(spark: SparkSession, sf: str) -> DataFrame:
+    """All fields of the nested values, read back from their JSON."""
+    made = _nested(spark, sf)
+    text = values.json_safe_text(F.col("value"), made.schema["value"].dataType)
+    read = made.select("doc_id", text.alias("j"))
+    at = {
+        "encoding": "$.raw.encoding", "data": "$.raw.data", "tag_0": "$.boxes[0].tag.data", "tag_1": "$.boxes[1].tag.data",
+        "vector_z": "$.named.v.z.data", "colour_b": "$.colour.b[0][0].data", "ratio": "$.ratio", "word": "$.word",
+    }
+    numbers = {
+        **{f"box_{k}_{side}_{axis}": f"$.boxes[{k}].box.{side}.{axis}" for k in (0, 1) for side in ("min", "max") for axis in "xy"},
+        "vector_x": "$.named.v.x", "vector_y": "$.named.v.y", "colour_r": "$.colour.r", "colour_g": "$.colour.g",
+    }
+    return read.select(
         "doc_id",
-        F.get_json_object("b", "$.encoding").alias("encoding"),
-        F.get_json_object("b", "$.data").alias("data"),
-        F.get_json_object("x", "$.max.y").cast("bigint").alias("box_max_y"),
-        F.get_json_object("v", "$.y").cast("bigint").alias("vector_y"),
-        F.get_json_object("c", "$.b").cast("bigint").alias("colour_b"),
+        *[F.get_json_object("j", path).alias(n) for n, path in at.items() if n != "ratio"],
+        F.get_json_object("j", "$.ratio").cast("double").alias("ratio"),
+        *[F.get_json_object("j", path).cast("bigint").alias(n) for n, path in numbers.items()],
     )
 
 
 def defaults(spark: SparkSession, sf: str) -> DataFrame:
     """Parts with fields taken out, filled in again."""
-    rows = views.part_rows(base.indexed_parts(spark, sf))
+    rows = base.stored(spark, sf, "parts")
     lost = F.col("width") % 3 == 0
 
     def field(name: str):
@@ -250,7 +278,7 @@ def uncompressed_or_oversized(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def overscan_parts(spark: SparkSession, sf: str) -> DataFrame:
-    rows = views.part_rows(base.indexed_parts(spark, sf))
+    rows = base.stored(spark, sf, "parts")
     return catalog.overscan_parts(rows).select("file_key", "part_index", "data_x_offset", "data_y_offset")
 
 
@@ -261,12 +289,7 @@ def modified_within(spark: SparkSession, sf: str) -> DataFrame:
 
 def _attributed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     f = views.files(spark, sf).withColumnRenamed("s3_key", "file_path")
-    a = views.attributes(base.indexed_parts(spark, sf))
-    found = values.attribute_values(values.variant(F.col("value_json")))
-    typed = a.select(
-        "file_key", "part_index", "attr_name", *[c.alias(n) for n, c in found.items()]
-    )
-    return f, typed
+    return f, base.stored(spark, sf, "attributes")
 
 
 def attribute_like(spark: SparkSession, sf: str) -> DataFrame:
@@ -349,7 +372,7 @@ ORACLES = {
                '/(\\.?/)+', '/', 'g'), '^\\./', ''), '(.)/\\.?$', '\\1') AS normalized FROM paths""",
     "file_id_b5": _F + " SELECT file_key, file_id, mtime FROM fx_ids",
     "header_hash_b6": base.structure_views() + " SELECT file_key, header_hash FROM fx_hashed",
-    "list_objects_a1": "SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size FROM documents",
+    "list_objects_a1": "SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, strlen(coalesce(text, '')) + 1 AS listed_size FROM documents",
     "header_prefix_scan_a2": f"""SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size,
           substr(hex(coalesce(text, '') || chr(10)), 1, {2 * PREFIX}) AS head,
           least({PREFIX}, strlen(coalesce(text, '')) + 1) AS read, NULL::varchar AS error FROM documents""",
@@ -379,7 +402,12 @@ ORACLES = {
     + """ SELECT file_key, part_index, attr_name, value_json, value_text, value_int, value_float
           FROM fx_attributes""",
     "json_safe_b14": """SELECT doc_id, 'base64' AS encoding, base64(encode(text)) AS data,
-          n_chars + 1 AS box_max_y, n_chars AS vector_y, n_chars AS colour_b FROM documents""",
+          CASE WHEN doc_id % 2 = 0 THEN base64(encode(lang)) END AS tag_0, base64(encode(text)) AS tag_1,
+          base64(encode(source)) AS vector_z, base64(encode(lang)) AS colour_b,
+          CASE WHEN doc_id % 2 = 0 THEN lang END AS word, CASE WHEN doc_id % 3 <> 0 THEN n_chars / 4.0::double END AS ratio,
+          doc_id AS box_0_min_x, n_chars AS box_0_min_y, doc_id + 1 AS box_0_max_x, n_chars + 1 AS box_0_max_y,
+          doc_id AS box_1_min_x, n_chars AS box_1_min_y, doc_id + 1 AS box_1_max_x, n_chars + 1 AS box_1_max_y,
+          doc_id AS vector_x, n_chars AS vector_y, n_chars AS colour_r, doc_id AS colour_g FROM documents""",
     "defaults_b15": _P
     + """ SELECT file_key, part_index,
           CASE WHEN lost THEN 0 ELSE width END AS width, CASE WHEN lost THEN 0 ELSE height END AS height,

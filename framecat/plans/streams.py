@@ -2,27 +2,37 @@
 
 from __future__ import annotations
 
+import time
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framecat.operators import catalog, sinks
+from framecat.operators import sinks
 from framecat.plans import base, views
 from framecat.session import scratch_path
 from framecat.streaming import arrivals
 
-LINE_FILES = 120
+LINES_PER_FILE = 2_000
+FLUSHED = ("s3_bucket", "s3_key", "mtime", "size_bytes")
+
+
+def _files_of(spark: SparkSession, sf: str) -> int:
+    return -(-base.payload_lines(spark, sf).count() // LINES_PER_FILE)
 
 
-def _arrived(spark: SparkSession, sf: str) -> str:
+def _arrived(spark: SparkSession, sf: str, files: int | None = None) -> str:
     """Payload lines in many small files, as a folder things arrive in."""
-    path = scratch_path(spark, "arrivals")
-    base.payload_lines(spark, sf).select("value").repartition(LINE_FILES, "value").write.text(path)
+    path, lines = scratch_path(spark, "arrivals"), base.payload_lines(spark, sf).select("file_key", "value")
+    count = files or max(8, _files_of(spark, sf))
+    # Ranges, so that every file has lines.
+    lines.repartitionByRange(count, F.xxhash64("file_key")).select("value").write.text(path)
     return path
 
 
 def new_objects(spark: SparkSession, sf: str) -> DataFrame:
     """Supported objects of a payload stream."""
-    lines = arrivals.payload_stream(spark, _arrived(spark, sf), "*.txt", LINE_FILES)
+    lines = arrivals.payload_stream(spark, _arrived(spark, sf), "*.txt")
     file = F.from_json("value", "file struct<s3_bucket: string, s3_key: string, mtime: string>")["file"]
     kept = arrivals.only_supported(lines.select(file.alias("f")).select("f.*"))
     out, state = scratch_path(spark, "objects"), scratch_path(spark, "state")
@@ -32,31 +42,48 @@ def new_objects(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def flushes(spark: SparkSession, sf: str) -> DataFrame:
-    """Micro-batches by size: how many took how many files' lines."""
-    lines = arrivals.payload_stream(spark, _arrived(spark, sf), "*.txt", arrivals.FILES_PER_FLUSH)
+    """What the flushes hold: sizes and causes, and a digest of all their payloads' files."""
+    files = max(2 * arrivals.FILES_PER_FLUSH + 20, _files_of(spark, sf))
+    lines = arrivals.payload_stream(spark, _arrived(spark, sf, files), "*.txt")
+    named = lines.select("value", F.input_file_name().alias("name"))
     out, state = scratch_path(spark, "flushes"), scratch_path(spark, "state")
+    writer = arrivals.flushed(named, wait="2 seconds").writeStream.format("parquet").option("checkpointLocation", state)
+    query = writer.trigger(processingTime="500 milliseconds").start(out)
+    try:
+        # The last files wait for their time; then as many lines have left as have come.
+        want, until = base.payload_lines(spark, sf).count(), time.monotonic() + 120
+        while not query.exception() and time.monotonic() < until and _rows(spark, out) < want:
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    file = F.from_json("value", "file struct<s3_bucket: string, s3_key: string, mtime: string, size_bytes: bigint>")["file"]
+    told = spark.read.parquet(out).withColumn("f", file).select("lane", "flush", "cause", "name", "f.*")
+    per = told.groupBy("lane", "flush", "cause").agg(F.count_distinct("name").alias("files"))
+    full, timed = F.col("cause") == "size", F.col("cause") == "time"
+    counts = per.agg(
+        F.max("files").alias("most_files"),
+        F.count_if(full & (F.col("files") != arrivals.FILES_PER_FLUSH)).alias("short_full_flushes"),
+        (F.count_if(timed) > 0).alias("some_by_time"),
+        (F.count_if(full) > 1).alias("some_by_size"),
+    )
+    whole = told.select("name", "lane", "flush").distinct().agg((F.count("*") - F.count_distinct("name")).alias("split_files"))
+    return counts.crossJoin(whole).crossJoin(told.agg(*base.contents(FLUSHED)))  # one row each
 
-    def flush(batch: DataFrame, number: int) -> None:
-        names = batch.select(F.input_file_name().alias("name"))
-        names.groupBy("name").count().write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    query = lines.writeStream.foreachBatch(flush).option("checkpointLocation", state)
-    query.trigger(availableNow=True).start().awaitTermination()
-    sizes = spark.read.parquet(out).groupBy("batch").agg(
-        F.count("*").alias("files"), F.sum("count").alias("payloads")
-    )
-    return sizes.agg(
-        F.max("files").alias("most_files"), F.sum("files").alias("files"), F.sum("payloads").alias("payloads")
-    )
+def _rows(spark: SparkSession, path: str) -> int:
+    try:
+        return spark.read.schema("value string").parquet(path).count()
+    except AnalysisException:
+        return 0
 
 
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """Row counts of the catalogue a payload stream fills."""
+    """Row counts and digests of the catalogue a payload stream fills."""
     root = scratch_path(spark, "catalogue")
-    lines = arrivals.payload_stream(spark, _arrived(spark, sf), "*.txt", LINE_FILES)
+    lines = arrivals.payload_stream(spark, _arrived(spark, sf), "*.txt")
     arrivals.start_ingest(lines, root, scratch_path(spark, "state"), interval=None).awaitTermination()
     sinks.merge_log(spark, root)
-    return catalog.row_counts(sinks.read_catalogue(spark, root))
+    return base.told_contents(sinks.read_catalogue(spark, root))
 
 
 def _event_stream(spark: SparkSession, sf: str, copies: int) -> DataFrame:
@@ -83,16 +110,14 @@ def running_audit(spark: SparkSession, sf: str) -> DataFrame:
     out, state = scratch_path(spark, "audit"), scratch_path(spark, "state")
 
     def keep(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        if not batch.isEmpty():
+            batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    query = arrivals.running_audit(e).writeStream.outputMode("update").foreachBatch(keep)
-    query.option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
-    # Counts only grow, so the last state is the largest.
-    return spark.read.parquet(out).groupBy("file_id").agg(
-        F.min("first_seen").cast("timestamp_ntz").alias("first_seen"),
-        F.max("last_inspected").cast("timestamp_ntz").alias("last_inspected"),
-        F.max("inspection_count").alias("inspection_count"),
-    )
+    writer = arrivals.running_audit(e).writeStream.outputMode("update").foreachBatch(keep)
+    arrivals.stop_when_quiet(writer.option("checkpointLocation", state).start())
+    kept = arrivals.audit_of(spark.read.parquet(out))
+    stamps = {c: F.col(c).cast("timestamp_ntz") for c in ("first_seen", "last_inspected")}
+    return kept.withColumns(stamps)
 
 
 def arrivals_per_minute(spark: SparkSession, sf: str) -> DataFrame:
@@ -118,20 +143,16 @@ QUERIES = {
     "arrivals_per_minute_r6": arrivals_per_minute,
 }
 
-_ALL = views.sql_views("files", "parts", "channels", "attributes")
 _EXR = "lower(s3_key) LIKE '%.exr'"
 
 ORACLES = {
-    "flushes_r2": f"""SELECT {arrivals.FILES_PER_FLUSH}::bigint AS most_files, {LINE_FILES}::bigint AS files,
-          count(*) AS payloads FROM orders""",
+    "flushes_r2": views.sql_views("files")
+    + f""" SELECT {arrivals.FILES_PER_FLUSH}::bigint AS most_files, 0::bigint AS short_full_flushes, true AS some_by_time,
+          true AS some_by_size, 0::bigint AS split_files, {base.sql_contents("fx_ids", FLUSHED)}""",
     "new_objects_r1": views.sql_views("files") + f" SELECT s3_bucket, s3_key, mtime FROM fx_ids WHERE {_EXR}",
-    "stream_ingest_r3": _ALL
-    + f""", good AS (SELECT * FROM fx_ids WHERE {_EXR}),
-        won AS (SELECT arg_min(file_key, file_key) AS file_key FROM good GROUP BY file_id)
-        SELECT 'files' AS table_name, count(DISTINCT file_id) AS row_count FROM good
-        UNION ALL SELECT 'parts', count(*) FROM fx_parts JOIN won USING (file_key)
-        UNION ALL SELECT 'channels', count(*) FROM fx_channels JOIN won USING (file_key)
-        UNION ALL SELECT 'attributes', count(*) FROM fx_attributes JOIN won USING (file_key)""",
+    "stream_ingest_r3": base.sql_catalogue_contents(
+        f"file_key IN (SELECT min(file_key) FROM fx_ids WHERE {_EXR} GROUP BY file_id)"
+    ),
     "duplicate_deliveries_r4": "SELECT event_id, user_id, event_type FROM events",
     "running_audit_r5": """SELECT user_id AS file_id, min(ts) AS first_seen, max(ts) AS last_inspected,
           count(*) AS inspection_count FROM events GROUP BY user_id""",

@@ -5,20 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framecat.functions import keys, values
+from framecat.functions import keys, structure
 from framecat.operators import catalog, ingest, sinks, upsert
-from framecat.plans import base, views
+from framecat.plans import base, sqls, views
 from framecat.session import scratch_path
 from framecat.sources import payloads
+from framecat.sources.payloads import parse_payloads
 
 SPLIT_TIME = "2024-01-16 00:00:00"
 VERSION_TIME = "1996-01-01 00:00:00"
 SAMPLE_FILES = 100
+UPSERT_BUCKETS = 16
 
 
 def files_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """All columns but the times of this run; two sums over all cells stand for the embedding."""
     rows = ingest.files_rows(base.prepared(spark, sf))
-    return rows.drop("metadata_embedding", "inspection_timestamp", "last_inspected", "raw_output")
+    sums = base.zero_based_checksums(F.col("metadata_embedding").cast("array<double>"))
+    told = rows.select("*", *[c.alias(n) for n, c in sums.items()])
+    return told.drop("metadata_embedding", "inspection_timestamp", "last_inspected", "raw_output")
 
 
 def parts_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -27,8 +32,8 @@ def parts_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def channels_rows(spark: SparkSession, sf: str) -> DataFrame:
     rows = ingest.channels_rows(base.prepared(spark, sf))
-    marked = F.exists("channel_fingerprint", lambda v: v != 0)
-    return rows.withColumn("has_fingerprint", marked).drop("channel_fingerprint")
+    sums = base.zero_based_checksums(F.col("channel_fingerprint").cast("array<double>"))
+    return rows.select("*", *[c.alias(n) for n, c in sums.items()]).drop("channel_fingerprint")
 
 
 def attributes_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -44,21 +49,24 @@ def childless_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def build_payload(spark: SparkSession, sf: str) -> DataFrame:
-    lines = base.payload_lines(spark, sf)
-    v = F.try_parse_json("value")
-    read = lines.select("file_key", v.alias("v"))
-
-    def at(path: str, kind: str):
-        return F.try_variant_get(F.col("v"), path, kind)
-
-    return read.select(
-        "file_key",
-        at("$.schema_version", "int").alias("schema_version"),
-        at("$.file.mtime", "string").alias("mtime"),
-        at("$.file.multipart_count", "int").alias("multipart_count"),
-        at("$.parts[0].compression", "string").alias("first_codec"),
-        at("$.channels[0].name", "string").alias("first_channel"),
-        at("$.attributes.parts[0][0].name", "string").alias("first_attribute"),
+    """Payloads read back: digests over every field of every part, channel and attribute."""
+    made = ingest.prepare(parse_payloads(base.payload_lines(spark, sf)))
+    columns = ("part_index", "attr_name", "attr_type", "value_json")
+    rows = ingest.attributes_rows(made.withColumn("file_id", F.col("file_key")))
+    attributes = rows.groupBy(F.col("file_id").alias("file_key")).agg(*base.contents(columns))
+    attributes = attributes.select("file_key", F.col("row_count").alias("attribute_count"), F.col("digest").alias("attribute_digest"))
+    told = made.select(
+        "file_key", "file_path", "mtime",
+        F.col("file.size_bytes").alias("size_bytes"),
+        F.col("file.multipart_count").alias("multipart_count"),
+        F.col("file.is_deep").alias("is_deep"),
+        F.col("structure.header_digest").alias("header_digest"),
+        F.col("structure.structure_digest").alias("structure_digest"),
+        F.col("structure.channel_count").alias("channel_count"),
+    )
+    empty = F.lit(",".join(["0"] * (1 + structure.LANES)))
+    return told.join(attributes, "file_key", "left").withColumns(
+        {"attribute_count": F.coalesce("attribute_count", F.lit(0)), "attribute_digest": F.coalesce("attribute_digest", empty)}
     )
 
 
@@ -83,8 +91,8 @@ def route_errors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def backfill(spark: SparkSession, sf: str) -> DataFrame:
-    lines = base.payload_lines(spark, sf).withColumnRenamed("value", "raw_output")
-    out = ingest.backfill(lines, "$.parts[0].render_software", "string", "render_software")
+    """New columns out of payloads kept as VARIANT."""
+    out = ingest.backfill(base.payload_variants(spark, sf), "$.parts[0].render_software", "string", "render_software")
     out = ingest.backfill(out, "$.file.frame_number", "int", "frame_number")
     out = ingest.backfill(out, "$.file.path", "int", "unfit")
     return out.drop("raw_output")
@@ -104,36 +112,18 @@ def read_versions(spark: SparkSession, sf: str) -> DataFrame:
 
 def _catalogue(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """The four tables, derived and keyed by file_id."""
-    p = base.indexed_parts(spark, sf)
     ids = views.identified(views.files(spark, sf)).select("file_key", "file_id", F.col("s3_key").alias("file_path"))
-    a = views.attributes(p)
-    shadows = values.attribute_values(values.variant(F.col("value_json")))
-    a = a.select("file_key", "part_index", "attr_name", "attr_type", *[c.alias(n) for n, c in shadows.items()])
-    return {
-        "files": base.catalogue_files(spark, sf),
-        "parts": views.part_rows(p).join(ids, "file_key"),
-        "channels": views.channels(p).join(ids, "file_key"),
-        "attributes": a.join(ids, "file_key"),
-    }
+    children = {n: base.stored(spark, sf, n).join(ids, "file_key") for n in ("parts", "channels", "attributes")}
+    return {"files": base.catalogue_files(spark, sf), **children}
 
 
 def write_tables(spark: SparkSession, sf: str) -> DataFrame:
-    """Counts and a sum over each table after two appends of half the files each."""
+    """Row counts and digests of each table after two appends of half the files each."""
     root = scratch_path(spark, "tables")
     early = F.col("file_id") < "8"
     for half in (early, ~early):
         sinks.write_tables({n: df.filter(half) for n, df in _catalogue(spark, sf).items()}, root)
-    back = sinks.read_tables(spark, root)
-    sums = {"files": "size_bytes", "parts": "width", "channels": "x_sampling", "attributes": "value_int"}
-    told = [
-        back[n].agg(
-            F.count("*").alias("row_count"),
-            F.count_distinct("file_id").alias("file_ids"),
-            F.sum(F.col(c).cast("bigint")).alias("total"),
-        ).select(F.lit(n).alias("table_name"), "row_count", "file_ids", "total")
-        for n, c in sums.items()
-    ]
-    return catalog.concatenated(told)
+    return base.told_contents(sinks.read_tables(spark, root))
 
 
 def _inspections(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -165,6 +155,15 @@ def upsert_files(spark: SparkSession, sf: str) -> DataFrame:
     return upsert.upsert_files(*_inspections(spark, sf))
 
 
+def upsert_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """The same upsert into a stored table, of which only the touched buckets are written."""
+    existing, batch = _inspections(spark, sf)
+    path = scratch_path(spark, "buckets")
+    sinks.write_buckets(existing, path, UPSERT_BUCKETS)
+    sinks.upsert_buckets(batch, path, existing.schema, UPSERT_BUCKETS)
+    return spark.read.parquet(path).select(*existing.columns)
+
+
 def insert_children(spark: SparkSession, sf: str) -> DataFrame:
     """Events of the batch as child rows, only those of ids not known yet."""
     existing, _ = _inspections(spark, sf)
@@ -199,7 +198,7 @@ def write_partitioned(spark: SparkSession, sf: str) -> DataFrame:
 def clone_tables(spark: SparkSession, sf: str) -> DataFrame:
     tables = {n: views.table(spark, sf, n) for n in ("orders", "lineitem", "part", "events")}
     copies = sinks.clone_tables(tables, scratch_path(spark, "clone"))
-    return sinks.same_counts(tables, copies)
+    return sinks.same_contents(tables, copies)
 
 
 def sample_copy(spark: SparkSession, sf: str) -> DataFrame:
@@ -238,6 +237,7 @@ QUERIES = {
     "read_versions_c9": read_versions,
     "write_tables_d1": write_tables,
     "upsert_files_d2": upsert_files,
+    "upsert_buckets_d2": upsert_buckets,
     "insert_children_d3": insert_children,
     "upsert_outcome_d4": upsert_outcome,
     "inspection_audit_d5": inspection_audit,
@@ -267,32 +267,48 @@ late AS (
          min(seen) AS first_at, count(*) AS n, max(seen) AS last_at
   FROM e WHERE NOT early GROUP BY file_id)"""
 
+_UPSERTED = (
+    _INSPECTIONS
+    + """ SELECT file_id, CASE WHEN k.n IS NULL THEN l.header_hash ELSE k.header_hash END AS header_hash,
+          CASE WHEN k.n IS NULL THEN l.value ELSE k.value END AS value,
+          coalesce(k.first_at, l.first_at) AS inspection_timestamp,
+          cast(coalesce(k.n, 0) + coalesce(l.n, 0) AS int) AS inspection_count,
+          coalesce(greatest(k.last_at, l.last_at), k.last_at, l.last_at) AS last_inspected
+          FROM known k FULL JOIN late l USING (file_id)"""
+)
+
 ORACLES = {
-    "files_rows_c1": base.structure_views()
-    + f""" SELECT file_id, s3_key AS file_path, file_path_normalized, header_hash, size_bytes, mtime,
+    "files_rows_c1": sqls.embedded(1.0)
+    + f""", e AS (SELECT file_key, list_transform(v, lambda x: x::float::double) AS v FROM unit)
+          SELECT file_id, s3_key AS file_path, file_path_normalized, header_hash, size_bytes, mtime,
           cast(part_count AS int) AS multipart_count, is_deep, cast(frame_digits AS int) AS frame_number,
-          1 AS inspection_count, s3_bucket, sha256(concat_ws(chr(10), s3_bucket, s3_key, mtime, header_hash)) AS content_id
-          FROM fx_hashed WHERE {_EXR}""",
+          1 AS inspection_count, s3_bucket, sha256(concat_ws(chr(10), s3_bucket, s3_key, mtime, header_hash)) AS content_id,
+          {sqls.CHECKSUMS}
+          FROM fx_hashed JOIN e USING (file_key) WHERE {_EXR}""",
     "parts_rows_c2": _FP
     + f""" SELECT file_id, s3_key AS file_path, p.* EXCLUDE (file_key)
           FROM fx_part_rows p JOIN fx_ids USING (file_key) WHERE {_EXR}""",
-    "channels_rows_c3": _FC
-    + f""" SELECT file_id, s3_key AS file_path, c.* EXCLUDE (file_key),
-          row_number() OVER (PARTITION BY file_key ORDER BY part_index, channel_name) = 1 AS has_fingerprint
-          FROM fx_channels c JOIN fx_ids USING (file_key) WHERE {_EXR}""",
+    "channels_rows_c3": sqls.FINGERPRINTS
+    + f""", placed AS (SELECT c.*, row_number() OVER (PARTITION BY file_key ORDER BY part_index, channel_name) = 1 AS first FROM fx_channels c),
+          e AS (SELECT *, list_transform(v, lambda x: CASE WHEN first THEN x::float::double ELSE 0.0::double END) AS cells
+                FROM placed JOIN filled USING (file_key))
+          SELECT file_id, s3_key AS file_path, part_index, channel_name, layer_name, component_name, channel_type,
+          x_sampling, y_sampling, {sqls.CHECKSUMS.replace("(v", "(cells")}
+          FROM e JOIN fx_ids USING (file_key) WHERE {_EXR}""",
     "attributes_rows_c4": _FA
     + f""" SELECT file_id, s3_key AS file_path, a.* EXCLUDE (file_key)
           FROM fx_attributes a JOIN fx_ids USING (file_key) WHERE {_EXR}""",
     "childless_files_c5": _FP
     + f""" SELECT file_id, s3_key AS file_path, 0 AS multipart_count FROM fx_ids
           WHERE {_EXR} AND file_key NOT IN (SELECT file_key FROM fx_parts)""",
-    "build_payload_c6": _ALL
-    + """ SELECT file_key, 1 AS schema_version, mtime,
-          cast((SELECT count(*) FROM fx_parts p WHERE p.file_key = f.file_key) AS int) AS multipart_count,
-          (SELECT arg_min(compression, part_index) FROM fx_parts p WHERE p.file_key = f.file_key) AS first_codec,
-          (SELECT arg_min(channel_name, (part_index, channel_name)) FROM fx_channels c WHERE c.file_key = f.file_key) AS first_channel,
-          (SELECT arg_min(attr_name, (part_index, attr_name)) FROM fx_attributes a WHERE a.file_key = f.file_key) AS first_attribute
-          FROM fx_ids f""",
+    "build_payload_c6": base.structure_views()
+    + "," + views.sql_only("attributes")
+    + f""", attrs AS (SELECT file_key, count(*) AS n, {base.sql_set_digest("h")} AS digest FROM (
+            SELECT file_key, {base.sql_row_hash(("part_index", "attr_name", "attr_type", "value_json"))} AS h FROM fx_attributes) GROUP BY file_key)
+          SELECT file_key, s3_key AS file_path, mtime, size_bytes, cast(part_count AS int) AS multipart_count, is_deep,
+          header_digest, structure_digest, channel_count, coalesce(a.n, 0) AS attribute_count,
+          coalesce(a.digest, {base.EMPTY_DIGEST}) AS attribute_digest
+          FROM fx_structures LEFT JOIN attrs a USING (file_key)""",
     "route_errors_c7": _F
     + f""" SELECT CASE WHEN file_key % 16 = 0 THEN 'Malformed payload'
                        WHEN file_key % 16 = 1 THEN 'Missing bucket/key'
@@ -310,18 +326,9 @@ ORACLES = {
           CASE WHEN mtime_ts >= timestamp '{VERSION_TIME}' THEN
           cast(nullif(regexp_extract(s3_key, '(?i)[._]([0-9]{{3,8}})\\.exr$', 1), '') AS int) END AS frame_number
           FROM fx_ids""",
-    "write_tables_d1": _ALL
-    + """ SELECT 'files' AS table_name, count(*) AS row_count, count(DISTINCT file_id) AS file_ids, cast(sum(size_bytes) AS bigint) AS total FROM fx_ids
-          UNION ALL SELECT 'parts', count(*), count(DISTINCT file_id), cast(sum(width) AS bigint) FROM fx_parts JOIN fx_ids USING (file_key)
-          UNION ALL SELECT 'channels', count(*), count(DISTINCT file_id), cast(sum(x_sampling) AS bigint) FROM fx_channels JOIN fx_ids USING (file_key)
-          UNION ALL SELECT 'attributes', count(*), count(DISTINCT file_id), cast(sum(value_int) AS bigint) FROM fx_attributes JOIN fx_ids USING (file_key)""",
-    "upsert_files_d2": _INSPECTIONS
-    + """ SELECT file_id, CASE WHEN k.n IS NULL THEN l.header_hash ELSE k.header_hash END AS header_hash,
-          CASE WHEN k.n IS NULL THEN l.value ELSE k.value END AS value,
-          coalesce(k.first_at, l.first_at) AS inspection_timestamp,
-          cast(coalesce(k.n, 0) + coalesce(l.n, 0) AS int) AS inspection_count,
-          coalesce(greatest(k.last_at, l.last_at), k.last_at, l.last_at) AS last_inspected
-          FROM known k FULL JOIN late l USING (file_id)""",
+    "write_tables_d1": base.sql_catalogue_contents(),
+    "upsert_files_d2": _UPSERTED,
+    "upsert_buckets_d2": _UPSERTED,
     "insert_children_d3": _INSPECTIONS
     + """ SELECT file_id, event_id, props FROM e WHERE NOT early AND file_id NOT IN (SELECT file_id FROM known)""",
     "upsert_outcome_d4": _INSPECTIONS
@@ -339,7 +346,7 @@ ORACLES = {
     + """ SELECT substr(mtime, 1, 7) AS year_month, count(*) AS files, cast(sum(size_bytes) AS bigint) AS bytes
           FROM fx_ids GROUP BY ALL""",
     "clone_tables_d8": " UNION ALL ".join(
-        f"SELECT '{n}' AS table_name, count(*) AS rows, count(*) AS copied FROM {n}"
+        f"SELECT '{n}' AS table_name, count(*) AS rows, count(*) AS copied, true AS same FROM {n}"
         for n in ("orders", "lineitem", "part", "events")
     ),
     "sample_copy_d9": _ALL

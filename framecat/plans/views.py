@@ -10,11 +10,11 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from framecat.functions import channels as ch
 from framecat.functions import keys, values
-from framecat.operators.ordering import position_in_key
 
 # The codec of a part by the last digit of its part key.
 CODECS = ("none", "rle", "zips", "zip", "piz", "pxr24", "b44", "b44a", "dwaa", "dwab")
@@ -72,22 +72,16 @@ def identified(f: DataFrame) -> DataFrame:
 
 
 def parts(spark: SparkSession, sf_dir: str, indexed: bool = False) -> DataFrame:
-    """One part per order line. Only ``indexed`` parts pay for a shuffle on the file."""
+    """One part per order line; ``indexed`` ones with their place in the file, which needs a window.
+
+    Queries read the indexed parts that ``base.stored`` keeps.
+    """
     line = table(spark, sf_dir, "lineitem")
     if indexed:
-        line = position_in_key(
-            line.select(
-                "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
-                "l_quantity", "l_shipdate", "l_discount", "l_returnflag", "l_linestatus",
-            ),
-            key=["l_orderkey"],
-            order=["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate"],
-            bucket={
-                "l_linenumber": F.col("l_linenumber"),
-                "l_partkey": F.floor(F.col("l_partkey") / 64),
-            },
-            name="part_index",
-        )
+        order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate"]
+        line = line.select("l_orderkey", *order, "l_discount", "l_returnflag", "l_linestatus")
+        place = F.row_number().over(W.partitionBy("l_orderkey").orderBy(*order))
+        line = line.withColumn("part_index", place - 1)
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
     codec = F.element_at(
         F.array(*[F.lit(c) for c in CODECS]), (F.col("l_partkey") % 10 + 1).cast("int")
@@ -308,3 +302,8 @@ def sql_views(*names: str) -> str:
     """WITH clause giving the named views (and those they need) to a checking query."""
     wanted = {*names, *[_NEEDS[n] for n in names if n in _NEEDS]}
     return "WITH " + ",".join(text for name, text in _VIEWS.items() if name in wanted)
+
+
+def sql_only(name: str) -> str:
+    """The text of one view, to go on a WITH clause that has those it needs."""
+    return _VIEWS[name]

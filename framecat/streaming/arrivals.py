@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+import sys
+import time
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from framecat.functions import keys
 from framecat.operators import sinks
 
+# What runs inside tasks travels with them, so workers need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # A flush takes up to so many files, or happens after so long.
 FILES_PER_FLUSH = 50
 FLUSH_INTERVAL = "5 seconds"
@@ -41,13 +51,122 @@ def deduplicated(events: DataFrame, key: str = "event_id", at: str = "ts", bound
     return events.withWatermark(at, bound).dropDuplicatesWithinWatermark([key])
 
 
-def running_audit(events: DataFrame, key: str = "file_id", at: str = "ts") -> DataFrame:
-    """First seen, last inspected and count per file, for update mode."""
-    return events.groupBy(key).agg(
-        F.min(at).alias("first_seen"), F.max(at).alias("last_inspected"), F.count("*").alias("inspection_count")
+def running_audit(events: DataFrame, key: str = "file_id", at: str = "ts", idle: str = "1 hour") -> DataFrame:
+    """Running audit rows of a stream, for update mode: file_id, segment, first_seen, last_inspected, inspection_count, closed.
+
+    State is kept per file while events come, and dropped once none came for ``idle``. What
+    comes later, however late by its own time, opens the file's next segment, so nothing is lost:
+    ``audit_of`` adds segments up, in whatever order rows arrive.
+    """
+    bound = _milliseconds(idle)
+    kind = events.schema[key].dataType.simpleString()
+
+    def step(name: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            segment, first, last, count = state.get
+            state.remove()
+            yield _audit_row(name[0], segment, first, last, count, True)
+            return
+        segment, first, last, count = state.get if state.exists else (state.getCurrentProcessingTimeMs(), None, None, 0)
+        for frame in frames:
+            low, high = frame["at"].min().value // 1000, frame["at"].max().value // 1000
+            first = low if first is None else min(first, low)
+            last = high if last is None else max(last, high)
+            count += len(frame)
+        state.update((segment, first, last, count))
+        state.setTimeoutDuration(bound)
+        yield _audit_row(name[0], segment, first, last, count, False)
+
+    out = f"file_id {kind}, segment long, first_seen timestamp, last_inspected timestamp, inspection_count long, closed boolean"
+    named = events.select(F.col(key).alias("file_id"), F.col(at).cast("timestamp").alias("at"))
+    return named.groupBy("file_id").applyInPandasWithState(
+        step, out, "segment long, first long, last long, count long", "update", GroupStateTimeout.ProcessingTimeTimeout
     )
 
 
+def _audit_row(name, segment: int, first: int, last: int, count: int, closed: bool) -> pd.DataFrame:
+    stamps = [pd.Timestamp(x, unit="us", tz="UTC") for x in (first, last)]
+    return pd.DataFrame([(name, segment, *stamps, count, closed)], columns=["file_id", "segment", "first_seen", "last_inspected", "inspection_count", "closed"])
+
+
+def audit_of(rows: DataFrame) -> DataFrame:
+    """First seen, last inspected and count per file from the rows of ``running_audit``, which may repeat."""
+    last = rows.groupBy("file_id", "segment").agg(
+        F.min("first_seen").alias("first_seen"), F.max("last_inspected").alias("last_inspected"), F.max("inspection_count").alias("n")
+    )
+    return last.groupBy("file_id").agg(
+        F.min("first_seen").alias("first_seen"), F.max("last_inspected").alias("last_inspected"), F.sum("n").alias("inspection_count")
+    )
+
+
+def _milliseconds(interval: str) -> int:
+    return int(pd.Timedelta(interval).total_seconds() * 1000)
+
+
+def flushed(lines: DataFrame, files: int = FILES_PER_FLUSH, wait: str = FLUSH_INTERVAL, lanes: int = 1) -> DataFrame:
+    """Lines of arriving files (value, name) in flushes: lane, flush, cause, name, value; for append mode.
+
+    A flush of a lane happens when so many files wait, or so long after the first of them came,
+    whichever is first; ``cause`` tells which (``size`` or ``time``). Lines of a file come in one
+    micro-batch and stay in one flush. State holds what waits: fewer than ``files`` files a lane.
+    """
+    bound = _milliseconds(wait)
+
+    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        flush, opened, names, values = state.get if state.exists else (0, 0, [], [])
+        names, values, now = list(names), list(values), state.getCurrentProcessingTimeMs()
+        waiting = dict.fromkeys(names)
+
+        def out(cause: str) -> pd.DataFrame:
+            told = {"lane": key[0], "flush": flush, "cause": cause, "name": names, "value": values}
+            return pd.DataFrame(told)
+
+        if not state.hasTimedOut:
+            arrived = pd.concat(list(frames)).sort_values("name", kind="stable")
+            for name, own in arrived.groupby("name", sort=True)["value"]:
+                opened = opened if waiting else now
+                waiting[name] = None
+                names += [name] * len(own)
+                values += own.tolist()
+                if len(waiting) == files:
+                    yield out("size")
+                    flush, names, values, waiting = flush + 1, [], [], {}
+        if waiting and now - opened >= bound:
+            yield out("time")
+            flush, names, values, waiting = flush + 1, [], [], {}
+        state.update((flush, opened, names, values))
+        if waiting:
+            state.setTimeoutDuration(max(1, opened + bound - now))
+
+    named = lines.select(F.pmod(F.xxhash64("name"), F.lit(lanes)).alias("lane"), "name", "value")
+    return named.groupBy("lane").applyInPandasWithState(
+        step,
+        "lane long, flush long, cause string, name string, value string",
+        "flush long, opened long, names array<string>, lines array<string>",
+        "append",
+        GroupStateTimeout.ProcessingTimeTimeout,
+    )
+
+
+def stop_when_quiet(query: StreamingQuery, seconds: float = 600) -> None:
+    """Stops a query once a micro-batch found nothing new.
+
+    Queries with timeouts run micro-batches for ever, also to take what is there and end.
+    """
+    until = time.monotonic() + seconds
+    try:
+        while time.monotonic() < until and query.isActive:
+            last = query.lastProgress
+            if last and last["numInputRows"] == 0:
+                return
+            time.sleep(0.1)
+        if query.exception():
+            raise query.exception()
+        raise TimeoutError(f"the stream still had input after {seconds} seconds")
+    finally:
+        query.stop()
+
+
 def arrivals_per_minute(events: DataFrame, at: str = "ts", late: str = "10 minutes") -> DataFrame:
     """Files per minute of event time; events later than the bound are left out of a stream."""
     marked = events.withWatermark(at, late) if events.isStreaming else events
