@@ -13,12 +13,16 @@ place are one context (on average 85 starts and the bytes they cover).
    into shards by that hash, and the repeated strings are found on each shard's
    Burrows-Wheeler transform (``bwt``): threshold-bounded interval expansion.
 3. An anchor hash with more than CROWD different contexts (the border of a passage that a
-   third of all documents have) is not gathered: the strings of its contexts are counted by
-   a 128-bit hash, with sums on the map side.
+   third of all documents have) is dealt on by where the anchor lies in the strings. Strings in
+   which it lies at an offset in [a, b) share the a bytes before the anchor and all but the
+   last b - 1 after it, so equal strings go to equal (anchor, range, shared bytes). A group that
+   is still too large is halved by offset and dealt again, at most eight times: a range of
+   one offset shares the whole string. Pieces that are equal fold to one before each step. So a
+   context costs about two rows a step, and no group is gathered without a bound.
 4. The runs of repeated starts of a document are united and cut out of its bytes.
 
-Contexts are told apart by 128 bits of hashes, 64 of them the anchor's; nothing else is
-approximate. A document is found again by its id and the hash of its text.
+Contexts are told apart by 128 bits of hashes, 64 of them the anchor's, pieces of crowded ones
+by their bytes; nothing else is approximate. A document is found again by its id and the hash of its text.
 
 Defined results: a null text is empty; texts under LEAST bytes lose nothing; rows that repeat
 are copies of each other, whatever their ids; very long texts are scanned in overlapping parts.
@@ -77,8 +81,8 @@ def _least_places(hashes: np.ndarray, width: int) -> np.ndarray:
     return (packed & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
-def contexts(data: bytes, least: int) -> Iterator[tuple[int, int, int, int]]:
-    """first start, number of starts, anchor hash, context hash for each context of one text."""
+def contexts(data: bytes, least: int) -> Iterator[tuple[int, int, int, int, int]]:
+    """first start, number of starts, where the anchor lies from there, anchor hash, context hash for each context of one text."""
     width = least - KGRAM + 1
     for low in range(0, len(data) - least + 1, PART_BYTES):
         part = data[low : low + PART_BYTES + least - 1]
@@ -87,8 +91,8 @@ def contexts(data: bytes, least: int) -> Iterator[tuple[int, int, int, int]]:
         first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
         last = np.append(first[1:], len(place))
         anchors = hashes[place[first]].view(np.int64).tolist()
-        for a, b, anchor in zip(first.tolist(), last.tolist(), anchors):
-            yield low + a, b - a, anchor, xxhash.xxh3_64_intdigest(part[a : b + least - 1]) - 2**63
+        for a, b, at, anchor in zip(first.tolist(), last.tolist(), (place[first] - first).tolist(), anchors):
+            yield low + a, b - a, at, anchor, xxhash.xxh3_64_intdigest(part[a : b + least - 1]) - 2**63
 
 
 def _anchored(docs: DataFrame, least: int) -> DataFrame:
@@ -105,13 +109,13 @@ def _anchored(docs: DataFrame, least: int) -> DataFrame:
                     counts.append(len(found))
                 if rows:
                     owner = pa.array(np.repeat(np.arange(len(part)), counts))
-                    start, n, anchor, context = np.array(rows, np.int64).T
+                    start, n, at, anchor, context = np.array(rows, np.int64).T
                     yield pa.RecordBatch.from_arrays(
-                        [part.column(0).take(owner), part.column(1).take(owner), *map(pa.array, (start, n, anchor, context))],
-                        ["doc_id", "raw", "start", "n", "anchor", "context"],
+                        [part.column(0).take(owner), part.column(1).take(owner), *map(pa.array, (start, n, at, anchor, context))],
+                        ["doc_id", "raw", "start", "n", "at", "anchor", "context"],
                     )
 
-    return docs.mapInArrow(run, f"{KEYS}, start long, n long, anchor long, context long")
+    return docs.mapInArrow(run, f"{KEYS}, start long, n long, at long, anchor long, context long")
 
 
 def _of(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
@@ -128,7 +132,7 @@ def _with_lists(docs: DataFrame, lists: DataFrame) -> DataFrame:
 
 def _context_bytes(docs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
     """wanted contexts with their bytes, cut from the texts."""
-    entry = F.struct("start", "n", "anchor", "single")
+    entry = F.struct("start", "n", "at", "anchor", "single")
     lists = materialise(wanted.groupBy("doc_id", "raw").agg(F.collect_list(entry).alias("list")), "wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,15 +143,15 @@ def _context_bytes(docs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
                     data = row["text"].encode()
                     for c in row["list"]:
                         cut = data[c["start"] : c["start"] + c["n"] + least - 1]
-                        rows.append((row["doc_id"], row["raw"], c["start"], c["anchor"], c["single"], cut))
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
-                columns = list(zip(*rows)) if rows else [()] * 6
-                names = ["doc_id", "raw", "start", "anchor", "single", "bytes"]
+                        rows.append((row["doc_id"], row["raw"], c["start"], c["at"], c["anchor"], c["single"], cut))
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
+                columns = list(zip(*rows)) if rows else [()] * 7
+                names = ["doc_id", "raw", "start", "at", "anchor", "single", "bytes"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
     told = _with_lists(docs, lists).select("doc_id", "raw", "text", "list")
     # Rows that repeat with id and text give each context once.
-    return told.dropDuplicates(["doc_id", "raw"]).mapInArrow(run, f"{KEYS}, start long, anchor long, single boolean, bytes binary")
+    return told.dropDuplicates(["doc_id", "raw"]).mapInArrow(run, f"{KEYS}, start long, at long, anchor long, single boolean, bytes binary")
 
 
 def _runs(starts: np.ndarray) -> list[tuple[int, int]]:
@@ -159,12 +163,12 @@ def _runs(starts: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _in_shards(held: DataFrame, least: int) -> DataFrame:
-    """Repeated starts of contexts that occur once, from the transform of each shard's contexts."""
+    """Repeated starts of contexts (or pieces of them) that occur once, from the transform of each shard's contexts."""
     total = held.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
     shards = max(1, math.ceil(total / SHARD_BYTES))
 
     def run(table: pa.Table) -> pa.Table:
-        rows = table.drop_columns(["shard"]).to_pylist()
+        rows = table.select(["doc_id", "raw", "start", "single", "bytes"]).to_pylist()
         out = []
         for row, starts in zip(rows, bwt.repeats([r["bytes"] for r in rows], least)):
             if row["single"]:
@@ -172,62 +176,96 @@ def _in_shards(held: DataFrame, least: int) -> DataFrame:
         columns = list(zip(*out)) if out else [()] * 4
         return pa.table({k: pa.array(c, pa.int64()) for k, c in zip(("doc_id", "raw", "start", "n"), columns)})
 
-    placed = held.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
+    placed = held.withColumn("shard", F.pmod(F.xxhash64("deal"), F.lit(shards)))
     return placed.repartition(min(shards, 20_000), "shard").groupBy("shard").applyInArrow(run, f"{KEYS}, start long, n long")
 
 
-def _in_crowds(held: DataFrame, least: int) -> DataFrame:
-    """The same for crowded anchors: each string counted by its hash."""
+PIECE = f"{KEYS}, start long, single boolean, bytes binary, anchor long, a int, b int, low int, high int, deal long"
+NAMES = [f.split()[0] for f in PIECE.split(", ")]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low in range(0, len(batch), 256):
-                part = batch.slice(low, 256)
-                counts, high, lower, starts = [], [], [], []
-                for data, start in zip(part.column("bytes").to_pylist(), part.column("start").to_pylist()):
-                    n = len(data) - least + 1
-                    counts.append(n)
-                    starts.append(np.arange(start, start + n))
-                    for a in range(n):
-                        told = xxhash.xxh3_128_intdigest(data[a : a + least])
-                        high.append((told >> 64) - 2**63)
-                        lower.append((told & (2**64 - 1)) - 2**63)
-                owner = pa.array(np.repeat(np.arange(len(part)), counts))
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c).take(owner) for c in ("doc_id", "raw", "single")), pa.array(np.concatenate(starts)), pa.array(high, pa.int64()), pa.array(lower, pa.int64())],
-                    ["doc_id", "raw", "single", "start", "high", "low"],
-                )
 
-    strings = materialise(held.mapInArrow(run, f"{KEYS}, single boolean, start long, high long, low long"), "strings")
-    counts = strings.groupBy("high", "low").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
-    counts = counts.select(F.col("high").alias("_high"), F.col("low").alias("_low"))
-    twice = strings.filter("single").join(counts, (F.col("high") == F.col("_high")) & (F.col("low") == F.col("_low")), "left_semi")
-    return twice.select("doc_id", "raw", "start", F.lit(1).cast("long").alias("n"))
+def _halved(pieces: DataFrame, least: int) -> DataFrame:
+    """Pieces cut at the middle of their range of offsets; what each half shares decides where it is dealt.
 
+    low and high are the offsets of the anchor in a piece's own strings, last and first of them.
+    """
 
-def repeated_starts(docs: DataFrame, least: int = LEAST) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for slow in range(0, len(batch), 256):
+                out = []
+                for row in batch.slice(slow, 256).to_pylist():
+                    middle = (row["a"] + row["b"]) // 2
+                    for a, b in ((row["a"], middle), (middle, row["b"])):
+                        low, high = max(a, row["low"]), min(b, row["high"])
+                        if low >= high:
+                            continue
+                        skip = row["high"] - high  # strings whose anchor lies farther right come first
+                        cut = row["bytes"][skip : skip + high - low + least - 1]
+                        at = high - 1  # the anchor in this piece
+                        shared = cut[at - a : at + least + 1 - b]
+                        deal = xxhash.xxh3_64_intdigest(shared, seed=a * least + b) - 2**63
+                        out.append((row["doc_id"], row["raw"], row["start"] + skip, row["single"], cut, row["anchor"], a, b, low, high, deal))
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int64(), *[pa.int32()] * 4, pa.int64()]
+                columns = list(zip(*out)) if out else [()] * len(kinds)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], NAMES)
+
+    return pieces.mapInArrow(run, PIECE)
+
+
+def _in_ranges(crowded: DataFrame, least: int, crowd: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Pieces that fit the transform, and the runs of pieces that were found equal on the way."""
+    high = (F.col("at") + 1).cast("int")
+    n = (F.octet_length("bytes") - least + 1).cast("int")
+    whole_range = [F.lit(0).alias("a"), F.lit(least - KGRAM + 1).alias("b"), (high - n).alias("low"), high.alias("high")]
+    pieces = crowded.select("doc_id", "raw", "start", "single", "bytes", "anchor", *whole_range, F.col("anchor").alias("deal"))
+    fit, runs = crowded.sparkSession.createDataFrame([], PIECE), []
+    group, deal = ["anchor", "a", "b", "low", "high", "bytes"], ["anchor", "a", "b", "deal"]
+    while True:
+        pieces = materialise(_halved(pieces, least), "pieces")
+        folded = pieces.groupBy(*group, "deal").agg(
+            F.count(F.lit(1)).alias("times"), F.bool_and("single").alias("single"), F.min(F.struct("doc_id", "raw", "start")).alias("one")
+        )
+        folded = folded.withColumn("again", (F.col("times") > 1) | ~F.col("single"))
+        folded = materialise(folded.select("one.*", (~F.col("again")).alias("single"), "again", *group, "deal"), "folded")
+        told = folded.filter("again").select(*[F.col(c).alias(f"_{c}") for c in group])
+        equal = [F.col(c) == F.col(f"_{c}") for c in group]
+        runs.append(pieces.filter("single").join(told, equal, "left_semi").select("doc_id", "raw", "start", (F.col("high") - F.col("low")).cast("long").alias("n")))
+        sizes = folded.groupBy(*deal).agg(F.count(F.lit(1)).alias("many")).filter(F.col("many") > crowd)
+        large = materialise(sizes.select(*[F.col(c).alias(f"_{c}") for c in deal]), "large")
+        same = [F.col(c) == F.col(f"_{c}") for c in deal]
+        fit = fit.unionByName(folded.join(small_side(large), same, "left_anti").select(*NAMES))
+        if large.isEmpty():
+            return fit, runs
+        pieces = folded.join(small_side(large), same, "left_semi").select(*NAMES)
+
+
+def repeated_starts(docs: DataFrame, least: int = LEAST, crowd: int = CROWD) -> DataFrame:
     """doc_id, raw, start, n: runs of places of docs (doc_id, raw, text) where a string starts that also starts elsewhere."""
     found = materialise(_anchored(docs, least), "contexts")
     per = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("times"), F.min("context").alias("a"), F.max("context").alias("b"))
     per = per.filter("times > 1").select(F.col("anchor").alias("_anchor"), (F.col("a") != F.col("b")).alias("mixed"))
     told = materialise(found.join(per, F.col("anchor") == F.col("_anchor")).drop("_anchor"), "repeated")
     mixed = told.filter("mixed")
-    counts = mixed.groupBy("anchor", "context").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("doc_id", "raw", "start", "n")).alias("one"))
+    counts = mixed.groupBy("anchor", "context").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("doc_id", "raw", "start", "n", "at")).alias("one"))
     counts = materialise(counts, "different")
     many = counts.filter("times > 1").select(F.col("anchor").alias("_anchor"), F.col("context").alias("_context"))
     again = mixed.join(many, (F.col("anchor") == F.col("_anchor")) & (F.col("context") == F.col("_context")), "left_semi")
     wanted = counts.select("one.*", "anchor", (F.col("times") == 1).alias("single"))
     held = materialise(_context_bytes(docs, wanted, least), "context-bytes")
-    crowds = counts.groupBy("anchor").agg(F.count(F.lit(1)).alias("many")).filter(F.col("many") > CROWD)
-    crowds = small_side(materialise(crowds.select(F.col("anchor").alias("_anchor")), "crowds"))
-    crowded = F.col("anchor") == F.col("_anchor")
+    crowds = counts.groupBy("anchor").agg(F.count(F.lit(1)).alias("many")).filter(F.col("many") > crowd)
+    crowds = materialise(crowds.select(F.col("anchor").alias("_anchor")), "crowds")
     names = ["doc_id", "raw", "start", "n"]
-    return (
-        told.filter("not mixed").select(*names)
-        .unionByName(again.select(*names))
-        .unionByName(_in_shards(held.join(crowds, crowded, "left_anti"), least))
-        .unionByName(_in_crowds(held.join(crowds, crowded, "left_semi"), least))
-    )
+    found = told.filter("not mixed").select(*names).unionByName(again.select(*names))
+    held = held.withColumn("deal", F.col("anchor"))
+    if not crowds.isEmpty():
+        crowded, same = held.join(small_side(crowds), F.col("anchor") == F.col("_anchor"), "left_semi"), F.col("anchor") == F.col("_anchor")
+        fit, runs = _in_ranges(crowded, least, crowd)
+        for run in runs:
+            found = found.unionByName(run)
+        columns = ["doc_id", "raw", "start", "single", "bytes", "deal"]
+        held = held.join(small_side(crowds), same, "left_anti").select(*columns).unionByName(fit.select(*columns))
+    return found.unionByName(_in_shards(held.select("doc_id", "raw", "start", "single", "bytes", "deal"), least))
 
 
 def _united(runs: list[dict], least: int, size: int) -> list[tuple[int, int]]:
@@ -241,10 +279,11 @@ def _united(runs: list[dict], least: int, size: int) -> list[tuple[int, int]]:
     return [tuple(s) for s in spans]
 
 
-def remove_repeats(docs: DataFrame, least: int = LEAST, id: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, least: int = LEAST, id: str = "doc_id", text: str = "text", crowd: int = CROWD) -> DataFrame:
     """doc_id, raw, n_bytes, spans (removed, begin and end), kept (the remaining bytes) for every row."""
     rows = docs.select(F.col(id).alias("doc_id"), raw_hash(text).alias("raw"), whole(text).alias("text"))
-    runs = repeated_starts(rows, least)
+    # Rows that repeat with id and text tell each run once.
+    runs = repeated_starts(rows, least, crowd).distinct()
     lists = materialise(runs.groupBy("doc_id", "raw").agg(F.collect_list(F.struct("start", "n")).alias("list")), "runs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -31,8 +31,8 @@ def brute(rows, least):
     return collections.Counter(out)
 
 
-def got(docs, least):
-    told = substrings.remove_repeats(docs, least)
+def got(docs, least, crowd=substrings.CROWD):
+    told = substrings.remove_repeats(docs, least, crowd=crowd)
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["begin"])
     return collections.Counter(map(tuple, told.select("doc_id", "n_bytes", removed, F.size("spans"), F.sha2("kept", 256)).collect()))
 
@@ -59,11 +59,21 @@ def corpus(seed):
 
 @pytest.mark.parametrize(("least", "crowd", "part"), [(200, 2000, 1 << 21), (64, 3, 100), (50, 2000, 333)])
 def test_remove_repeats(spark, monkeypatch, least, crowd, part):
-    monkeypatch.setattr(substrings, "CROWD", crowd)
     monkeypatch.setattr(substrings, "PART_BYTES", part)
     monkeypatch.setattr(substrings, "SHARD_BYTES", 5000)
     rows = corpus(least)
-    assert got(frame(spark, rows), least) == brute(rows, least)
+    assert got(frame(spark, rows), least, crowd) == brute(rows, least)
+
+
+def test_a_passage_in_every_third_document(spark):
+    """Its borders are crowded anchors: contexts that share one side with all others and nothing else."""
+    rng = random.Random(4)
+    noise = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    passage, rows = noise(500), []
+    for i in range(150):
+        text = noise(300) + passage + noise(300) if i % 3 == 0 else noise(400)
+        rows += [(i, text)] * (2 if i % 10 == 0 else 1)  # some rows repeat
+    assert got(frame(spark, rows), 200, 8) == brute(rows, 200)
 
 
 def test_empty(spark):
