@@ -35,6 +35,8 @@ SAMPLE_ROWS, FEWEST, MOST = 4096, 16, 256
 RANGES = 1024
 #: Distances are kept as float32; a bound is loosened by this share of the distance.
 SINGLE = 4e-7
+#: Coordinates are cut off here before distances are taken, and distances at CUT; neither moves two vectors apart.
+LARGEST, CUT = 1e100, 3e38
 
 BLOCK = "block long, n int, width int, keys binary, kind string, cells binary, pivots binary, low binary, high binary"
 
@@ -72,7 +74,7 @@ def fitted(pivots: np.ndarray, width: int) -> np.ndarray:
 
 
 def pivot_distances(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    p = fitted(pivots, rows.shape[1])
+    p, rows = fitted(pivots, rows.shape[1]), np.clip(rows, -LARGEST, LARGEST)
     squares = np.einsum("ij,ij->i", rows, rows)[:, None] + np.einsum("ij,ij->i", p, p)[None, :] - 2 * (rows @ p.T)
     near = squares < 1e-4 * np.einsum("ij,ij->i", rows, rows)[:, None]  # where cancellation would be felt
     told = np.sqrt(np.maximum(squares, 0.0))
@@ -104,7 +106,13 @@ def sampled_pivots(rows: DataFrame, vector: str, key: str, count: int, seen: See
         return np.zeros((0, 0))
     widths = [len(v) for v in held]
     width = max(sorted(set(widths)), key=widths.count)
-    return far_apart(seen(np.array([v for v in held if len(v) == width], np.float64).reshape(-1, width)), count)
+    cells = np.array([v for v in held if len(v) == width], np.float64).reshape(-1, width)
+    return far_apart(np.clip(seen(cells), -LARGEST, LARGEST), count)
+
+
+def lengths(from_origin: np.ndarray) -> np.ndarray:
+    """Lengths of vectors from their distances to the origin, which are lower bounds where they were cut off."""
+    return np.where(from_origin >= CUT * (1 - 1e-6), np.inf, from_origin)
 
 
 def blocked(
@@ -146,7 +154,7 @@ def blocked(
             part = pa.Table.from_batches(rows)
             cells = stacked(part.column("vec"))
             # Cutting off is no farther apart than before, so bounds hold beyond float32 too.
-            away = np.minimum(pivot_distances(seen(cells), pivots.value), 3e38).astype(np.float32)
+            away = np.minimum(pivot_distances(seen(cells), pivots.value), CUT).astype(np.float32)
             least = small(cells)
             low = away.min(axis=0).astype(np.float64)
             high = away.max(axis=0).astype(np.float64)
