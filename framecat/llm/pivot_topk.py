@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from framecat.llm.common import small_side
 from framecat.operators import blocks
-from framecat.operators.blocks import SINGLE, range_gap, unpacked
+from framecat.operators.blocks import SINGLE, lengths, range_gap, unpacked
 from framecat.session import materialise
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -67,10 +67,14 @@ def sound(cells: Column | str) -> Column:
     return F.coalesce(fits, F.lit(False))
 
 
+def _largest(a: np.ndarray, b: np.ndarray) -> float:
+    """What no sum of products of their rows exceeds; sums below 2^53 are exact in doubles."""
+    return float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
+
+
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact inner products of integer rows as longs."""
-    most = (np.abs(a).max() if a.size else 0.0) * (np.abs(b).max() if b.size else 0.0) * a.shape[1]
-    if most < 2**53:
+    if _largest(a, b) < 2**53:
         return (a @ b.T).astype(np.int64)
     one, two = (np.array([int(v) for v in m.ravel()], object).reshape(m.shape) for m in (a, b))
     return np.clip(one @ two.T, NONE + 1, 2**63 - 1).astype(np.int64)
@@ -78,8 +82,7 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def pair_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The same for row i of a and row i of b."""
-    most = (np.abs(a).max() if a.size else 0.0) * (np.abs(b).max() if b.size else 0.0) * a.shape[1]
-    if most < 2**53:
+    if _largest(a, b) < 2**53:
         return np.einsum("ij,ij->i", a, b).astype(np.int64)
     return np.array([products(x[None], y[None])[0, 0] for x, y in zip(a, b)], np.int64)
 
@@ -95,7 +98,7 @@ def upper_bounds(away_q: np.ndarray, away_x: np.ndarray) -> np.ndarray:
 
 
 def _bound(long_q: np.ndarray, long_x: np.ndarray, gap: np.ndarray) -> np.ndarray:
-    squares = (long_q**2 + long_x**2) * (1 + 4 * SINGLE)
+    squares = (lengths(long_q) ** 2 + lengths(long_x) ** 2) * (1 + 4 * SINGLE)
     return (squares - gap**2) / 2 + 1
 
 
