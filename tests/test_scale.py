@@ -82,8 +82,9 @@ def test_similar_counts(spark, clustered, metric, bound):
         others = [(n[0] if b == same[0] else n[1], n[2]) for (a, b), n in pairs.items() if same[0] in (a, b)]
         nearest = 0.0 if len(same) > 1 else min((d for _, d in others), default=None)
         want[i] = (len(same) - 1 + sum(n for n, _ in others), nearest)
-    got = {r.vec_id: (r.similar, None if r.nearest is None else round(r.nearest, 6)) for r in found}
-    assert len(found) == len(want) and got == pytest.approx(want)
+    got = {r.vec_id: r for r in found}
+    assert len(found) == len(want) and {i: r.similar for i, r in got.items()} == {i: n for i, (n, _) in want.items()}
+    assert {i: r.nearest for i, r in got.items()} == pytest.approx({i: d for i, (_, d) in want.items()}, abs=1e-6)
 
 
 def far_clusters(n, clusters, seed=3):
