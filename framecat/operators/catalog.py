@@ -37,7 +37,7 @@ def overscan_parts(parts: DataFrame) -> DataFrame:
 
 
 def modified_within(files: DataFrame, days: int, reference: Column, mtime: str = "mtime_ts") -> DataFrame:
-    """Files modified later than ``days`` before a reference time."""
+    """Files modified in the ``days`` before a reference time or later; the time itself is no upper bound."""
     return files.filter(F.col(mtime) >= reference - F.make_dt_interval(F.lit(days)))
 
 
