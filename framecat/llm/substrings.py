@@ -219,7 +219,7 @@ def _in_ranges(crowded: DataFrame, least: int, crowd: int) -> tuple[DataFrame, l
     n = (F.octet_length("bytes") - least + 1).cast("int")
     whole_range = [F.lit(0).alias("a"), F.lit(least - KGRAM + 1).alias("b"), (high - n).alias("low"), high.alias("high")]
     pieces = crowded.select("doc_id", "raw", "start", "single", "bytes", "anchor", *whole_range, F.col("anchor").alias("deal"))
-    fit, runs = crowded.sparkSession.createDataFrame([], PIECE), []
+    fit, runs = None, []
     group, deal = ["anchor", "a", "b", "low", "high", "bytes"], ["anchor", "a", "b", "deal"]
     while True:
         pieces = materialise(_halved(pieces, least), "pieces")
@@ -234,7 +234,8 @@ def _in_ranges(crowded: DataFrame, least: int, crowd: int) -> tuple[DataFrame, l
         sizes = folded.groupBy(*deal).agg(F.count(F.lit(1)).alias("many")).filter(F.col("many") > crowd)
         large = materialise(sizes.select(*[F.col(c).alias(f"_{c}") for c in deal]), "large")
         same = [F.col(c) == F.col(f"_{c}") for c in deal]
-        fit = fit.unionByName(folded.join(small_side(large), same, "left_anti").select(*NAMES))
+        small = folded.join(small_side(large), same, "left_anti").select(*NAMES)
+        fit = small if fit is None else fit.unionByName(small)
         if large.isEmpty():
             return fit, runs
         pieces = folded.join(small_side(large), same, "left_semi").select(*NAMES)
