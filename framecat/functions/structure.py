@@ -180,7 +180,8 @@ def payload_structure(payload: Callable[[str], Column]) -> Column:
 def table_structure(parts: DataFrame, channels: DataFrame, key: str, files: DataFrame) -> DataFrame:
     """The same struct from table rows, one per key of ``files``, as column ``structure``.
 
-    Two mergeable aggregations; the joins reuse their partitioning on the key.
+    Two mergeable aggregations; the joins reuse their partitioning on the key, so that what
+    comes after them is spread over tasks however few partitions the files are read in.
     """
     hashed_parts = parts.select(
         key, "is_deep", "is_tiled", "multi_view",
@@ -207,8 +208,8 @@ def table_structure(parts: DataFrame, channels: DataFrame, key: str, files: Data
     no = F.lit(False)
     return (
         files.select(key)
-        .join(p, key, "left")
-        .join(c, key, "left")
+        .join(p.hint("merge"), key, "left")
+        .join(c.hint("merge"), key, "left")
         .select(
             key,
             F.struct(

@@ -192,7 +192,8 @@ def fingerprints(channels: DataFrame, files: DataFrame, key: str = "file_id", di
     """Channel fingerprint of every file from its channel rows; the rows of one header meet in one row, as in its payload."""
     row = F.struct("part_index", F.col("channel_name").alias("name"), F.col("channel_type").alias("type"), "x_sampling", "y_sampling")
     gathered = channels.groupBy(key).agg(F.sort_array(F.collect_list(row)).alias("channels"))
-    all_files = files.select(key).join(gathered, key, "left")
+    # Joined by its partitioning, which spreads the vectors' work over tasks.
+    all_files = files.select(key).join(gathered.hint("merge"), key, "left")
     own = F.coalesce("channels", F.array().cast(gathered.schema["channels"].dataType))
     return all_files.select(key, vectors.channel_fingerprint(own, dim).alias("channel_fingerprint"))
 
