@@ -132,18 +132,18 @@ select page_id, payload_bytes, payload_digest,
        case when page_id is distinct from first and first is not null then 'revisit' else 'response' end as record_type,
        case when page_id is distinct from first and first is not null then first end as refers_to from f""",
     "op11_pivot_topk": """
-with v as (select distinct vec_id, list_transform(embedding, x -> floor(64 * x::double)) as cells from embeddings
+with v as (select distinct vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as cells from embeddings
            where vec_id is not null and embedding is not null
-             and len(list_filter(embedding, x -> x is null or not isfinite(x::double))) = 0),
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x::double))) = 0),
      p as (select q.vec_id as query_id, r.vec_id, cast(list_inner_product(q.cells, r.cells) as bigint) as score
            from v as q join v as r on q.vec_id % 20 = 0 and len(q.cells) = len(r.cells) and (q.vec_id, q.cells) is distinct from (r.vec_id, r.cells)),
      o as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from p)
 select query_id, rank, vec_id, score from o where rank <= 20""",
     "op13_hard_negatives": """
 with v as (select distinct vec_id, cast(case when vec_id % 7 = 0 then (label + 1) % 10 else label end as bigint) as label,
-                  list_transform(embedding, x -> floor(256 * x::double)) as cells from embeddings
+                  list_transform(embedding, lambda x: floor(256 * x::double)) as cells from embeddings
            where vec_id is not null and label is not null and embedding is not null
-             and len(list_filter(embedding, x -> x is null or not isfinite(x::double))) = 0),
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x::double))) = 0),
      p as (select a.vec_id as anchor_id, r.vec_id, a.label = r.label as alike, cast(list_inner_product(a.cells, r.cells) as bigint) as score
            from v as a join v as r on a.vec_id % 100 = 0 and len(a.cells) = len(r.cells) and (a.vec_id, a.cells) is distinct from (r.vec_id, r.cells)),
      s as (select *, row_number() over (partition by anchor_id order by score desc, vec_id) as place from p where alike),
