@@ -59,6 +59,16 @@ def same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
 
 
+def fresh(docs: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores at its end as docs needs to have no column of that name."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def keep(docs: DataFrame, decided: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs that a decision keeps, with all their columns.
 
@@ -67,18 +77,19 @@ def keep(docs: DataFrame, decided: DataFrame, id: str = "doc_id", text: str = "t
     texts are shuffled only where that side is too large. If rows repeat with id and text
     and one of them stays, the others go.
     """
-    per = decided.groupBy(F.col(id).alias("_id"), F.col("raw").alias("_raw")).agg(
+    id_, raw_ = fresh(docs, "_id", "_raw")
+    per = decided.groupBy(F.col(id).alias(id_), F.col("raw").alias(raw_)).agg(
         F.max("kept").alias("_kept"), F.count(F.lit(1)).alias("_n"), F.sum(F.col("kept").cast("long")).alias("_stay")
     )
     per = materialise(per.filter(~F.col("_kept") | (F.col("_n") > F.col("_stay"))), "decided")
-    gone = per.filter(~F.col("_kept")).select("_id", "_raw")
-    twice = per.filter("_kept").select("_id", "_raw")
-    told = (docs[id].eqNullSafe(F.col("_id"))) & (raw_hash(text) == F.col("_raw"))
+    gone = per.filter(~F.col("_kept")).select(id_, raw_)
+    twice = per.filter("_kept").select(id_, raw_)
+    told = (docs[id].eqNullSafe(F.col(id_))) & (raw_hash(text) == F.col(raw_))
     if twice.isEmpty():
         return docs.join(small_side(gone), told, "left_anti")
-    once = docs.join(small_side(twice), told, "left_semi").withColumn("_raw", raw_hash(text))
-    once = once.dropDuplicates([id, "_raw"]).drop("_raw")
-    both = per.select("_id", "_raw")
+    once = docs.join(small_side(twice), told, "left_semi").withColumn(raw_, raw_hash(text))
+    once = once.dropDuplicates([id, raw_]).drop(raw_)
+    both = per.select(id_, raw_)
     return docs.join(small_side(both), told, "left_anti").unionByName(once)
 
 

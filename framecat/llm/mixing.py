@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framecat.llm.common import numbered, raw_hash, running_total, same, small_side, whole, words_of
+from framecat.llm.common import fresh, numbered, raw_hash, running_total, same, small_side, whole, words_of
 from framecat.session import materialise
 
 BLOCK_WORDS = 2048
@@ -149,21 +149,33 @@ def taken_words(docs: DataFrame, **options) -> DataFrame:
     return told.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
 
 
-def mixed(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def mixed(docs: DataFrame, id: str = "doc_id", text: str = "text", slot: str | None = None, **options) -> DataFrame:
     """The mix as rows of docs, all columns: a document once for each time its source comes round to it.
 
+    With a name for it, a further column has the slot of the first of the document's blocks: rows
+    sorted by it come in the order of the schedule.
+
     Its text is whole but where the source's target ends inside it (one document a source);
     there the words taken stand joined by blanks, and n_chars, if docs has it, is theirs.
     """
     rows, _, mix = mixture(docs, id=id, text=text, **options)
-    plan = mix.groupBy("row", "epoch").agg(F.first("doc_id").alias("_id"), F.first("raw").alias("_raw"), F.first("size").alias("_size"), F.min("from_word").alias("_from"), F.sum("words").alias("_words"))
+    id_, raw_, size_, from_, words_, slot_ = fresh(docs, "_id", "_raw", "_size", "_from", "_words", "_slot")
+    plan = mix.groupBy("row", "epoch").agg(
+        F.first("doc_id").alias(id_),
+        F.first("raw").alias(raw_),
+        F.first("size").alias(size_),
+        F.min("from_word").alias(from_),
+        F.sum("words").alias(words_),
+        F.min("slot").alias(slot_),
+    )
     plan = materialise(plan.drop("row", "epoch"), "plan")
     if not rows.groupBy("doc_id", "raw").count().filter("count > 1").isEmpty():
-        docs = docs.withColumn("_raw_", raw_hash(text)).dropDuplicates([id, "_raw_"]).drop("_raw_")
-    told = docs.join(small_side(plan), docs[id].eqNullSafe(F.col("_id")) & (raw_hash(text) == F.col("_raw")))
-    part = F.array_join(F.slice(words_of(whole(text)), (F.col("_from") + 1).cast("int"), F.col("_words").cast("int")), " ")
-    told = told.withColumn(text, F.when(F.col("_words") == F.col("_size"), F.col(text)).otherwise(part))
+        docs = docs.withColumn(raw_, raw_hash(text)).dropDuplicates([id, raw_]).drop(raw_)
+    told = docs.join(small_side(plan), docs[id].eqNullSafe(F.col(id_)) & (raw_hash(text) == F.col(raw_)))
+    part = F.array_join(F.slice(words_of(whole(text)), (F.col(from_) + 1).cast("int"), F.col(words_).cast("int")), " ")
+    told = told.withColumn(text, F.when(F.col(words_) == F.col(size_), F.col(text)).otherwise(part))
     if "n_chars" in docs.columns:
-        kept = F.when(F.col("_words") == F.col("_size"), F.col("n_chars"))
+        kept = F.when(F.col(words_) == F.col(size_), F.col("n_chars"))
         told = told.withColumn("n_chars", kept.otherwise(F.char_length(text)).cast(docs.schema["n_chars"].dataType))
-    return told.select(*docs.columns)
+    order = [F.col(slot_).alias(slot)] if slot else []
+    return told.select(*docs.columns, *order)

@@ -32,7 +32,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framecat.llm.common import keep, raw_hash, small_side, whole
+from framecat.llm.common import keep, raw_hash, same, small_side, whole
 from framecat.llm.components import components
 from framecat.session import materialise
 
@@ -149,8 +149,9 @@ def _sets(docs: DataFrame, nodes: DataFrame, shingle: int, id: str, text: str) -
 
     of_node = nodes.withColumnsRenamed({"doc_id": "_id", "raw": "_raw"})
     others = [c for c in nodes.columns if c not in ("doc_id", "raw")]
-    told = docs[id].eqNullSafe(F.col("_id")) & (raw_hash(text) == F.col("_raw"))
-    rows = docs.join(small_side(of_node), told).select(*others, whole(text).alias("text"))
+    texts = docs.select(F.col(id).alias("_doc"), whole(text).alias("text"))
+    told = same(F.col("_doc"), F.col("_id")) & (raw_hash() == F.col("_raw"))
+    rows = texts.join(small_side(of_node), told).select(*others, "text")
     kinds = ", ".join(f"{c} {nodes.schema[c].dataType.simpleString()}" for c in others)
     return rows.mapInArrow(run, f"{kinds}, held binary").dropDuplicates(["node"])
 
