@@ -1,32 +1,37 @@
 """Toxicity by cumulative-link ordinal regression over sparse words.
 
 P(grade > k) = sigmoid(w . x - t_k): one weight for each word, shared by all ordered
-thresholds. Features are the presence of FEATURES words and
-beginnings of words, those whose document counts differ most between toxic and other labelled
-rows, by LEAST_ERRORS standard errors of the log odds at least. Labels tell toxic
-or not; the grade of a toxic row is 1, 2 or 3 by how many strongly indicative words it has
-(one or none, two, more), that of any other row 0. The output is the expected grade.
+thresholds. Features are all words and beginnings of words whose document counts differ between
+toxic and other labelled rows by LEAST_ERRORS standard errors of the log odds; the value of
+one is SCALE times the root of its share of the text's words, so what counts is how dense it is.
+The output is the expected grade.
+
+Labels tell toxic or not. The grade of a toxic row is 1, 2 or 3 by the density of strong words,
+their occurrences per word of the text: by which of the toxic rows' thirds it is in. Which
+words are strong is told by the other half of the labelled rows (halves by a hash of the id),
+so a row's grade does not come from words picked for being in it. All other rows have grade 0.
 
 The fit uses at most SAMPLE_ROWS labelled rows, picked by a hash of the id; their words are
-counted in Spark, and what comes to the driver is SAMPLE_ROWS short lists of feature numbers.
-Scoring runs over all rows, with a table of FEATURES words.
+counted in Spark, and what comes to the driver is the features that pass the test on those
+rows and their values. Scoring runs over all rows, with a table of these features.
 
 Defined results: null and empty texts have no features and get the grade that the thresholds
 give; a word counts without punctuation at its ends, in lower case of A-Z; labels that are
 null are left out, a row with several labels counts with each; without labelled rows of both
-kinds every severity is 0.
+kinds every severity is 0; toxic rows of one density have one grade.
 """
 
 from __future__ import annotations
 
 import sys
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framecat.llm.common import raw_hash, sent, small_side, whole
@@ -34,22 +39,34 @@ from framecat.session import materialise
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-SAMPLE_ROWS, FEATURES = 20_000, 2048
-LEAST_ROWS, LEAST_ERRORS, STRONG_ERRORS, STRONG_ODDS = 5, 3.0, 5.0, 2.0
-GRADES = 4
+SAMPLE_ROWS = 20_000
+LEAST_ROWS, LEAST_ERRORS, STRONG_ERRORS, STRONG_ODDS = 5, 3.0, 4.0, 3.0
+GRADES, SCALE = 4, 10.0
 STEPS, RATE, RIDGE = 400, 0.05, 1e-4
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 EDGES = b".,;:!?\"'()[]{}<>|*_-#$%&"
 BEGINNINGS = (3, 4, 5)
 
 
-def traits(text: str) -> set[str]:
-    """The different words of a text, and the beginnings of longer ones, which stand for their families."""
-    words = {w.strip(EDGES) for w in set(text.encode().translate(LOWER).split())} - {b""}
-    found = {w.decode("utf-8", "replace") for w in words}
-    for length in BEGINNINGS:
-        found |= {w[:length] + "*" for w in found if len(w) > length and not w.endswith("*")}
-    return found
+def traits(text: str) -> tuple[Counter[str], int]:
+    """How often each word and each beginning of longer words, which stands for their family, is in a text; and its words."""
+    words: Counter[bytes] = Counter()
+    for word, n in Counter(text.encode().translate(LOWER).split()).items():
+        words[word.strip(EDGES)] += n
+    found: Counter[str] = Counter()
+    for word, n in words.items():
+        if word:
+            told = word.decode("utf-8", "replace")
+            found[told] += n
+            for length in BEGINNINGS:
+                if len(told) > length:
+                    found[told[:length] + "*"] += n
+    return found, words.total()
+
+
+def value(n: np.ndarray | float, words: np.ndarray | int) -> np.ndarray | float:
+    """What a feature with n occurrences weighs in a text of so many words."""
+    return SCALE * np.sqrt(n / words)
 
 
 @dataclass
@@ -58,9 +75,9 @@ class Model:
     weights: np.ndarray
     thresholds: np.ndarray
 
-    def above(self, rows: list[list[int]]) -> np.ndarray:
-        """P(grade > k) for each row and threshold."""
-        lines = np.array([self.weights[r].sum() for r in rows])
+    def above(self, rows: list[list[int]], values: list[list[float]] | None = None) -> np.ndarray:
+        """P(grade > k) for each row and threshold, with the values of its features (1 if not given)."""
+        lines = np.array([self.weights[r].sum() if values is None else self.weights[r] @ values[k] for k, r in enumerate(rows)])
         return _sigmoid(lines[:, None] - self.thresholds[None, :])
 
 
@@ -68,10 +85,11 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def fit(rows: list[list[int]], grades: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+def fit(rows: list[list[int]], grades: np.ndarray, size: int, values: list[list[float]] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds of least penalised negative log likelihood, by Adam over all rows."""
     owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     column = np.array([c for r in rows for c in r], np.int64)
+    amount = np.ones(len(column)) if values is None else np.array([v for r in values for v in r], np.float64)
     count = len(rows)
     reached = np.array([(grades > k).mean() for k in range(GRADES - 1)]).clip(1e-3, 1 - 1e-3)
     start = np.maximum.accumulate(-np.log(reached / (1 - reached)) + np.arange(GRADES - 1) * 1e-2)
@@ -82,7 +100,7 @@ def fit(rows: list[list[int]], grades: np.ndarray, size: int) -> tuple[np.ndarra
     for step in range(1, STEPS + 1):
         weights, steps = state[:size], np.exp(state[size + 1 :])
         thresholds = state[size] + np.concatenate(([0.0], np.cumsum(steps)))
-        line = np.bincount(owner, weights[column], minlength=count)
+        line = np.bincount(owner, weights[column] * amount, minlength=count)
         above = np.column_stack((np.ones(count), _sigmoid(line[:, None] - thresholds), np.zeros(count)))
         slope = above * (1 - above)
         high, low = above[at, grades], above[at, grades + 1]
@@ -93,7 +111,7 @@ def fit(rows: list[list[int]], grades: np.ndarray, size: int) -> tuple[np.ndarra
         by_threshold[at, grades + 1] -= slope[at, grades + 1] * part
         by_threshold = by_threshold[:, 1:-1].sum(axis=0)
         later = np.cumsum(by_threshold[::-1])[::-1]
-        by_weight = np.bincount(column, by_line[owner], minlength=size) + RIDGE * weights
+        by_weight = np.bincount(column, by_line[owner] * amount, minlength=size) + RIDGE * weights
         slope_of = np.concatenate((by_weight, later[:1], later[1:] * steps))
         mean = 0.9 * mean + 0.1 * slope_of
         square = 0.999 * square + 0.001 * slope_of**2
@@ -102,40 +120,76 @@ def fit(rows: list[list[int]], grades: np.ndarray, size: int) -> tuple[np.ndarra
 
 
 def _words_of(rows: DataFrame) -> DataFrame:
-    """row number, label and the different words of labelled rows."""
+    """toxic, half, the number of words, and how often each trait is in them, of labelled rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            told = [sorted(traits(t)) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(told, pa.list_(pa.string()))], ["toxic", "words"])
+            for low in range(0, len(batch), 256):
+                part = batch.slice(low, 256)
+                told = [traits(t) for t in part.column(2).to_pylist()]
+                held = pa.array([sorted(found.items()) for found, _ in told], pa.map_(pa.string(), pa.int64()))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([n for _, n in told], pa.int64()), held], ["toxic", "half", "size", "words"])
+
+    return rows.select("toxic", "half", "text").mapInArrow(run, "toxic int, half int, size long, words map<string, long>")
+
+
+def _tested(words: DataFrame, totals: dict[int, tuple[int, int]]) -> DataFrame:
+    """word, errors (standard errors of its log odds), and strong_0, strong_1: whether it is strong in that half."""
+    sums = []
+    for half in (0, 1):
+        here = F.col("half") == half
+        sums += [F.sum(F.when(here, F.col("toxic")).otherwise(0)).alias(f"a{half}"), F.count_if(here).alias(f"n{half}")]
+    seen = words.groupBy("word").agg(*sums).filter(F.col("n0") + F.col("n1") >= LEAST_ROWS)
+
+    def test(a: Column, n: Column, toxic: int, rows: int) -> tuple[Column, Column]:
+        b = n - a
+        odds = F.log((a + 0.5) / (F.lit(toxic) - a + 0.5)) - F.log((b + 0.5) / (F.lit(rows - toxic) - b + 0.5))
+        return odds, odds / F.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
+
+    every = [sum(x) for x in zip(*totals.values())]
+    told = [test(F.col("a0") + F.col("a1"), F.col("n0") + F.col("n1"), *every)[1].alias("errors")]
+    for half in (0, 1):
+        odds, errors = test(F.col(f"a{half}"), F.col(f"n{half}"), *totals.get(half, (0, 0)))
+        whole_word = ~F.col("word").endswith("*")
+        told.append((whole_word & (errors >= STRONG_ERRORS) & (odds >= STRONG_ODDS)).alias(f"strong_{half}"))
+    return seen.select("word", *told).filter((F.abs("errors") >= LEAST_ERRORS) | F.col("strong_0") | F.col("strong_1"))
+
 
-    return rows.select("toxic", "text").mapInArrow(run, "toxic int, words array<string>")
+def graded(toxic: np.ndarray, density: np.ndarray) -> np.ndarray:
+    """0 for rows that are not toxic; else 1 to GRADES - 1 by the parts of equal size of the toxic rows' densities."""
+    cuts = np.quantile(density[toxic], np.arange(1, GRADES - 1) / (GRADES - 1)) if toxic.any() else []
+    return np.where(toxic, 1 + np.searchsorted(cuts, density, side="left"), 0)
 
 
 def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", toxic: str = "toxic") -> Model | None:
     told = labels.select(F.col(id).alias("_id"), F.col(toxic).cast("int").alias("toxic")).filter("_id is not null and toxic is not null")
     told = materialise(told, "labels")
     every = max(1, -(-told.count() // SAMPLE_ROWS))
-    told = told.filter(F.pmod(F.xxhash64("_id"), F.lit(every)) == 0)
+    told = told.filter(F.pmod(F.xxhash64("_id"), F.lit(every)) == 0).withColumn("half", F.pmod(F.xxhash64(F.lit(1), "_id"), F.lit(2)).cast("int"))
     texts = docs.select(F.col(id).alias("_doc"), whole(text).alias("text")).join(small_side(told), F.col("_doc") == F.col("_id"))
-    sample = materialise(_words_of(texts), "labelled")
-    toxic_rows, rows = sample.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count(F.lit(1))).first()
+    sample = materialise(_words_of(texts).withColumn("row", F.monotonically_increasing_id()), "labelled")
+    totals = {r.half: (r.a, r.n) for r in sample.groupBy("half").agg(F.sum("toxic").alias("a"), F.count(F.lit(1)).alias("n")).collect()}
+    toxic_rows, rows = (sum(x) for x in zip(*totals.values())) if totals else (0, 0)
     if not 0 < toxic_rows < rows:
         return None
-    seen = sample.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(F.sum("toxic").alias("a"), F.count(F.lit(1)).alias("n"))
-    seen = seen.filter(F.col("n") >= LEAST_ROWS).withColumn("b", F.col("n") - F.col("a"))
-    odds = lambda x, all_: F.log((F.col(x) + 0.5) / (F.lit(all_) - F.col(x) + 0.5))
-    seen = seen.withColumn("odds", odds("a", toxic_rows) - odds("b", rows - toxic_rows))
-    seen = seen.withColumn("errors", F.col("odds") / F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5)))
-    top = seen.filter(F.abs("errors") >= LEAST_ERRORS).orderBy(F.desc(F.abs("errors")), "word").limit(FEATURES).select("word", "odds", "errors").collect()
+    words = sample.select("row", "toxic", "half", F.explode("words").alias("word", "n"))
+    tested = materialise(_tested(words, totals), "tested")
+    # Features are words of the bounded sample that passed the test; so are their values.
+    top = tested.filter(F.abs("errors") >= LEAST_ERRORS).orderBy(F.desc(F.abs("errors")), "word").select("word").collect()
     place = {r.word: k for k, r in enumerate(top)}
-    strong = {k for k, r in enumerate(top) if r.errors >= STRONG_ERRORS and r.odds >= STRONG_ODDS}
-    listed = F.array_intersect("words", F.lit(list(place))) if place else F.array().cast("array<string>")
-    held = sample.select("toxic", listed.alias("words")).collect()  # at most about SAMPLE_ROWS short rows
-    held.sort(key=lambda r: (r.toxic, r.words))
-    lists = [[place[w] for w in r.words] for r in held]
-    grades = np.array([min(GRADES - 1, max(1, len(strong.intersection(x)))) if r.toxic else 0 for r, x in zip(held, lists)])
-    weights, thresholds = fit(lists, grades, max(1, len(top)))
+    strong = F.when(F.col("half") == 0, F.col("strong_1")).otherwise(F.col("strong_0"))
+    feature = F.when(F.abs("errors") >= LEAST_ERRORS, F.struct("word", "n"))
+    found = words.join(small_side(tested), "word").groupBy("row").agg(
+        F.collect_list(feature).alias("held"), F.sum(F.when(strong, F.col("n")).otherwise(0)).alias("strong")
+    )
+    held = sample.select("row", "toxic", "size").join(found, "row", "left").collect()  # at most about SAMPLE_ROWS rows
+    held = [(r.toxic, r.size, sorted((place[f.word], f.n) for f in r.held or []), r.strong or 0) for r in held]
+    held.sort()
+    lists = [[k for k, _ in f] for _, _, f, _ in held]
+    values = [[value(n, size) for _, n in f] for _, size, f, _ in held]
+    density = np.array([n / max(1, size) for _, size, _, n in held])
+    grades = graded(np.array([t > 0 for t, *_ in held]), density)
+    weights, thresholds = fit(lists, grades, max(1, len(top)), values)
     return Model(place, weights, thresholds)
 
 
@@ -146,11 +200,15 @@ def severities(docs: DataFrame, model: Model | None, id: str = "doc_id", text: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = cloudpickle.loads(held.value)
         for batch in batches:
-            if model is None:
-                above = np.zeros((len(batch), GRADES - 1))
-            else:
-                known = model.features
-                above = model.above([[known[w] for w in traits(t) if w in known] for t in batch.column(2).to_pylist()]).reshape(-1, GRADES - 1)
+            above = np.zeros((len(batch), GRADES - 1))
+            for low in range(0, len(batch) if model else 0, 256):
+                lists, values = [], []
+                for text in batch.slice(low, 256).column(2).to_pylist():
+                    found, size = traits(text)
+                    here = [(model.features[w], n) for w, n in found.items() if w in model.features]
+                    lists.append([k for k, _ in here])
+                    values.append([value(n, size) for _, n in here])
+                above[low : low + 256] = model.above(lists, values)
             shares = -np.diff(np.column_stack((np.ones(len(batch)), above, np.zeros(len(batch)))), axis=1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(above.sum(axis=1)), pa.array(shares.argmax(axis=1).astype(np.int32)), pa.array(above[:, 0] >= 0.5)],
