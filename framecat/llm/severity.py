@@ -43,6 +43,8 @@ SAMPLE_ROWS = 20_000
 LEAST_ROWS, LEAST_ERRORS, STRONG_ERRORS, STRONG_ODDS = 5, 3.0, 4.0, 3.0
 GRADES, SCALE = 4, 10.0
 STEPS, RATE, RIDGE = 400, 0.05, 1e-4
+#: Rows whose features are worked on at once in a step of the fit.
+FIT_ROWS = 1 << 10
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 EDGES = b".,;:!?\"'()[]{}<>|*_-#$%&"
 BEGINNINGS = (3, 4, 5)
@@ -86,11 +88,20 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def fit(rows: list[list[int]], grades: np.ndarray, size: int, values: list[list[float]] | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and thresholds of least penalised negative log likelihood, by Adam over all rows."""
-    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    """fit_flat for rows as lists of features, with their values (1 if not given)."""
     column = np.array([c for r in rows for c in r], np.int64)
     amount = np.ones(len(column)) if values is None else np.array([v for r in values for v in r], np.float64)
-    count = len(rows)
+    return fit_flat(np.array([len(r) for r in rows], np.int64), column, amount, grades, size)
+
+
+def fit_flat(lengths: np.ndarray, column: np.ndarray, amount: np.ndarray, grades: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and thresholds of least penalised negative log likelihood, by Adam over all rows.
+
+    Rows come as the numbers of their features, and all their features and values one after the other.
+    """
+    count = len(lengths)
+    starts = np.concatenate(([0], np.cumsum(lengths)))
+    blocks = [(int(low), int(min(count, low + FIT_ROWS))) for low in range(0, count, FIT_ROWS)]
     reached = np.array([(grades > k).mean() for k in range(GRADES - 1)]).clip(1e-3, 1 - 1e-3)
     start = np.maximum.accumulate(-np.log(reached / (1 - reached)) + np.arange(GRADES - 1) * 1e-2)
     # The first threshold, and logarithms of the steps to the next ones, keep the order.
@@ -100,7 +111,10 @@ def fit(rows: list[list[int]], grades: np.ndarray, size: int, values: list[list[
     for step in range(1, STEPS + 1):
         weights, steps = state[:size], np.exp(state[size + 1 :])
         thresholds = state[size] + np.concatenate(([0.0], np.cumsum(steps)))
-        line = np.bincount(owner, weights[column] * amount, minlength=count)
+        line = np.empty(count)
+        for low, high in blocks:
+            part, owner = slice(starts[low], starts[high]), np.repeat(np.arange(high - low), lengths[low:high])
+            line[low:high] = np.bincount(owner, weights[column[part]] * amount[part], minlength=high - low)
         above = np.column_stack((np.ones(count), _sigmoid(line[:, None] - thresholds), np.zeros(count)))
         slope = above * (1 - above)
         high, low = above[at, grades], above[at, grades + 1]
@@ -111,7 +125,10 @@ def fit(rows: list[list[int]], grades: np.ndarray, size: int, values: list[list[
         by_threshold[at, grades + 1] -= slope[at, grades + 1] * part
         by_threshold = by_threshold[:, 1:-1].sum(axis=0)
         later = np.cumsum(by_threshold[::-1])[::-1]
-        by_weight = np.bincount(column, by_line[owner] * amount, minlength=size) + RIDGE * weights
+        by_weight = RIDGE * weights
+        for low, high in blocks:
+            part = slice(starts[low], starts[high])
+            by_weight += np.bincount(column[part], np.repeat(by_line[low:high], lengths[low:high]) * amount[part], minlength=size)
         slope_of = np.concatenate((by_weight, later[:1], later[1:] * steps))
         mean = 0.9 * mean + 0.1 * slope_of
         square = 0.999 * square + 0.001 * slope_of**2
@@ -177,19 +194,23 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     # Features are words of the bounded sample that passed the test; so are their values.
     top = tested.filter(F.abs("errors") >= LEAST_ERRORS).orderBy(F.desc(F.abs("errors")), "word").select("word").collect()
     place = {r.word: k for k, r in enumerate(top)}
+    numbers = docs.sparkSession.createDataFrame(pa.table({"word": pa.array(place, pa.string()), "place": pa.array(place.values(), pa.int32())}))
     strong = F.when(F.col("half") == 0, F.col("strong_1")).otherwise(F.col("strong_0"))
-    feature = F.when(F.abs("errors") >= LEAST_ERRORS, F.struct("word", "n"))
-    found = words.join(small_side(tested), "word").groupBy("row").agg(
-        F.collect_list(feature).alias("held"), F.sum(F.when(strong, F.col("n")).otherwise(0)).alias("strong")
+    feature = F.when(F.col("place").isNotNull(), F.struct("place", F.col("n").cast("int").alias("n")))
+    found = words.join(small_side(tested.join(small_side(numbers), "word", "left")), "word").groupBy("row").agg(
+        F.array_sort(F.collect_list(feature)).alias("held"), F.sum(F.when(strong, F.col("n")).otherwise(0)).alias("strong")
     )
-    held = sample.select("row", "toxic", "size").join(found, "row", "left").collect()  # at most about SAMPLE_ROWS rows
-    held = [(r.toxic, r.size, sorted((place[f.word], f.n) for f in r.held or []), r.strong or 0) for r in held]
-    held.sort()
-    lists = [[k for k, _ in f] for _, _, f, _ in held]
-    values = [[value(n, size) for _, n in f] for _, size, f, _ in held]
-    density = np.array([n / max(1, size) for _, size, _, n in held])
-    grades = graded(np.array([t > 0 for t, *_ in held]), density)
-    weights, thresholds = fit(lists, grades, max(1, len(top)), values)
+    none = F.array().cast("array<struct<place: int, n: int>>")
+    held = sample.select("row", "toxic", "size").join(found, "row", "left")
+    held = held.select("toxic", "size", F.coalesce("strong", F.lit(0)).alias("strong"), F.coalesce("held", none).alias("held"))
+    # At most about SAMPLE_ROWS rows of two numbers a feature, as flat arrays.
+    held = held.orderBy("toxic", "size", "held").toArrow().combine_chunks()
+    toxic_, size, strong_ = (held.column(k).to_numpy() for k in range(3))
+    lists = held.column(3).combine_chunks()
+    counts, told = np.diff(lists.offsets.to_numpy()), lists.flatten()
+    values = value(told.field("n").to_numpy(), np.repeat(np.maximum(size, 1), counts))
+    grades = graded(toxic_ > 0, strong_ / np.maximum(size, 1))
+    weights, thresholds = fit_flat(counts, told.field("place").to_numpy(), values, grades, max(1, len(top)))
     return Model(place, weights, thresholds)
 
 

@@ -164,7 +164,8 @@ def test_severity_features_and_grades(spark, monkeypatch):
     ids = spark.createDataFrame([(i,) for i in label], "doc_id long")
     half = {r[0]: r[1] for r in ids.selectExpr("doc_id", "pmod(xxhash64(1, doc_id), 2)").collect()}
     seen = {}
-    monkeypatch.setattr(severity, "fit", lambda lists, grades, size, values: seen.update(l=lists, g=grades, v=values) or (np.zeros(size), np.arange(3.0)))
+    kept = lambda lengths, column, amount, grades, size: seen.update(n=lengths, c=column, v=amount, g=grades) or (np.zeros(size), np.arange(3.0))
+    monkeypatch.setattr(severity, "fit_flat", kept)
     model = severity.train(frame(spark, rows), spark.createDataFrame(list(label.items()), "doc_id long, toxic int"))
     features, found, grades = severity_brute(rows, (label, half))
     assert sorted(model.features) == sorted(features) and {"vile", "rotten", "nasty"} <= set(features)
@@ -172,7 +173,9 @@ def test_severity_features_and_grades(spark, monkeypatch):
     want = sorted(
         (grades[i], sorted((place[w], round(severity.SCALE * math.sqrt(n / found[i][1]), 6)) for w, n in found[i][0].items() if w in place)) for i in label
     )
-    assert sorted((int(g), [(k, round(float(v), 6)) for k, v in zip(ks, vs)]) for g, ks, vs in zip(seen["g"], seen["l"], seen["v"])) == want
+    cut = np.cumsum(seen["n"])[:-1]
+    told = zip(seen["g"], np.split(seen["c"], cut), np.split(seen["v"], cut))
+    assert sorted((int(g), [(int(k), round(float(v), 6)) for k, v in zip(ks, vs)]) for g, ks, vs in told) == want
     assert set(grades.values()) == {0, 1, 2, 3}
 
 
