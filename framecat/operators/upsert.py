@@ -108,9 +108,12 @@ def latest_version(files: DataFrame) -> DataFrame:
 
 
 def detect_changes(existing: DataFrame, batch: DataFrame) -> DataFrame:
-    """Each batch row as new, changed or unchanged against the newest known header of its path."""
+    """Each batch row as new, changed or unchanged against the newest known header of its path.
+
+    Of known headers of equal time and id the largest counts, so reruns agree.
+    """
     key = ["s3_bucket", "file_path_normalized"]
-    newest = F.max_by("header_hash", F.struct("mtime", "file_id"))
+    newest = F.max_by("header_hash", F.struct("mtime", "file_id", "header_hash"))
     known = existing.groupBy(*key).agg(newest.alias("known_hash"))
     change = (
         F.when(F.col("known_hash").isNull(), "new")
