@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import sys
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -108,9 +108,13 @@ def flushed(lines: DataFrame, files: int = FILES_PER_FLUSH, wait: str = FLUSH_IN
 
     A flush of a lane happens when so many files wait, or so long after the first of them came,
     whichever is first; ``cause`` tells which (``size`` or ``time``). Lines of a file come in one
-    micro-batch and stay in one flush. State holds what waits: fewer than ``files`` files a lane.
+    micro-batch and stay in one flush. State holds what waits: fewer than ``files`` files a lane,
+    with their lines. Without a column ``value`` only names are told and held, once a file however
+    many lines it has: lane, flush, cause, name. That is the form for files of many lines.
     """
     bound = _milliseconds(wait)
+    if "value" not in lines.columns:
+        return _flushed_names(lines, files, bound, lanes)
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         flush, opened, names, values = state.get if state.exists else (0, 0, [], [])
@@ -148,6 +152,62 @@ def flushed(lines: DataFrame, files: int = FILES_PER_FLUSH, wait: str = FLUSH_IN
     )
 
 
+def _flushed_names(lines: DataFrame, files: int, bound: int, lanes: int) -> DataFrame:
+    def once(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield frame.drop_duplicates()
+
+    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        flush, opened, names = state.get if state.exists else (0, 0, [])
+        waiting, now = list(names), state.getCurrentProcessingTimeMs()
+
+        def out(cause: str, taken: list[str]) -> pd.DataFrame:
+            return pd.DataFrame({"lane": key[0], "flush": flush, "cause": cause, "name": taken})
+
+        if not state.hasTimedOut:
+            arrived = sorted({name for frame in frames for name in frame["name"]} - set(waiting))
+            opened = opened if waiting else now
+            waiting += arrived
+            while len(waiting) >= files:
+                yield out("size", waiting[:files])
+                flush, opened, waiting = flush + 1, now, waiting[files:]
+        if waiting and now - opened >= bound:
+            yield out("time", waiting)
+            flush, waiting = flush + 1, []
+        state.update((flush, opened, waiting))
+        if waiting:
+            state.setTimeoutDuration(max(1, opened + bound - now))
+
+    named = lines.select(F.pmod(F.xxhash64("name"), F.lit(lanes)).alias("lane"), "name")
+    return named.mapInPandas(once, "lane long, name string").groupBy("lane").applyInPandasWithState(
+        step,
+        "lane long, flush long, cause string, name string",
+        "flush long, opened long, names array<string>",
+        "append",
+        GroupStateTimeout.ProcessingTimeTimeout,
+    )
+
+
+def stop_when_out(query: StreamingQuery, out: Callable[[], bool], quiet: float = 120) -> None:
+    """Stops a query once ``out`` tells that all has left it, however long its micro-batches take.
+
+    A query that has had no input for so many seconds and still holds something back is an error.
+    """
+    heard = time.monotonic()
+    try:
+        while not out():
+            if query.exception():
+                raise query.exception()
+            last = query.lastProgress
+            if last is None or last["numInputRows"] or query.status["isTriggerActive"]:
+                heard = time.monotonic()
+            if time.monotonic() - heard > quiet:
+                raise TimeoutError(f"the stream was quiet for {quiet} seconds and not all had left it")
+            time.sleep(0.5)
+    finally:
+        query.stop()
+
+
 def stop_when_quiet(query: StreamingQuery, seconds: float = 600) -> None:
     """Stops a query once a micro-batch found nothing new.
 
