@@ -24,14 +24,16 @@ SHARDS = 16
 def _objects(spark: SparkSession, sf: str) -> str:
     """The documents' texts as one object each below some prefixes, a line end behind each."""
     path = scratch_path(spark, "objects")
-    shard = F.pmod("doc_id", F.lit(SHARDS)).alias("shard")
-    docs = spark.read.parquet(f"{sf}/documents.parquet").select(shard, "doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    docs.repartition("doc_id").write.partitionBy("shard", "doc_id").text(path)
+    shard = F.pmod("doc_id", F.lit(SHARDS))
+    folder, name = (F.coalesce(c.cast("string"), F.lit("none")) for c in (shard, F.col("doc_id")))
+    key = F.concat(F.lit("shard="), folder, F.lit("/doc_id="), name, F.lit(".txt"))
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select(key.alias("key"), F.concat(F.coalesce("text", F.lit("")), F.lit("\n")).alias("text"))
+    objects.put_objects(docs, path)
     return path
 
 
 def _id_of(path: str) -> Column:
-    return F.regexp_extract(path, "doc_id=([0-9]+)/", 1).cast("bigint").alias("doc_id")
+    return F.regexp_extract(path, r"doc_id=([0-9]+)\.txt$", 1).cast("bigint").alias("doc_id")
 
 
 def list_objects(spark: SparkSession, sf: str) -> DataFrame:

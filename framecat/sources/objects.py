@@ -13,11 +13,13 @@ import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from itertools import islice
 
 import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import (
     DataSource,
@@ -66,6 +68,51 @@ def store_and_name(path: str) -> tuple[str, str]:
     return f"{scheme}://{host}/", "/" + name
 
 
+def put_objects(rows: DataFrame, path: str) -> int:
+    """Write each ``key`` of the rows (key, text) as an object below a path; returns how many.
+
+    Tasks write objects themselves, each under its final name: a commit that moves every object
+    is work of the driver that grows with their number. Texts of one key go into one object.
+    A task that is run again writes the same objects again.
+    """
+    spread = max(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(rows.count() / OBJECTS_PER_TASK))
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        client, folders = _clients(), set()
+
+        def write(item: tuple[str, bytes]) -> None:
+            root, name = store_and_name(f"{path}/{item[0]}")
+            with client(root).open_output_stream(name) as f:
+                f.write(item[1])
+
+        def whole() -> Iterator[tuple[str, bytes]]:
+            at, texts = None, []
+            for batch in batches:
+                for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
+                    if key != at:
+                        if texts:
+                            yield at, b"".join(texts)
+                        at, texts = key, []
+                    texts.append(text.encode())
+            if texts:
+                yield at, b"".join(texts)
+
+        count = 0
+        with ThreadPoolExecutor(READS_AT_ONCE) as pool:
+            items = whole()
+            while some := list(islice(items, 64)):
+                for folder in {f"{path}/{key}".rpartition("/")[0] for key, _ in some} - folders:
+                    root, name = store_and_name(folder)
+                    client(root).create_dir(name, recursive=True)
+                    folders.add(folder)
+                list(pool.map(write, some))
+                count += len(some)
+        yield pa.RecordBatch.from_pydict({"n": [count]})
+
+    dealt = rows.select("key", "text").repartition(spread, "key").sortWithinPartitions("key", "text")
+    return dealt.mapInArrow(put, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def header_scan(
     objects: DataFrame,
     decode: Decode,
