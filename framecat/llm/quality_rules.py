@@ -52,16 +52,8 @@ def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _windows(words: Column, made: Callable[..., Column]) -> Column:
-    """What is made of each three neighbouring words and the place of the first."""
-    length = F.greatest(F.size(words) - 2, F.lit(0))
-    two = F.zip_with(F.slice(words, 1, length), F.slice(words, 2, length), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    three = F.zip_with(two, F.slice(words, 3, length), lambda ab, c: F.struct(ab["a"].alias("a"), ab["b"].alias("b"), c.alias("c")))
-    return F.transform(three, lambda w, i: made(w["a"], w["b"], w["c"], i))
-
-
 def _window_hash(a: Column, b: Column, c: Column) -> Column:
-    return F.xxhash64(F.xxhash64(a, b), c)
+    return F.xxhash64(a, b, c)
 
 
 def _covered(places: Column) -> Column:
@@ -70,28 +62,50 @@ def _covered(places: Column) -> Column:
     return F.aggregate(steps, F.lit(0).cast("long"), lambda total, step: total + step)
 
 
+def _suspects(hashes: Column, hashed: Callable[..., Column]) -> Column:
+    """Places of windows of three whose hash another one shares, from the hashes of the words.
+
+    A window is one number, 32 bits of its hash above its place, since numbers sort far faster than structs.
+    """
+    of_three = lambda a, i: hashed(a, F.get(hashes, i + 1), F.get(hashes, i + 2))
+    key = lambda a, i: F.shiftleft(of_three(a, i).bitwiseAND((1 << 32) - 1), 32).bitwiseOR(i.cast("long"))
+    keys = F.transform(F.slice(hashes, 1, F.greatest(F.size(hashes) - 2, F.lit(0))), key)
+    high = lambda x: F.shiftright(x, 32)
+
+    def shared(k: Column) -> Column:
+        alike = lambda x, i: high(x).eqNullSafe(high(F.get(k, i + 1))) | high(x).eqNullSafe(high(F.get(k, i - 1)))
+        return F.transform(F.filter(k, alike), lambda x: x.bitwiseAND((1 << 32) - 1).cast("int"))
+
+    return _bind(F.sort_array(keys), shared)
+
+
 def _repeat_words(words: Column, hashed: Callable[..., Column] = _window_hash) -> Column:
     """Words in windows of three that the text has twice or more.
 
-    Most texts have none, which a set of their hashes tells. In others windows are sorted by hash,
-    words and place, so that words are compared only where hashes are equal.
+    Windows whose hashes are equal are sorted by hash, words and place, so that words are compared only there.
     """
-    told = lambda a, b, c, i: F.struct(hashed(a, b, c).alias("h"), a.alias("a"), b.alias("b"), c.alias("c"), i.alias("i"))
 
-    def twins(k: Column) -> Column:
-        shorter = F.greatest(F.size(k) - 1, F.lit(0))
-        alike = lambda x, y: (x["h"] == y["h"]) & (x["a"] == y["a"]) & (x["b"] == y["b"]) & (x["c"] == y["c"])
-        return F.zip_with(
-            F.slice(k, 1, shorter), F.slice(k, 2, shorter), lambda x, y: F.when(alike(x, y), F.array(x["i"], y["i"]))
-        )
+    def counted(found: Column, hashes: Column, places: Column) -> Column:
+        def told(i: Column) -> Column:
+            h = hashed(F.get(hashes, i), F.get(hashes, i + 1), F.get(hashes, i + 2))
+            three = [F.get(found, i + k).alias(name) for k, name in enumerate("abc")]
+            return F.struct(h.alias("h"), *three, i.alias("i"))
+
+        def twins(k: Column) -> Column:
+            shorter = F.greatest(F.size(k) - 1, F.lit(0))
+            alike = lambda x, y: (x["h"] == y["h"]) & (x["a"] == y["a"]) & (x["b"] == y["b"]) & (x["c"] == y["c"])
+            return F.zip_with(
+                F.slice(k, 1, shorter), F.slice(k, 2, shorter), lambda x, y: F.when(alike(x, y), F.array(x["i"], y["i"]))
+            )
 
-    def counted(found: Column) -> Column:
-        places = F.flatten(F.filter(_bind(F.sort_array(_windows(found, told)), twins), lambda pair: pair.isNotNull()))
-        return _bind(F.sort_array(F.array_distinct(places)), _covered)
+        pairs = F.filter(_bind(F.sort_array(F.transform(places, told)), twins), lambda pair: pair.isNotNull())
+        return _bind(F.sort_array(F.array_distinct(F.flatten(pairs))), _covered)
 
-    hashes = _windows(words, lambda a, b, c, i: hashed(a, b, c))
-    single = _bind(hashes, lambda h: F.size(F.array_distinct(h)) == F.size(h))
-    return F.when(single, F.lit(0).cast("long")).otherwise(counted(words))
+    def of(found: Column) -> Column:
+        each = lambda h, p: F.when(F.size(p) == 0, F.lit(0).cast("long")).otherwise(counted(found, h, p))
+        return _bind(F.transform(found, lambda word: F.xxhash64(word)), lambda h: _bind(_suspects(h, hashed), lambda p: each(h, p)))
+
+    return _bind(words, of)
 
 
 def _dup_lines(text: Column) -> Column:
@@ -99,12 +113,6 @@ def _dup_lines(text: Column) -> Column:
     return _bind(lines, lambda found: (F.size(found) - F.size(F.array_distinct(found))).cast("long"))
 
 
-def _without(text: Column, characters: str) -> Column:
-    for character in characters:
-        text = F.replace(text, F.lit(character), F.lit(""))
-    return text
-
-
 def _pick(lang: Column, values: dict[str, Column], other: Column) -> Column:
     picked = None
     for name, value in values.items():
@@ -126,7 +134,9 @@ def _word_shares(words: Column, lang: Column, total: Column) -> Column:
     """Shares of the common words: one histogram for a known language, else one for each language in their order."""
     told = lambda padded, name: _shares(_common_counts(padded, name), total)
     every = lambda padded: F.array(*[told(padded, F.lit(name)) for name in COMMON_WORDS])
-    padded = F.concat(F.lit("  "), F.array_join(words, "  "), F.lit("  "))
+    most = max(len(word.encode()) for known in COMMON_WORDS.values() for word in known)
+    short = F.filter(words, lambda word: F.octet_length(word) <= most)  # longer ones need not be searched
+    padded = F.concat(F.lit("  "), F.array_join(short, "  "), F.lit("  "))
     return _bind(padded, lambda s: F.when(lang == "", every(s)).otherwise(F.array(told(s, lang))))
 
 
@@ -155,7 +165,7 @@ def _measures(text: Column, lang: Column) -> Column:
             F.char_length(body).cast("long").alias("n_chars"),
             F.size(words).cast("long").alias("n_words"),
             F.char_length(F.array_join(words, "")).cast("long").alias("word_chars"),
-            (F.octet_length(body) - F.octet_length(_without(body, SYMBOLS))).cast("long").alias("n_symbols"),
+            gone(f"[{SYMBOLS}]+").cast("long").alias("n_symbols"),
             (gone(r"\p{Lu}+")).cast("long").alias("upper"),
             (gone(r"[\p{Ll}\p{Lo}]+")).cast("long").alias("lower"),
             (gone(r"\p{Nd}+")).cast("long").alias("digit"),
