@@ -102,7 +102,7 @@ def frame_number(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def split_channel(spark: SparkSession, sf: str) -> DataFrame:
-    c = base.stored(spark, sf, "channels")
+    c = base.file_channels(spark, sf)
     name = F.col("channel_name")
     return c.select(
         "file_key", "part_index", "channel_name",
@@ -112,7 +112,7 @@ def split_channel(spark: SparkSession, sf: str) -> DataFrame:
 
 def root_layer(spark: SparkSession, sf: str) -> DataFrame:
     """Roots of the channel names as they are, and with a sub-layer put in."""
-    c = base.stored(spark, sf, "channels")
+    c = base.file_channels(spark, sf)
     deeper = F.concat(F.lit("pass1."), F.col("channel_name"))
     return c.select(
         "file_key", "part_index", "channel_name",
@@ -167,7 +167,7 @@ def window_ints(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def display_dims(spark: SparkSession, sf: str) -> DataFrame:
-    rows = base.stored(spark, sf, "parts")
+    rows = base.stored(spark, sf, "parts", base.FILE_KEY)
     return rows.select(
         "file_key", "part_index", "display_width", "display_height", "data_x_offset", "data_y_offset"
     )
@@ -251,7 +251,7 @@ def json_safe(spark: SparkSession, sf: str) -> DataFrame:
 
 def defaults(spark: SparkSession, sf: str) -> DataFrame:
     """Parts with fields taken out, filled in again."""
-    rows = base.stored(spark, sf, "parts")
+    rows = base.stored(spark, sf, "parts", base.FILE_KEY)
     lost = F.col("width") % 3 == 0
 
     def field(name: str):
@@ -280,7 +280,7 @@ def uncompressed_or_oversized(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def overscan_parts(spark: SparkSession, sf: str) -> DataFrame:
-    rows = base.stored(spark, sf, "parts")
+    rows = base.stored(spark, sf, "parts", base.FILE_KEY)
     return catalog.overscan_parts(rows).select("file_key", "part_index", "data_x_offset", "data_y_offset")
 
 
@@ -291,7 +291,7 @@ def modified_within(spark: SparkSession, sf: str) -> DataFrame:
 
 def _attributed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     f = views.files(spark, sf).withColumnRenamed("s3_key", "file_path")
-    return f, base.stored(spark, sf, "attributes")
+    return f, base.stored(spark, sf, "attributes", base.FILE_KEY)
 
 
 def attribute_like(spark: SparkSession, sf: str) -> DataFrame:
