@@ -19,6 +19,10 @@ _CORNERS = (("min", "x", "xMin"), ("min", "y", "yMin"), ("max", "x", "xMax"), ("
 
 
 _KINDS = {"VOID": "null", "OBJECT": "object", "ARRAY": "array", "STRING": "string", "BOOLEAN": "bool", "BIGINT": "int"}
+#: A type that hardly a value fits, so that reading one as it costs next to nothing (as a scalar, each is cast).
+UNREAD = "array<array<boolean>>"
+#: Kinds that hold others: their names, and a type that only they fit and that leaves their content out.
+_HOLDERS = {"object": ("OBJECT", f"struct<x: {UNREAD}>"), "array": ("ARRAY", f"array<{UNREAD}>")}
 
 
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -37,6 +41,24 @@ def kind(value: Column) -> Column:
     return F.coalesce(F.try_element_at(named, shape), F.when(value.isNull(), "null").otherwise("float"))
 
 
+def shape(value: Column, path: str, wanted: str) -> Column:
+    """What ``is_kind`` needs of the value at a path, NULL where there is none.
+
+    Whether a value is a list or an object, where one is wanted, is told without a look at all it holds.
+    """
+    at = value if path == "$" else F.try_variant_get(value, path, "variant")
+    if wanted not in _HOLDERS:
+        return F.substring_index(F.schema_of_variant(at), "<", 1)
+    name, held = _HOLDERS[wanted]
+    return F.when(F.try_variant_get(value, path, held).isNotNull(), name).when(at.isNotNull(), "OTHER")
+
+
+def is_kind(shape: Column, wanted: str) -> Column:
+    """Whether a ``shape`` is of a kind of ``kind``; NULL if it is."""
+    named = [s for s, k in _KINDS.items() if k == wanted]
+    return shape.isin(named) if named else ~shape.isin(list(_KINDS))
+
+
 def json_text(value: Column) -> Column:
     """Canonical JSON text of a VARIANT; an absent value is the text null.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -59,37 +59,44 @@ def check_types(lines: DataFrame, expected: dict[str, str], text: str = "value")
     """Per JSON path: how many values are missing, are of another kind, and how many there should be.
 
     ``expected`` maps a path such as ``$.file.size_bytes`` or ``$.parts[*].width`` to a kind of
-    ``values.kind``; ``[*]`` stands for every element of a list, at any depth. Each list is taken
-    apart by a lateral table function, and every level folds to one row in its tasks.
+    ``values.kind``; ``[*]`` stands for every element of a list, at any depth. A text is parsed once: its
+    lists are taken apart level by level, and the elements of all levels fold to one row in one aggregation.
     """
-    spark = lines.sparkSession
-    levels: dict[str, DataFrame] = {"": lines.select(F.try_parse_json(F.col(text)).alias("v"))}
-
-    def level(prefix: str) -> DataFrame:
-        """Elements of the list at a prefix that ends with [*]."""
-        if prefix not in levels:
-            outer, _, last = prefix.removesuffix("[*]").rpartition("[*]")
-            above = level(f"{outer}[*]" if outer else "")
-            path = f"${last}" if outer else last
-            lists = above.select(F.try_variant_get(F.col("v"), path, "variant").alias("list"))
-            lists = lists.filter(values.kind(F.col("list")) == "array").alias("held")
-            taken = lists.lateralJoin(spark.tvf.variant_explode(F.col("held.list").outer()))
-            levels[prefix] = taken.select(F.col("value").alias("v"))
-        return levels[prefix]
-
-    told, by_level = [], {}
+    by_level: dict[str, list[tuple[str, str, str]]] = {}
     for path, wanted in expected.items():
         prefix, mark, rest = path.rpartition("[*]")
         by_level.setdefault(prefix + mark, []).append((path, "$" + rest if mark else rest, wanted))
+    levels = _levels(by_level)
+    rows = lines.select(F.lit(0).alias("level"), F.try_parse_json(F.col(text)).alias("v"))
+    for depth in range(1, max((p.count("[*]") for p in levels), default=0) + 1):
+        # The elements of each list of this depth, behind the row that holds it.
+        own, below = [F.array("v")], [p for p in levels if p.count("[*]") == depth]
+        for prefix in below:
+            outer, _, last = prefix.removesuffix("[*]").rpartition("[*]")
+            at = levels.index(f"{outer}[*]" if outer else "")
+            own.append(F.when(F.col("level") == at, F.try_variant_get(F.col("v"), f"${last}" if outer else last, "array<variant>")))
+        held = rows.select("level", F.posexplode(F.array(*own)).alias("pos", "list"))
+        at = F.element_at(F.array("level", *[F.lit(levels.index(p)) for p in below]), F.col("pos") + 1)
+        rows = held.select(at.alias("level"), F.explode("list").alias("v"))
+    shapes, counts, told = [], [F.count_if(F.col("level") == i).alias(f"n{i}") for i in range(len(levels))], []
     for prefix, fields in by_level.items():
-        counts, rows = [F.count(F.lit(1)).alias("n")], []
-        for i, (path, inner, wanted) in enumerate(fields):
-            at = F.col("v") if inner == "$" else F.try_variant_get(F.col("v"), inner, "variant")
-            counts += [F.count_if(at.isNull()).alias(f"m{i}"), F.count_if(at.isNotNull() & (values.kind(at) != wanted)).alias(f"w{i}")]
+        here, n = F.col("level") == levels.index(prefix), f"n{levels.index(prefix)}"
+        for path, inner, wanted in fields:
+            i, shape = len(shapes), F.col(f"s{len(shapes)}")
+            shapes.append(F.when(here, values.shape(F.col("v"), inner, wanted)).alias(f"s{i}"))
+            counts += [F.count_if(here & shape.isNull()).alias(f"m{i}"), F.count_if(here & ~values.is_kind(shape, wanted)).alias(f"w{i}")]
             told_of = (F.lit(path).alias("field"), F.col(f"m{i}").alias("missing"), F.col(f"w{i}").alias("wrong_type"))
-            rows.append(F.struct(*told_of, F.col("n").alias("expected")))
-        told.append(level(prefix).agg(*counts).select(F.inline(F.array(*rows))))
-    return reduce(DataFrame.unionByName, told)
+            told.append(F.struct(*told_of, F.col(n).alias("expected")))
+    return rows.select("level", *shapes).agg(*counts).select(F.inline(F.array(*told)))
+
+
+def _levels(prefixes: Iterable[str]) -> list[str]:
+    """The prefixes, and those of the lists that hold their lists, outermost first."""
+    every = {""}
+    for prefix in prefixes:
+        pieces = prefix.split("[*]")
+        every |= {"".join(f"{p}[*]" for p in pieces[:k]) for k in range(1, len(pieces))}
+    return sorted(every, key=lambda p: (p.count("[*]"), p))
 
 
 def undeclared_fields(lines: DataFrame, declared: dict[str, Sequence[str]], text: str = "value") -> DataFrame:
