@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -103,19 +104,21 @@ def undeclared_fields(lines: DataFrame, declared: dict[str, Sequence[str]], text
     """Fields that objects have beyond the declared ones: path, field, row_count.
 
     ``declared`` maps the path of an object, or of a list of objects (ending with ``[*]``), to its fields.
+    A text is parsed once; only the names of its objects' fields are taken out of it.
     """
-    spark = lines.sparkSession
     parsed = lines.select(F.try_parse_json(F.col(text)).alias("v"))
-    told = []
-    for path, names in declared.items():
-        objects = parsed.select(F.try_variant_get(F.col("v"), path.removesuffix("[*]"), "variant").alias("o"))
-        if path.endswith("[*]"):
-            lists = objects.filter(values.kind(F.col("o")) == "array").alias("held")
-            objects = lists.lateralJoin(spark.tvf.variant_explode(F.col("held.o").outer())).select(F.col("value").alias("o"))
-        held = objects.filter(values.kind(F.col("o")) == "object").alias("held")
-        fields = held.lateralJoin(spark.tvf.variant_explode(F.col("held.o").outer())).filter(~F.col("key").isin(list(names)))
-        told.append(fields.groupBy(F.lit(path).alias("path"), F.col("key").alias("field")).agg(F.count("*").alias("row_count")))
-    return reduce(DataFrame.unionByName, told)
+    one = f"map<string, {values.UNREAD}>"  # what is no object is NULL
+    many = f"array<{one}>"
+    objects = [
+        F.try_variant_get(F.col("v"), p.removesuffix("[*]"), many) if p.endswith("[*]") else F.array(F.try_variant_get(F.col("v"), p, one))
+        for p in declared
+    ]
+    held = parsed.select(F.posexplode(F.array(*objects)).alias("pos", "objects")).select("pos", F.explode("objects").alias("o"))
+    fields = held.select("pos", F.explode(F.map_keys("o")).alias("field"))
+    beyond = [(F.col("pos") == i) & ~F.col("field").isin(list(names)) for i, names in enumerate(declared.values())]
+    path = F.element_at(F.array(*[F.lit(p) for p in declared]), F.col("pos") + 1)
+    counted = fields.filter(reduce(or_, beyond)).groupBy("pos", "field").agg(F.count("*").alias("row_count"))
+    return counted.select(path.alias("path"), "field", "row_count")
 
 
 def check_vectors(df: DataFrame, column: str, dim: int) -> DataFrame:
