@@ -3,10 +3,11 @@
 import collections
 import math
 import random
+import zlib
 
 import pytest
 
-from framecat.llm import kneser_ney
+from framecat.llm import kneser_ney, suffix_tree
 
 SCHEMA = "doc_id long, text string, lang string"
 
@@ -75,3 +76,55 @@ def test_more_letters_than_a_number_holds(monkeypatch):
     most = kneser_ney._distinct(many, ends)
     assert sizes.tolist() == [6, 0] and len(most[3]) == len(ends)
     assert (few[0][few[2]] == most[0]).all() and (few[1][few[2]] == most[1]).all()
+
+
+def test_suffix_tree_keeps_all_states_and_words(spark, monkeypatch):
+    """Before, words, contexts of two and listed probabilities were the most frequent or telling up to a bound."""
+    for name, value in (("FREQUENT", 3), ("STATES", 2), ("ENTRIES", 2), ("MIN_COUNT", 4), ("HELD_PER_TASK", 20), ("CHUNK", 90), ("SHARD_ROWS", 7)):
+        monkeypatch.setattr(suffix_tree, name, value, raising=False)
+    rng = random.Random(5)
+    follow = {w: rng.sample([f"w{k}" for k in range(40)], 3) for w in (f"w{k}" for k in range(40))}
+    texts = []
+    for _ in range(80):
+        text = [rng.choice(list(follow))]
+        for _ in range(rng.randrange(30)):
+            text.append(rng.choice(follow[text[-1]]) if rng.random() < 0.9 else rng.choice(list(follow)))
+        texts.append(" ".join(text))
+    texts += ["", "W1 w1\tunseené", "x" * 500]
+    rows = {i: t.lower().split() for i, t in enumerate(texts)}
+    train = [w for i, w in rows.items() if zlib.crc32(str(i).encode()) % 5 != 1]
+    words = collections.Counter(w for t in train for w in [*t, None])
+    base = sum(words.values()) + 0.5 * (len(words) + 1)
+    root = lambda past, w: (words[w] + 0.5) / base
+    tables = [collections.defaultdict(collections.Counter) for _ in range(2)]
+    for t in train:
+        padded = ["^", *t, None]
+        for k in range(1, len(padded)):
+            tables[0][padded[k - 1]][padded[k]] += 1
+            if k > 1:
+                tables[1][tuple(padded[k - 2 : k])][padded[k]] += 1
+
+    def level(table, length, below):
+        states = {}
+        for context, after in table.items():
+            n, kinds = sum(after.values()), len(after)
+            past = context if length == 2 else (context,)
+            low = {w: below(past[1:], w) for w in after}
+            less = sum(c * math.log((c - 1 + kinds * low[w]) / (n - 1 + kinds) / low[w]) for w, c in after.items()) / n
+            if n >= 4 and less >= suffix_tree.MIN_DIVERGENCE:
+                own = {w: (c + kinds * low[w]) / (n + kinds) for w, c in after.items() if c > 1}
+                states[past] = own, max(1 - sum(own.values()), 1e-12) / max(1 - sum(low[w] for w in own), 1e-12)
+
+        def p(past, w):
+            own, rest = states.get(tuple(past), ({}, 1.0)) if len(past) == length else ({}, 1.0)
+            return own[w] if w in own else rest * below(past[1:], w)
+
+        return p, states
+
+    one, first = level(tables[0], 1, root)
+    two, second = level(tables[1], 2, one)
+    assert len(words) > 30 and len(first) > 20 and len(second) > 10
+    for r in suffix_tree.score_texts(frame(spark, texts)).collect():
+        padded = ["^", *rows[r.doc_id], None]
+        total = sum(math.log10(two(padded[max(0, k - 2) : k], w) if k > 1 else one(["^"], w)) for k, w in enumerate(padded) if k)
+        assert r.score == pytest.approx(total, rel=1e-6), r.doc_id
